@@ -56,10 +56,11 @@ class Prepared:
     @cached_property
     def source_path(self) -> str:
         path = new_folder(self.spark, "staging-orders")
-        write_orders(orders_from_normalised(self.spark, self.folder), path)
+        lines = self.table("lineitem").count()
+        write_orders(orders_from_normalised(self.spark, self.folder), path, highest_id=lines)
         return path
 
-    @property
+    @cached_property
     def source(self) -> DataFrame:
         return self.spark.read.schema(STAGING_ORDERS.schema).parquet(self.source_path)
 
@@ -76,13 +77,17 @@ class Prepared:
     def warehouse(self) -> Warehouse:
         return Warehouse(self.spark, self.root)
 
-    @property
+    @cached_property
+    def run_id(self) -> str:
+        return self.warehouse.published_run()
+
+    @cached_property
     def star(self) -> dict[str, DataFrame]:
-        return self.warehouse.star()
+        return self.warehouse.star(self.run_id)
 
-    @property
+    @cached_property
     def batches(self) -> DataFrame:
-        return self.warehouse.batches(self.warehouse.published_run())
+        return self.warehouse.batches(self.run_id)
 
     @cached_property
     def dim_rows(self) -> dict[str, int]:

@@ -80,9 +80,12 @@ def build_dim_date(src: DataFrame, date_col: str = "order_date", lang: str = "en
     )
 
 
-def require_unique(df: DataFrame, table: Table) -> None:
-    for column in table.unique:
+def require_unique(df: DataFrame, column: str, name: str) -> int:
+    """The row count of `df`, which must not repeat a value of `column`."""
+    copies = df.groupBy(column).agg(F.count("*").alias("copies"))
+    found = copies.agg(F.sum("copies").alias("rows"), F.count("*").alias("values")).first()
+    if (found.rows or 0) != found["values"]:
         repeated = check_unique(df, column).limit(3).collect()
-        if repeated:
-            values = ", ".join(str(row[0]) for row in repeated)
-            raise IntegrityError(f"{table.name}: duplicate {column} (such as {values})")
+        values = ", ".join(str(row[0]) for row in repeated)
+        raise IntegrityError(f"{name}: duplicate {column} (such as {values})")
+    return found.rows or 0

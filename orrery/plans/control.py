@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.schemas import CONTROL
+from orrery.workspace import read_or_empty
 
 STOP_REQUESTED = "stop_requested"
 
@@ -33,17 +34,21 @@ class ControlTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    @property
-    def _schema(self):
-        return CONTROL.schema.add("version", "long")
+    _schema = CONTROL.schema.add("version", "long")
 
     def create(self) -> None:
         """Make the table with the stop flag down, unless it exists."""
         self._row(STOP_REQUESTED, "false").write.mode("ignore").parquet(self.path)
 
+    def _stored(self) -> DataFrame:
+        return read_or_empty(self.spark, self._schema, self.path)
+
     def read(self) -> DataFrame:
-        stored = self.spark.read.schema(self._schema).parquet(self.path)
-        return stored.groupBy("ctl_key").agg(F.max_by("ctl_value", "version").alias("ctl_value"))
+        return (
+            self._stored()
+            .groupBy("ctl_key")
+            .agg(F.max_by("ctl_value", "version").alias("ctl_value"))
+        )
 
     def value(self, key: str) -> DataFrame:
         """The value of one key, as a one-column frame."""
@@ -53,11 +58,12 @@ class ControlTable:
         self._row(key, value).write.mode("append").parquet(self.path)
 
     def stop_requested(self) -> bool:
-        row = self.value(STOP_REQUESTED).first()
-        return row is not None and row[0] == "true"
+        changes = self._stored().filter(F.col("ctl_key") == STOP_REQUESTED)
+        newest = changes.orderBy(F.col("version").desc()).select("ctl_value").limit(1).collect()
+        return bool(newest) and newest[0][0] == "true"
 
     def _row(self, key: str, value: str) -> DataFrame:
-        return self.spark.range(1).select(
+        return self.spark.range(0, 1, 1, 1).select(
             F.lit(key).alias("ctl_key"),
             F.lit(value).alias("ctl_value"),
             F.lit(time.time_ns()).cast("long").alias("version"),

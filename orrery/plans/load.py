@@ -109,6 +109,10 @@ def _step(name: str) -> Iterator[None]:
         raise StepFailed(name, error) from error
 
 
+def lookup_tables(warehouse: Warehouse, run_id: str) -> dict[str, DataFrame]:
+    return {spec.table.name: warehouse.dimension(run_id, spec.table.name) for spec in DIM_SPECS}
+
+
 def write_batch(
     warehouse: Warehouse,
     run_id: str,
@@ -116,6 +120,7 @@ def write_batch(
     chunk_no: int,
     from_id: int,
     to_id: int,
+    dims: dict[str, DataFrame] | None = None,
     dim_rows: dict[str, int] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> int:
@@ -124,7 +129,7 @@ def write_batch(
     Running it again replaces that folder and nothing else; a failed write leaves
     no rows of the batch behind.
     """
-    dims = {spec.table.name: warehouse.dimension(run_id, spec.table.name) for spec in DIM_SPECS}
+    dims = dims or lookup_tables(warehouse, run_id)
     facts = build_fact(src, dims, from_id, to_id, dim_rows, limit=broadcast_limit)
     path = f"{warehouse.table_path(run_id, FACT_SALES.name)}/chunk_no={chunk_no}"
     facts.write.mode("overwrite").parquet(path)
@@ -159,37 +164,45 @@ class _Run:
     # -- steps ---------------------------------------------------------------
 
     def truncate(self) -> int:
-        self.warehouse.create_star(self.run_id)
+        """A run starts in a folder of its own, where every table is still empty."""
         return 0
 
-    def store_dimension(self, table: Table, rows: DataFrame) -> int:
+    def store_dimension(self, table: Table, rows: DataFrame, unique: str) -> int:
+        """Write a dimension; its generated keys are unique by construction, its codes are checked."""
         path = self.warehouse.table_path(self.run_id, table.name)
         rows.write.mode("overwrite").parquet(path)
         stored = self.warehouse.dimension(self.run_id, table.name)
-        require_unique(stored, table)
-        self.dim_rows[table.name] = stored.count()
+        self.dim_rows[table.name] = require_unique(stored, unique, table.name)
         return self.dim_rows[table.name]
 
-    def dimensions(self) -> None:
-        """The four tables are independent jobs over different source columns."""
+    def prepare(self) -> DataFrame:
+        """Dimensions, source check and batch plan: independent jobs over different columns."""
         work = [
-            (DIM_DATE, lambda: build_dim_date(self.src, lang=self.params.lang)),
-            *[(s.table, lambda s=s: build_dimension(self.src, s)) for s in DIM_SPECS],
+            (DIM_DATE, "date_key", lambda: build_dim_date(self.src, lang=self.params.lang)),
+            *[(s.table, s.code, lambda s=s: build_dimension(self.src, s)) for s in DIM_SPECS],
         ]
-        with ThreadPoolExecutor(len(work)) as pool:
+        with ThreadPoolExecutor(len(work) + 2) as pool:
+            checked = pool.submit(self.check_source)
+            plan = pool.submit(self.plan_batches)
             pending = [
                 pool.submit(
                     self.timed,
                     STEP_OF_TABLE[table.name],
-                    lambda table=table, build=build: self.store_dimension(table, build()),
+                    lambda table=table, unique=unique, build=build: self.store_dimension(
+                        table, build(), unique
+                    ),
                 )
-                for table, build in work
+                for table, unique, build in work
             ]
             for job in pending:
                 step, started, since, rows, spent = job.result()
                 self.warehouse.log.event(
                     self.run_id, step, DONE, started, _now(), rows, None, spent
                 )
+            with _step("SOURCE"):
+                checked.result()
+            with _step("BATCH_PLAN"):
+                return plan.result()
 
     def plan_batches(self) -> DataFrame:
         if self.params.chunk_size:
@@ -204,10 +217,7 @@ class _Run:
             self.loaded = []
             return
         started, since = _now(), time.monotonic_ns()
-        dims = {
-            spec.table.name: self.warehouse.dimension(self.run_id, spec.table.name)
-            for spec in DIM_SPECS
-        }
+        dims = lookup_tables(self.warehouse, self.run_id)
         limit = self.params.broadcast_limit
         facts = build_fact(self.src, dims, dim_rows=self.dim_rows, limit=limit).withColumn(
             "chunk_no", chunk_number(F.col("order_line_id"), self.chunk_size)
@@ -225,7 +235,7 @@ class _Run:
             .agg(F.count("*").alias("row_count"))
         )
         rows = plan.join(counted, "chunk_no", "left").select(
-            "chunk_no",
+            F.col("chunk_no").alias("log_id"),
             F.lit(self.run_id).alias("run_id"),
             F.concat(F.lit("FACT_CHUNK_"), F.col("chunk_no").cast("string")).alias("step_name"),
             F.lit(started).alias("started_at"),
@@ -237,17 +247,11 @@ class _Run:
                 F.lit("order_line_id "), F.concat_ws("-", F.col("from_id"), F.col("to_id"))
             ).alias("message"),
         )
-        self.log_batches(rows, plan.count())
-
-    def log_batches(self, rows: DataFrame, n: int) -> None:
-        if n:
-            number = F.col("chunk_no")
-            self.warehouse.log.events(
-                rows.withColumn("log_id", number).drop("chunk_no"), F.col("log_id"), n
-            )
+        self.warehouse.log.events(rows, plan.count())
 
     def facts_by_batch(self, plan: DataFrame) -> None:
         """Batches as separate jobs; the plan holds one small row per batch."""
+        dims = lookup_tables(self.warehouse, self.run_id)
         done: list[int] = []
         failed: list[BaseException] = []
 
@@ -265,6 +269,7 @@ class _Run:
                         batch.chunk_no,
                         batch.from_id,
                         batch.to_id,
+                        dims,
                         self.dim_rows,
                         self.params.broadcast_limit,
                     ),
@@ -321,14 +326,12 @@ class _Run:
             f"threads={params.threads or 'all'} lang={params.lang}"
         )
         self.warehouse.log.event(self.run_id, "PIPELINE", RUNNING, started, message=settings)
+        self.warehouse.log.flush()
         total, message = 0, None
         try:
-            with _step("SOURCE"):
-                self.check_source()
             step, begun, mark, rows, _ = self.timed("TRUNCATE_STAR", self.truncate)
             self.log(step, begun, mark, rows)
-            self.dimensions()
-            plan = self.plan_batches()
+            plan = self.prepare()
             if params.threads:
                 self.facts_by_batch(plan)
             else:
@@ -344,6 +347,7 @@ class _Run:
             self.warehouse.log.event(
                 self.run_id, step, status, started, ended, total, message, spent
             )
+        self.warehouse.log.flush()
         return LoadResult(self.run_id, status, total, spent, message)
 
 

@@ -6,7 +6,7 @@ latest event of each step.
 
 from __future__ import annotations
 
-import threading
+from concurrent.futures import Future, ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,27 +14,32 @@ from pyspark.sql import functions as F
 
 from orrery.functions.display import clock
 from orrery.schemas import RUN_LOG, assert_schema
+from orrery.workspace import read_or_empty
 
 _DETAILS = ("started_at", "ended_at", "row_count", "duration_ms", "status", "message")
 MESSAGE_LENGTH = 500
 
 
 class LogWriter:
-    """Appends events with rising ids; one writer per run, safe to call from its threads."""
+    """Appends events with rising ids, one after the other, beside the work they report.
+
+    One writer serves one run. Its single thread keeps the order of events and spares
+    a step the wait for its own log row; `flush` waits for what is still to be written.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self._lock = threading.Lock()
         self._next = None
+        self._thread = ThreadPoolExecutor(1, thread_name_prefix="run-log")
+        self._pending: list[Future] = []
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(RUN_LOG.schema).parquet(self.path)
+        return read_or_empty(self.spark, RUN_LOG.schema, self.path)
 
-    def _reserve(self, n: int) -> int:
-        if self._next is None:
-            self._next = (self.read().agg(F.max("log_id")).first()[0] or 0) + 1
-        first, self._next = self._next, self._next + n
-        return first
+    def flush(self) -> None:
+        pending, self._pending = self._pending, []
+        for write in pending:
+            write.result()
 
     def event(
         self,
@@ -50,25 +55,23 @@ class LogWriter:
         if message is not None:
             message = message[:MESSAGE_LENGTH]
         values = (run_id, step, started_at, ended_at, row_count, duration_ms, status, message)
-        with self._lock:
-            row = (self._reserve(1), *values)
-            self._append(
-                self.spark.range(1).select(
-                    *[
-                        F.lit(value).cast(column.dtype).alias(column.name)
-                        for value, column in zip(row, RUN_LOG.columns)
-                    ]
-                )
-            )
-
-    def events(self, rows: DataFrame, order: Column, n: int) -> None:
-        """Append a frame of n events without log ids; `order` is their number from 1 to n."""
-        with self._lock:
-            first = self._reserve(n)
-            self._append(rows.withColumn("log_id", (order + (first - 1)).cast("long")))
-
-    def _append(self, rows: DataFrame) -> None:
-        assert_schema(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(self.path)
+        columns = [c for c in RUN_LOG.columns if c.name != "log_id"]
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(1).alias("log_id"),
+            *[F.lit(v).cast(c.dtype).alias(c.name) for v, c in zip(values, columns)],
+        )
+        self.events(row, 1)
+
+    def events(self, rows: DataFrame, n: int) -> None:
+        """Append n events whose log ids count from 1; they are moved past the stored ones."""
+        self._pending.append(self._thread.submit(self._append, rows, n))
+
+    def _append(self, rows: DataFrame, n: int) -> None:
+        if self._next is None:
+            self._next = (self.read().agg(F.max("log_id")).first()[0] or 0) + 1
+        moved = rows.withColumn("log_id", (F.col("log_id") + (self._next - 1)).cast("long"))
+        assert_schema(moved, RUN_LOG).coalesce(1).write.mode("append").parquet(self.path)
+        self._next += n
 
 
 def run_log_latest(log: DataFrame) -> DataFrame:

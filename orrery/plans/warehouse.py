@@ -6,10 +6,14 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.plans.control import STOP_REQUESTED, ControlTable
 from orrery.plans.runlog import LogWriter
 from orrery.schemas import DIMENSIONS, FACT_SALES, RUN_LOG, STAR, Table
+from orrery.workspace import read_or_empty
+
+_PUBLICATION = T.StructType().add("run_id", "string").add("version", "long")
 
 
 class Warehouse:
@@ -22,10 +26,8 @@ class Warehouse:
         self._published = f"{self.root}/published"
 
     def create(self) -> Warehouse:
-        """Make the state tables that do not exist yet."""
-        self._empty(RUN_LOG).write.mode("ignore").parquet(self.log.path)
+        """Make the control values; the other tables appear with their first row."""
         self.control.create()
-        self._publication("").limit(0).write.mode("ignore").parquet(self._published)
         return self
 
     def _empty(self, table: Table) -> DataFrame:
@@ -34,30 +36,17 @@ class Warehouse:
     def table_path(self, run_id: str, table: str) -> str:
         return f"{self.root}/runs/{run_id}/{table}"
 
-    def create_star(self, run_id: str) -> None:
-        """Five empty tables in the folder of a new run; the fact has no batch yet."""
-        for table in DIMENSIONS.values():
-            self._empty(table).write.mode("overwrite").parquet(self.table_path(run_id, table.name))
-        (
-            self._empty(FACT_SALES)
-            .withColumn("chunk_no", F.lit(0).cast("long"))
-            .write.mode("overwrite")
-            .partitionBy("chunk_no")
-            .parquet(self.table_path(run_id, FACT_SALES.name))
-        )
-
     def dimension(self, run_id: str, name: str) -> DataFrame:
-        return self.spark.read.schema(DIMENSIONS[name].schema).parquet(
-            self.table_path(run_id, name)
-        )
+        path = self.table_path(run_id, name)
+        return read_or_empty(self.spark, DIMENSIONS[name].schema, path)
 
     def batches(self, run_id: str) -> DataFrame:
         """Fact rows with the number of the batch that loaded them."""
         schema = FACT_SALES.schema.add("chunk_no", "long")
-        return self.spark.read.schema(schema).parquet(self.table_path(run_id, FACT_SALES.name))
+        return read_or_empty(self.spark, schema, self.table_path(run_id, FACT_SALES.name))
 
     def star(self, run_id: str | None = None) -> dict[str, DataFrame]:
-        """The tables of a run; of the published one by default."""
+        """The tables of a run, of the published one by default; empty where not loaded yet."""
         run = run_id or self.published_run()
         if run is None:
             return {table.name: self._empty(table) for table in STAR.values()}
@@ -74,10 +63,10 @@ class Warehouse:
         return row[0] or None
 
     def _publications(self) -> DataFrame:
-        return self.spark.read.schema("run_id string, version long").parquet(self._published)
+        return read_or_empty(self.spark, _PUBLICATION, self._published)
 
     def _publication(self, run_id: str) -> DataFrame:
-        return self.spark.range(1).select(
+        return self.spark.range(0, 1, 1, 1).select(
             F.lit(run_id).alias("run_id"), F.lit(time.time_ns()).cast("long").alias("version")
         )
 

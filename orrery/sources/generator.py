@@ -1,8 +1,8 @@
 """Synthetic order lines of any size, the same for a seed on any cluster.
 
-All attributes of a customer or product are functions of its number, so order lines
-are filled in where they are generated: nothing is joined but the short word tables,
-and nothing is shuffled but the numbering of the lines.
+All attributes of a customer, sales rep or product are functions of its number, so
+order lines are filled in where they are generated: nothing is joined, and nothing is
+shuffled but the numbering of the lines.
 """
 
 from __future__ import annotations
@@ -10,28 +10,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.functions.draws import PRIME, pick, uniform_int
+from orrery.functions.draws import pick, product, scale_rounded, with_draws
 from orrery.functions.rules import numbered_code
 from orrery.operators.keys import dense_key
 from orrery.schemas import STAGING_ORDERS, assert_schema
 from orrery.sources import vocabulary as V
 
-# What each draw decides.
-CITY, FORM, SURNAME, PLACE, SEGMENT, NAME_STYLE = 11, 12, 13, 14, 15, 16
-REP_FIRST_NAME, REP_SURNAME = 21, 22
-PREFIX, BASE_NAME, BRAND, PRICE = 31, 32, 33, 34
-ORDER_CUSTOMER, ORDER_DAY, ORDER_LINES = 41, 42, 43
-LINE_PRODUCT, LINE_QUANTITY, LINE_QUANTITY_AGAIN, LINE_DISCOUNT = 51, 52, 53, 54
+# What is drawn for each kind of row, in order.
+DRAWS = {
+    "customer": ("_city", "_form", "_surname", "_place", "_segment", "_style"),
+    "salesrep": ("_first", "_last"),
+    "product": ("_prefix", "_base", "_brand", "_price"),
+    "order": ("_customer", "_day", "_lines"),
+    "line": ("_product", "_quantity", "_quantity_again", "_discount"),
+}
 
 LINE_SLOTS = 8  # line number = order number x slots + line, unique as orders have at most 7 lines
 
 
-def _choose(words: Sequence[str], position: Column) -> Column:
-    """The word at a 0-based position."""
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (position + 1).cast("int"))
+def _constant(value) -> str:
+    """SQL text of a fixed word, number or tuple of those."""
+    if isinstance(value, (list, tuple)):
+        return f"array({', '.join(map(_constant, value))})"
+    if isinstance(value, int):
+        return str(value)
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _choose(entries: Sequence, position: Column) -> Column:
+    """The entry at a 0-based position of a fixed list, which is one constant in the plan."""
+    return F.element_at(F.expr(_constant(entries)), (position + 1).cast("int"))
 
 
 def words_of(lang: str) -> V.Words:
@@ -40,6 +52,11 @@ def words_of(lang: str) -> V.Words:
     return V.WORDS[lang]
 
 
+def region_names() -> list[str]:
+    """The regions in alphabetical order, accents ignored."""
+    return sorted({region for _, _, region in V.CITIES}, key=lambda r: r.replace("Î", "I"))
+
+
 # -- word tables -----------------------------------------------------------------
 
 
@@ -62,56 +79,63 @@ def category_table(spark: SparkSession, lang: str = "en") -> DataFrame:
 
 
 def generate_salesreps(spark: SparkSession, seed: int = 0) -> DataFrame:
-    """Twelve sales reps per region; regions in alphabetical order, accents ignored."""
-    regions = city_table(spark).select("region").distinct()
-    by_region = Window.orderBy(F.translate("region", "Î", "I"))
-    rep_id = (F.col("region_no") - 1) * V.REPS_PER_REGION + F.col("k")
-    reps = (
-        regions.withColumn("region_no", F.row_number().over(by_region).cast("long"))
-        .withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(V.REPS_PER_REGION).cast("long"))))
-        .withColumn("id", rep_id)
-    )
-    number = F.col("id")
-    first = _choose(
-        V.FIRST_NAMES, pick(uniform_int(number, REP_FIRST_NAME, seed), len(V.FIRST_NAMES))
-    )
-    last = _choose(V.SURNAMES, pick(uniform_int(number, REP_SURNAME, seed), len(V.SURNAMES)))
-    return reps.select(
-        "id",
-        numbered_code("REP", number, 3).alias("salesrep_code"),
-        F.concat_ws(" ", first, last).alias("salesrep_name"),
-        F.col("region").alias("salesrep_region"),
+    """Twelve sales reps per region, numbered region by region."""
+    regions = list(enumerate(region_names(), start=1))
+    each = F.explode(F.sequence(F.lit(1), F.lit(V.REPS_PER_REGION))).alias("k")
+    reps = spark.createDataFrame(regions, "region_no long, region string").select(
+        "region_no", "region", each
+    )
+    return with_salesrep(reps, "region_no", "k", seed).select(
+        (((F.col("region_no") - 1) * V.REPS_PER_REGION) + F.col("k")).alias("id"),
+        "salesrep_code",
+        "salesrep_name",
+        "region",
         "k",
     )
 
 
-# -- customers and products by number ---------------------------------------------
+# -- customers, sales reps and products by number ----------------------------------
 
 
-def with_customer(df: DataFrame, number: str, seed: int = 0, lang: str = "en") -> DataFrame:
-    """Add the attributes of the customer with the given number.
-
-    The city table has one hundred rows: a broadcast of fixed size.
-    """
-    words = words_of(lang)
-    n = F.col(number)
+def with_salesrep(df: DataFrame, region_no: str, rep_no: str, seed: int = 0) -> DataFrame:
+    """Add code and name of the rep with the given number (from 1) in a region (from 1)."""
+    draws = DRAWS["salesrep"]
+    first = _choose(V.FIRST_NAMES, pick("_first", len(V.FIRST_NAMES)))
+    last = _choose(V.SURNAMES, pick("_last", len(V.SURNAMES)))
+    rep_id = (F.col(region_no) - 1) * V.REPS_PER_REGION + F.col(rep_no)
+    return (
+        with_draws(df.withColumn("_rep", rep_id), "_rep", "salesrep", draws, seed)
+        .withColumn("salesrep_code", numbered_code("REP", F.col("_rep"), 3))
+        .withColumn("salesrep_name", F.concat_ws(" ", first, last))
+        .drop("_rep", *draws)
+    )
 
-    def draw(what: int, size: int) -> Column:
-        return pick(uniform_int(n, what, seed), size)
 
-    city_id = draw(CITY, len(V.CITIES)) + 1
-    form = _choose(words.legal_forms, draw(FORM, len(words.legal_forms)))
-    surname = _choose(V.SURNAMES, draw(SURNAME, len(V.SURNAMES)))
-    place = _choose(V.PLACES, draw(PLACE, len(V.PLACES)))
-    owner = F.when(draw(NAME_STYLE, 2) == 0, surname).otherwise(place)
+def with_customer(df: DataFrame, number: str, seed: int = 0, lang: str = "en") -> DataFrame:
+    """Add the attributes of the customer with the given number."""
+    words = words_of(lang)
+    draws = DRAWS["customer"]
+    form = _choose(words.legal_forms, pick("_form", len(words.legal_forms)))
+    surname = _choose(V.SURNAMES, pick("_surname", len(V.SURNAMES)))
+    place = _choose(V.PLACES, pick("_place", len(V.PLACES)))
+    owner = F.when(pick("_style", 2) == 0, surname).otherwise(place)
+    segment = _choose(words.segments, pick("_segment", len(words.segments)))
+    cities, depts, regions = zip(*V.CITIES)
+    numbers = [region_names().index(region) + 1 for region in regions]
+    place_in_list = F.col("_city_no")
     return (
-        df.withColumn("city_id", city_id)
-        .join(F.broadcast(city_table(df.sparkSession)), "city_id")
-        .withColumn("customer_code", numbered_code("C", n, 6))
-        .withColumn("customer_name", F.concat(form, F.lit(" "), owner, F.lit(" - "), "city"))
-        .withColumn("customer_segment", _choose(words.segments, draw(SEGMENT, len(words.segments))))
-        .withColumnsRenamed({"city": "customer_city", "dept": "customer_dept"})
-        .drop("city_id")
+        with_draws(df, number, "customer", draws, seed)
+        .withColumn("_city_no", pick("_city", len(V.CITIES)))
+        .withColumn("customer_city", _choose(cities, place_in_list))
+        .withColumn("customer_dept", _choose(depts, place_in_list))
+        .withColumn("region", _choose(regions, place_in_list))
+        .withColumn("region_no", _choose(numbers, place_in_list).cast("long"))
+        .withColumn("customer_code", numbered_code("C", F.col(number), 6))
+        .withColumn(
+            "customer_name", F.concat(form, F.lit(" "), owner, F.lit(" - "), "customer_city")
+        )
+        .withColumn("customer_segment", segment)
+        .drop("_city_no", *draws)
     )
 
 
@@ -119,29 +143,26 @@ def with_product(df: DataFrame, number: str, seed: int = 0, lang: str = "en") ->
     """Add the attributes and list price of the product with the given number."""
     words = words_of(lang)
     n = F.col(number)
-    categories = len(words.categories)
-    cents = (F.col("high") - F.col("low")) * 100
-    above_low = F.call_function(
-        "div", uniform_int(n, PRICE, seed) * cents + PRIME // 2, F.lit(PRIME).cast("long")
-    )
-    prefix = _choose(words.prefixes, pick(uniform_int(n, PREFIX, seed), len(words.prefixes)))
-    base = F.element_at(
-        "names", (pick(uniform_int(n, BASE_NAME, seed), F.size("names")) + 1).cast("int")
-    )
+    draws = DRAWS["product"]
+    category_names, product_names = zip(*words.categories)
+    lows, highs = zip(*V.PRICE_BOUNDS)
+    category = F.col("_category")
+    low, high = _choose(lows, category).cast("long"), _choose(highs, category).cast("long")
+    cents = (high - low) * 100
+    above_low = scale_rounded("_price", cents)
+    prefix = _choose(words.prefixes, pick("_prefix", len(words.prefixes)))
+    base = F.element_at("_names", (pick("_base", F.size("_names")) + 1).cast("int"))
+    list_price = (low * 100 + above_low).cast("decimal(12,0)") / 100
     return (
-        df.withColumn("category_id", (n - 1) % categories + 1)
-        .join(F.broadcast(category_table(df.sparkSession, lang)), "category_id")
+        with_draws(df, number, "product", draws, seed)
+        .withColumn("_category", (n - 1) % len(words.categories))
+        .withColumn("_names", _choose(product_names, category))
         .withColumn("product_code", numbered_code("P", n, 6))
         .withColumn("product_name", F.concat(prefix, base))
-        .withColumn("product_category", F.col("category"))
-        .withColumn(
-            "product_brand", _choose(V.BRANDS, pick(uniform_int(n, BRAND, seed), len(V.BRANDS)))
-        )
-        .withColumn(
-            "list_price",
-            ((F.col("low") * 100 + above_low).cast("decimal(12,0)") / 100).cast("decimal(12,2)"),
-        )
-        .drop("category_id", "category", "names", "low", "high")
+        .withColumn("product_category", _choose(category_names, category))
+        .withColumn("product_brand", _choose(V.BRANDS, pick("_brand", len(V.BRANDS))))
+        .withColumn("list_price", list_price.cast("decimal(12,2)"))
+        .drop("_category", "_names", *draws)
     )
 
 
@@ -171,17 +192,12 @@ def generate_headers(
     days: int = V.DAYS,
 ) -> DataFrame:
     """One order per row of `ids`: customer number, date and number of lines."""
-    n = F.col("id").cast("long")
     start = F.lit(date.fromisoformat(first_day))
-    return ids.select(
-        n.alias("order_no"),
-        (pick(uniform_int(n, ORDER_CUSTOMER, seed), customers) + 1).alias("customer_no"),
-        F.date_add(start, pick(uniform_int(n, ORDER_DAY, seed), days).cast("int")).alias(
-            "order_date"
-        ),
-        (pick(uniform_int(n, ORDER_LINES, seed), V.MOST_LINES_PER_ORDER) + 1)
-        .cast("int")
-        .alias("n_lines"),
+    return with_draws(ids, "id", "order", DRAWS["order"], seed).select(
+        F.col("id").cast("long").alias("order_no"),
+        (pick("_customer", customers) + 1).alias("customer_no"),
+        F.date_add(start, pick("_day", days).cast("int")).alias("order_date"),
+        (pick("_lines", V.MOST_LINES_PER_ORDER) + 1).cast("int").alias("n_lines"),
     )
 
 
@@ -195,39 +211,27 @@ def generate_lines(
     headers: DataFrame, products: int, seed: int = 0, lang: str = "en"
 ) -> DataFrame:
     """Order lines in the flat source layout, numbered 1..n by order and line."""
-    spark = headers.sparkSession
     lines = expand_lines(headers, "n_lines").withColumn(
         "slot", F.col("order_no") * LINE_SLOTS + F.col("line_no")
     )
     lines = dense_key(lines, ["order_no", "line_no"], "order_line_id")
-    slot = F.col("slot")
-    both = F.call_function(
-        "div",
-        uniform_int(slot, LINE_QUANTITY, seed) * uniform_int(slot, LINE_QUANTITY_AGAIN, seed),
-        F.lit(PRIME).cast("long"),
-    )
-    discount = F.element_at(
+    draws = DRAWS["line"]
+    both = product("_quantity", "_quantity_again")
+    percent = F.element_at(
         F.array(*[F.lit(p) for p in V.DISCOUNT_PERCENTS]),
-        (pick(uniform_int(slot, LINE_DISCOUNT, seed), len(V.DISCOUNT_PERCENTS)) + 1).cast("int"),
-    )
-    kept = (F.lit(100) - discount).cast("decimal(3,0)")
-    rep_of_region = F.broadcast(
-        generate_salesreps(spark, seed).select(
-            F.col("salesrep_region").alias("region"),
-            F.col("k").alias("rep_no"),
-            "salesrep_code",
-            "salesrep_name",
-        )
+        (pick("_discount", len(V.DISCOUNT_PERCENTS)) + 1).cast("int"),
     )
     drawn = (
-        lines.withColumn("quantity", (pick(both, V.QUANTITY_SPAN) + 1).cast("int"))
-        .withColumn("kept", kept)
-        .withColumn("product_no", pick(uniform_int(slot, LINE_PRODUCT, seed), products) + 1)
+        with_draws(lines, "slot", "line", draws, seed)
+        .withColumn("quantity", (pick(both, V.QUANTITY_SPAN) + 1).cast("int"))
+        .withColumn("kept", (F.lit(100) - percent).cast("decimal(3,0)"))
+        .withColumn("product_no", pick("_product", products) + 1)
+        .drop(*draws)
     )
     full = with_product(with_customer(drawn, "customer_no", seed, lang), "product_no", seed, lang)
+    full = full.withColumn("rep_no", F.col("customer_no") % V.REPS_PER_REGION + 1)
     rows = (
-        full.withColumn("rep_no", F.col("customer_no") % V.REPS_PER_REGION + 1)
-        .join(rep_of_region, ["region", "rep_no"])
+        with_salesrep(full, "region_no", "rep_no", seed)
         .withColumn("salesrep_region", F.col("region"))
         .withColumn("order_id", numbered_code("CMD", F.col("order_no"), 8))
         .withColumn(

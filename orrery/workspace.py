@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +68,16 @@ def widest_row_bytes(schema: T.StructType, max_lengths: dict[str, int]) -> int |
     return total
 
 
+def read_or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The stored table, or no rows if nothing has been written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def fits(schema: T.StructType, rows: int, max_lengths: dict[str, int], limit: int) -> bool:
     """Whether counted rows times the widest row stay under `limit`."""
     width = widest_row_bytes(schema, max_lengths)
