@@ -299,8 +299,8 @@ def _gen_headers(p: Prepared) -> DataFrame:
 
 
 def _gen_orders(p: Prepared, lang: str) -> DataFrame:
-    products = p.table("part").count()
-    return generator.generate_lines(_gen_headers(p), products, seed=7, lang=lang)
+    customers, products = p.table("customer").count(), p.table("part").count()
+    return generator.generate_lines(_gen_headers(p), customers, products, seed=7, lang=lang)
 
 
 def _lineage_upstream(p: Prepared) -> DataFrame:

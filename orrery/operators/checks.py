@@ -72,7 +72,7 @@ def check_length(df: DataFrame, table: Table) -> DataFrame:
 
 def check_foreign_key(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Rows whose key has no parent row. A NULL key refers to nothing and passes."""
-    parents = parent.select(F.col(key).alias(column)).distinct()
+    parents = parent.select(F.col(key).alias(column))
     return df.filter(F.col(column).isNotNull()).join(parents, column, "left_anti")
 
 

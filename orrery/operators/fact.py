@@ -56,7 +56,8 @@ def lookup_key(
     Only code and key travel. With the row count known, their widest size is known
     too, and a dimension under the limit is broadcast: rows stay where they are and
     a hot code does no harm. A larger one, or one of unknown size, is joined without
-    a hint, where adaptive execution splits the partition of a hot code.
+    a hint, where adaptive execution splits the partition of a hot code; for that the
+    dimension has to be a stored table, as it is in a load.
     """
     pairs = dim.select(spec.code, spec.key)
     if dim_rows is not None:

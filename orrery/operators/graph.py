@@ -26,7 +26,8 @@ def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     edges = materialise(edges.select("src", "dst"), "edges")
     found_at: list[str] = []
-    frontier = targets.select("target", F.col("target").alias("node")).distinct()
+    start = targets.select("target", F.col("target").alias("node")).distinct()
+    frontier = materialise(start, "targets")
     while True:
         step = (
             frontier.join(edges, F.col("node") == F.col("dst"))
@@ -94,16 +95,18 @@ def exclusive_callees(calls: DataFrame, group_from: int = 4) -> DataFrame:
     """Callees with a single caller; `grouped` tells whether the caller has enough to group.
 
     Sizes are counted per caller first and joined back, so no list of callees is
-    ever gathered into one row.
+    ever gathered into one row. Both sides of that join are stored tables, which lets
+    adaptive execution split a caller that owns much of them.
     """
     pairs = _distinct_calls(calls)
-    single = (
+    single = materialise(
         pairs.groupBy("callee")
         .agg(F.count("*").alias("callers"), F.min("caller").alias("caller"))
         .filter("callers = 1")
-        .select("caller", "callee")
+        .select("caller", "callee"),
+        "exclusive",
     )
-    sizes = single.groupBy("caller").agg(F.count("*").alias("exclusive"))
+    sizes = materialise(single.groupBy("caller").agg(F.count("*").alias("exclusive")), "sizes")
     return single.join(sizes, "caller").select(
         "caller", "callee", "exclusive", (F.col("exclusive") >= group_from).alias("grouped")
     )

@@ -1,8 +1,9 @@
 """Synthetic order lines of any size, the same for a seed on any cluster.
 
-All attributes of a customer, sales rep or product are functions of its number, so
-order lines are filled in where they are generated: nothing is joined, and nothing is
-shuffled but the numbering of the lines.
+All attributes of a customer, sales rep or product are functions of its number, so the
+tables are generated side by side without reading one another. Lines are numbered while
+they are narrow and then joined to customers and products by number; numbers are drawn
+evenly, so these joins have no hot key.
 """
 
 from __future__ import annotations
@@ -208,36 +209,48 @@ def expand_lines(df: DataFrame, count: str, line_no: str = "line_no") -> DataFra
 
 
 def generate_lines(
-    headers: DataFrame, products: int, seed: int = 0, lang: str = "en"
+    headers: DataFrame, customers: int, products: int, seed: int = 0, lang: str = "en"
 ) -> DataFrame:
-    """Order lines in the flat source layout, numbered 1..n by order and line."""
-    lines = expand_lines(headers, "n_lines").withColumn(
+    """Order lines in the flat source layout, numbered 1..n by order and line.
+
+    The optimizer knows how many customers and products there are and broadcasts them
+    while they are small.
+    """
+    spark = headers.sparkSession
+    slots = expand_lines(headers, "n_lines").withColumn(
         "slot", F.col("order_no") * LINE_SLOTS + F.col("line_no")
     )
-    lines = dense_key(lines, ["order_no", "line_no"], "order_line_id")
-    draws = DRAWS["line"]
-    both = product("_quantity", "_quantity_again")
     percent = F.element_at(
         F.array(*[F.lit(p) for p in V.DISCOUNT_PERCENTS]),
         (pick("_discount", len(V.DISCOUNT_PERCENTS)) + 1).cast("int"),
     )
-    drawn = (
-        with_draws(lines, "slot", "line", draws, seed)
-        .withColumn("quantity", (pick(both, V.QUANTITY_SPAN) + 1).cast("int"))
-        .withColumn("kept", (F.lit(100) - percent).cast("decimal(3,0)"))
-        .withColumn("product_no", pick("_product", products) + 1)
-        .drop(*draws)
+    slots = dense_key(slots, ["order_no", "line_no"], "order_line_id")
+    lines = with_draws(slots, "slot", "line", DRAWS["line"], seed).select(
+        "order_line_id",
+        "order_no",
+        "order_date",
+        "customer_no",
+        (pick("_product", products) + 1).alias("product_no"),
+        (pick(product("_quantity", "_quantity_again"), V.QUANTITY_SPAN) + 1)
+        .cast("int")
+        .alias("quantity"),
+        (F.lit(100) - percent).cast("decimal(3,0)").alias("kept"),
+    )
+    buyers = with_customer(spark.range(1, customers + 1), "id", seed, lang).withColumn(
+        "rep_no", F.col("id") % V.REPS_PER_REGION + 1
+    )
+    buyers = with_salesrep(buyers, "region_no", "rep_no", seed).withColumnsRenamed(
+        {"id": "customer_no", "region": "salesrep_region"}
     )
-    full = with_product(with_customer(drawn, "customer_no", seed, lang), "product_no", seed, lang)
-    full = full.withColumn("rep_no", F.col("customer_no") % V.REPS_PER_REGION + 1)
+    goods = with_product(spark.range(1, products + 1), "id", seed, lang).withColumnRenamed(
+        "id", "product_no"
+    )
+    unit_price = F.round(F.col("list_price") * F.col("kept") / 100, 2)
     rows = (
-        with_salesrep(full, "region_no", "rep_no", seed)
-        .withColumn("salesrep_region", F.col("region"))
+        lines.join(buyers, "customer_no")
+        .join(goods, "product_no")
         .withColumn("order_id", numbered_code("CMD", F.col("order_no"), 8))
-        .withColumn(
-            "unit_price",
-            F.round(F.col("list_price") * F.col("kept") / 100, 2).cast("decimal(12,2)"),
-        )
+        .withColumn("unit_price", unit_price.cast("decimal(12,2)"))
     )
     return assert_schema(rows.select(*STAGING_ORDERS.names), STAGING_ORDERS)
 
@@ -252,4 +265,4 @@ def generate_orders(
 ) -> DataFrame:
     """Flat order lines of `orders` orders, one to seven lines each."""
     headers = generate_headers(spark.range(1, orders + 1), customers, seed)
-    return generate_lines(headers, products, seed, lang)
+    return generate_lines(headers, customers, products, seed, lang)
