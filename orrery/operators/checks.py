@@ -9,37 +9,36 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.money import line_amount
-from orrery.schemas import Table, assert_schema
+from orrery.schemas import Column, Table, assert_schema
 
 
 class IntegrityError(RuntimeError):
     """A table breaks one of its declared rules."""
 
 
-def _fail(table: Table, what: str) -> Column:
-    return F.raise_error(F.lit(f"{table.name}: {what}"))
+def _guarded(table: Table, column: Column) -> str:
+    """SQL text of a column that raises where its rule is broken."""
+
+    def fail(what: str) -> str:
+        return f"raise_error('{table.name}: {what}')"
+
+    name, cases = column.name, ""
+    if not column.nullable:
+        cases += f" when {name} is null then {fail(f'null value in {name}')}"
+    if column.max_length is not None:
+        too_long = fail(f"value too long for {name} ({column.max_length})")
+        cases += f" when length({name}) > {column.max_length} then {too_long}"
+    value = f"case{cases} else {name} end" if cases else name
+    return f"cast({value} as {column.dtype.simpleString()}) as {name}"
 
 
 def enforce(df: DataFrame, table: Table) -> DataFrame:
     """Make a NULL or an over-long text fail the job that writes `df`."""
-    checked = []
-    for column in table.columns:
-        value = F.col(column.name)
-        guarded = value
-        if column.max_length is not None:
-            too_long = F.length(value) > column.max_length
-            message = f"value too long for {column.name} ({column.max_length})"
-            guarded = F.when(too_long, _fail(table, message)).otherwise(guarded)
-        if not column.nullable:
-            guarded = F.when(
-                value.isNull(), _fail(table, f"null value in {column.name}")
-            ).otherwise(guarded)
-        checked.append(guarded.cast(column.dtype).alias(column.name))
-    return assert_schema(df, table).select(*checked)
+    return assert_schema(df, table).selectExpr(*[_guarded(table, c) for c in table.columns])
 
 
 def check_unique(df: DataFrame, *columns: str) -> DataFrame:
