@@ -79,9 +79,10 @@ def dependency_layers(edges: DataFrame) -> DataFrame:
             break
         if settled.isEmpty():
             raise CycleError(f"{left.count()} edges run in a circle or hang on one")
-        ready = settled.select(F.col("node").alias("src"))
-        candidates = left.join(ready, "src", "left_semi").select(F.col("dst").alias("node"))
-        left = materialise(left.join(ready, "src", "left_anti"), "edges")
+        ready = settled.select(F.col("node").alias("src"), F.lit(True).alias("ready"))
+        marked = materialise(left.join(ready, "src", "left").select("src", "dst", "ready"), "edges")
+        candidates = marked.filter("ready").select(F.col("dst").alias("node"))
+        left = marked.filter("ready is null").select("src", "dst")
         layer += 1
     return spark.read.schema(settled.schema).parquet(*settled_at)
 
