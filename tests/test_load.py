@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.operators.dims import DIM_SPECS
+from orrery.operators.fact import build_fact
 from orrery.plans import load as L
 from orrery.plans import runlog
 from orrery.plans.control import STOP_REQUESTED
@@ -83,6 +84,15 @@ def test_unclustered_source_and_unhinted_joins(spark, orders, loaded, folder):
     assert facts(spark, root) == facts(spark, loaded[0])
 
 
+def test_bounded_lookups_do_not_shuffle_the_fact(spark, orders, loaded):
+    star = open_star(spark, loaded[0])
+    sizes = {spec.table.name: star[spec.table.name].count() for spec in DIM_SPECS}
+    built = build_fact(orders, star, dim_rows=sizes)
+    assert len(built.collect()) == orders.count()
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "ShuffleQueryStage" not in plan
+
+
 def test_french_calendar(spark, orders, folder):
     root = folder("star")
     load_star(orders, root, LoadParams(lang="fr"))
