@@ -66,15 +66,24 @@ def read_stream_facts(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_sales_by_month(
-    spark: SparkSession, path: str, out: str, checkpoint: str, files_per_batch: int = 8
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    files_per_batch: int = 8,
+    state_partitions: int = 8,
 ) -> DataFrame:
     """Revenue and lines per month, brought up to date with every micro-batch.
 
-    The state holds one row per month. Lines are summed in each task before the
-    shuffle, so a busy month is no hot spot.
+    Lines are summed in each task before the shuffle, so a busy month is no hot spot.
+    The state holds one row per month and needs few partitions; the number is set in
+    a session of the query's own, as a stream would otherwise keep one state file per
+    shuffle partition of the whole application.
     """
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     months = (
-        orders_stream(spark, path, files_per_batch)
+        orders_stream(own, path, files_per_batch)
         .groupBy(year_month(F.col("order_date")).alias("year_month"))
         .agg(
             F.sum(line_amount(F.col("quantity"), F.col("unit_price"))).cast(TOTAL).alias("amount"),
