@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontamination, simhash
+from orrery.llm import decontamination, language_id, pieces, pii, simhash
 from orrery.llm.rows import table
 
 
@@ -18,6 +18,17 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(language_id.training_rows(docs))
+    return language_id.predict(docs, model, ["doc_id"]).select(
+        "doc_id",
+        language_id.third_is_held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"]
@@ -33,7 +44,21 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.tokenise(table(spark, folder, "documents"), ["doc_id"])
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs).select(
+        "doc_id", F.col("pseudonymised").alias("text"), "n_pii"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op5_language_id": op5_language_id,
     "op7_decontamination": op7_decontamination,
+    "op8_pieces": op8_pieces,
+    "op10_pii": op10_pii,
 }

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.components import Forest, component_of
@@ -255,6 +255,11 @@ def linked(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.groupBy("unit", "h", "q").applyInPandas(search, "a long, b long")
 
 
+def row_key(id: Column, text: Column) -> tuple[Column, Column]:
+    """96 bits that are equal for rows of equal id and text, nulls included."""
+    return F.xxhash64(id, text), F.hash(id, text)
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -262,7 +267,7 @@ def near_duplicates(
     text: str = "text",
     radius: int = RADIUS,
 ) -> DataFrame:
-    """One row per document: doc_id, code (signed fingerprint), component_id.
+    """One row per document: doc_id, code (signed fingerprint), component_id, and its `row_key`.
 
     Words are runs without ASCII white space, A-Z lower-cased; shingles are
     `SHINGLE` words joined by a space, repeats included; a shorter text is one
@@ -272,11 +277,12 @@ def near_duplicates(
     null id never names a component unless no other id is in it. Rows that repeat
     an id each get their row.
     """
-    stored = materialise(
-        fingerprints(docs.select(named(docs, id).alias("doc_id"), named(docs, text).alias("t")),
-                     ["doc_id"], text="t"),
-        "fingerprints",
+    read = docs.select(
+        named(docs, id).alias("doc_id"),
+        named(docs, text).alias("t"),
+        *[c.alias(f"key{i}") for i, c in enumerate(row_key(named(docs, id), named(docs, text)))],
     )
+    stored = materialise(fingerprints(read, ["doc_id", "key0", "key1"], text="t"), "fingerprints")
     classes = stored.groupBy("code").agg(F.min("doc_id").alias("doc_id"))
     edges = linked(classes.select("code"), radius)
     found = component_of(edges)  # only codes with a link
@@ -289,4 +295,4 @@ def near_duplicates(
     every = classes.join(linked_codes, classes.code == linked_codes.node, "left").select(
         "code", F.coalesce("component_id", "doc_id").alias("component_id")
     )
-    return stored.join(every, "code").select("doc_id", "code", "component_id")
+    return stored.join(every, "code").select("doc_id", "code", "component_id", "key0", "key1")
