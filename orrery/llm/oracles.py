@@ -6,6 +6,21 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op2_substrings": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (
+  select doc_id, w, i, array_to_string(w[i:i + 34], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+repeated as (select g from starts group by g having count(*) > 1),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 35)) as p from starts semi join repeated using (g)),
+kept as (
+  select doc_id, string_agg(word, ' ' order by p) as kept, count(*) as n
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d)
+  anti join gone using (doc_id, p) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from d left join kept using (doc_id)""",
     "op7_decontamination": rf"""
 with d as (select doc_id, {_ALNUM_WORDS} as w from documents),
 b as (select item_id, {_ALNUM_WORDS} as w from benchmark where item_id is not null),

@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontamination, language_id, pieces, pii, simhash
+from orrery.llm import decontamination, language_id, pieces, pii, simhash, substrings
 from orrery.llm.rows import table
 
 
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.repeated_passages(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -56,6 +66,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substrings": op2_substrings,
     "op3_simhash": op3_simhash,
     "op5_language_id": op5_language_id,
     "op7_decontamination": op7_decontamination,

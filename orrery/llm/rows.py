@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orrery.llm.shipping import ship
 
 #: Bytes of text handled at once inside a task; a longer document is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 Compute = Callable[[list[pa.Array]], list[pa.Array]]
 
