@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontamination, language_id, pieces, pii, simhash, substrings
+from orrery.llm import decontamination, language_id, language_model, pieces, pii
+from orrery.llm import secrets, simhash, substrings
 from orrery.llm.rows import table
 
 
@@ -28,6 +29,28 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"), ["doc_id"])
+
+    def spelt(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(spelt(base).cast("binary"), 256).alias("base_sha256"),
+        spelt(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language_id.fit(language_id.training_rows(docs))
@@ -58,6 +81,15 @@ def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.tokenise(table(spark, folder, "documents"), ["doc_id"])
 
 
+def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = language_model.seventh_is_held_out(F.col("doc_id"))
+    found = language_model.score_texts(
+        docs.select("doc_id", "text"), F.col("doc_id").isNotNull() & ~held_out, ["doc_id"]
+    )
+    return found.select("doc_id", held_out.alias("held_out"), *found.columns[1:])
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs).select(
@@ -68,8 +100,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substrings": op2_substrings,
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
     "op5_language_id": op5_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_pieces": op8_pieces,
+    "op9_language_model": op9_language_model,
     "op10_pii": op10_pii,
 }
