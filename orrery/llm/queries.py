@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontamination, language_id, language_model, pieces, pii
+from orrery.llm import decontamination, language_id, language_model, lattice, pieces, pii
 from orrery.llm import secrets, simhash, substrings
 from orrery.llm.rows import table
 
 
+def op1_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, folder, "documents"))
     return found.select(
@@ -98,6 +102,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice": op1_lattice,
     "op2_substrings": op2_substrings,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
