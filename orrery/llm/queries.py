@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import decontamination, language_id, language_model, lattice, pieces, pii
-from orrery.llm import secrets, simhash, substrings
+from orrery.llm import secrets, simhash, substrings, tool_calls
 from orrery.llm.rows import table
 
 
@@ -66,6 +66,65 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TOOL_SCHEMAS = {
+    "answer": {
+        "type": "object",
+        "required": ["question", "turn"],
+        "properties": {
+            "question": {"type": "string", "minLength": 40},
+            "turn": {"type": "integer", "minimum": 0},
+            "after": {"type": "string"},
+        },
+        "additionalProperties": False,
+    }
+}
+
+
+def op6_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations as given, and the same ones told as tool traffic.
+
+    The given turns hold no calls, so in the second telling each user turn calls a tool
+    with its text, pointing to the call before, and each assistant turn is the result of
+    the turn before it; of every fourth conversation the results come in before the calls.
+    """
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    call = F.to_json(
+        F.struct(
+            F.array(
+                F.struct(
+                    F.concat(F.lit("call-"), "turn").alias("id"),
+                    F.when(F.col("turn") % 5 == 4, "search").otherwise("answer").alias("name"),
+                    F.struct(
+                        F.col("text").alias("question"),
+                        F.col("turn").alias("turn"),
+                        F.when(
+                            F.col("turn") >= 2,
+                            F.struct(F.concat(F.lit("call-"), F.col("turn") - 2).alias("$ref")),
+                        ).alias("after"),
+                    ).alias("arguments"),
+                )
+            ).alias("tool_calls")
+        )
+    )
+    result = F.to_json(
+        F.struct(
+            F.concat(F.lit("call-"), F.col("turn") - 1).alias("tool_call_id"),
+            F.col("text").alias("content"),
+        )
+    )
+    early = (F.col("conv_id") % 4 == 0) & (F.col("role") == "assistant")
+    told = given.select(
+        (-1 - F.col("conv_id")).alias("conv_id"),
+        F.when(early, F.col("turn") - 2).otherwise(F.col("turn")).alias("turn"),
+        "role",
+        F.when(F.col("role") == "user", call)
+        .when(F.col("role") == "assistant", result)
+        .otherwise(F.col("text"))
+        .alias("text"),
+    )
+    return tool_calls.link_tool_calls(given.union(told), TOOL_SCHEMAS)
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"]
@@ -107,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_language_id": op5_language_id,
+    "op6_tool_calls": op6_tool_calls,
     "op7_decontamination": op7_decontamination,
     "op8_pieces": op8_pieces,
     "op9_language_model": op9_language_model,
