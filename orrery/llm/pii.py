@@ -46,7 +46,8 @@ _IP = r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])"
 _SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9]|-[0-9])"
 _CARD = _START + r"(?<!\+)[0-9](?:[ -]?[0-9]){12,18}" + _END
 _PHONE = (
-    r"(?:(?<![A-Za-z0-9])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\)|[ .-]?[0-9]{1,4}){2,5}"
+    r"(?:(?<![A-Za-z0-9+])(?:\+1[ .-]?|1[ .-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}"
+    r"|(?<![A-Za-z0-9])\+[0-9](?:[ .-]?[()]?[ .-]?[0-9]){6,14}"
     r"|(?<![A-Za-z0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
     r"|(?<![A-Za-z0-9+-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _END
 )

@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -187,8 +188,8 @@ def link_tool_calls(
 
     Columns: conv_id, turn, role, n_calls, n_valid, n_answered (calls with a result),
     statuses (by call), answers (id of the call a result is for), answered_turn (turn of
-    that call; null for an orphan), order_turn, order_depth, unordered (in a circle of
-    needs, or behind more than `max_rounds` moved messages), canonical.
+    that call; null for an orphan), order_turn, order_depth, unordered (in or behind a
+    circle of needs, or behind more than half of `max_rounds` moved messages), canonical.
 
     A null conversation is a conversation; a null turn stands before all others and has
     a null order_turn unless the message needs something later. Null and empty texts are
@@ -250,9 +251,9 @@ def link_tool_calls(
     needs = materialise(answered.union(referred).distinct(), "message-needs")
 
     # places of moved messages, as (turn, depth); a message not in it keeps its own
-    moved, circle = None, None
+    moved, restless, circle = None, [], None
     place = F.struct(F.col("p"), F.col("k"))
-    for _ in range(max_rounds):
+    for round_ in range(max_rounds):
         if moved is None:
             told = needs.select(
                 "row", F.struct(F.col("at").alias("p"), F.lit(0).alias("k")).alias("own"),
@@ -272,13 +273,15 @@ def link_tool_calls(
         )
         new = materialise(late, "messages-late")
         if new.isEmpty():
-            circle = None
             break
-        circle = new.select("row")
+        if round_ >= max_rounds // 2:
+            restless.append(new.select("row"))
         moved = new if moved is None else materialise(
             moved.union(new).groupBy("row").agg(F.max(place).alias("b")).select("row", "b.p", "b.k"),
             "messages-moved",
         )
+    else:
+        circle = reduce(DataFrame.union, restless).distinct()
     answers = (
         calls.where("id is not null").join(first_result, ["c", "id"], "left_semi")
         .groupBy("row").agg(F.count("*").alias("n_answered"))
