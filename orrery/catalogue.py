@@ -30,9 +30,10 @@ from orrery.operators.dims import DIM_SPECS, build_dim_date
 from orrery.plans import control, lineage, runlog
 from orrery.plans.load import LoadParams, load_star, replay_batch
 from orrery.plans.warehouse import Warehouse
-from orrery.schemas import DIMENSIONS, FACT_SALES, STAGING_ORDERS
+from orrery.schemas import AMOUNT, DIMENSIONS, FACT_SALES, STAGING_ORDERS
 from orrery.sources import generator
 from orrery.sources.orders import orders_from_normalised, write_orders
+from orrery.functions.display import pretty_size
 from orrery.sources.storage import relation_size
 from orrery.streaming.facts import stream_fact_load, stream_sales_by_month
 from orrery.workspace import new_folder
@@ -150,11 +151,20 @@ def _star_counts(p: Prepared) -> DataFrame:
 
 
 def _relation_size(p: Prepared) -> DataFrame:
-    return relation_size(p.source).select(F.lit("staging_orders").alias("table_name"), "*").union(
-        relation_size(p.batches).select(F.lit("fact_sales"), "*")
+    facts = p.warehouse.table_path(p.run_id, FACT_SALES.name)
+    return (
+        relation_size(p.spark, p.source_path)
+        .select(F.lit("staging_orders").alias("table_name"), "*")
+        .union(relation_size(p.spark, facts).select(F.lit("fact_sales"), "*"))
     )
 
 
+def _size_display(p: Prepared) -> DataFrame:
+    """Readable sizes over many orders of magnitude, from the lengths of documents."""
+    size = F.expr("shiftleft(n_chars, cast(doc_id % 36 as int))")
+    return p.table("documents").select("doc_id", pretty_size(size).alias("size"))
+
+
 def _step_row_counts(p: Prepared) -> DataFrame:
     return runlog.last_run_log(p.warehouse.log.read()).select(
         "step_name", "row_count", "status", "message"
@@ -169,11 +179,28 @@ def _duplicate_codes(p: Prepared) -> DataFrame:
     )
 
 
+def _broken_source(p: Prepared) -> DataFrame:
+    """Order lines with gaps and texts beyond their limits in some of them."""
+    line = F.col("order_line_id")
+    return p.source.withColumns(
+        {
+            "order_id": F.when(line % 10 != 3, F.col("order_id")),
+            "quantity": F.nullif(F.col("quantity"), F.lit(7)),
+            "product_code": F.when(line % 100 != 50, F.col("product_code")).otherwise(
+                F.concat("product_code", F.lit("-"), line.cast("string"))
+            ),
+            "customer_name": F.when(line % 50 != 1, F.col("customer_name")).otherwise(
+                F.repeat("customer_name", 6)
+            ),
+        }
+    )
+
+
 def _null_violations(p: Prepared) -> DataFrame:
     star = p.star
     tables = [*DIMENSIONS.values(), FACT_SALES]
     parts = [checks.null_report(star[t.name], t) for t in tables]
-    parts.append(checks.null_report(p.source, STAGING_ORDERS))
+    parts.append(checks.null_report(_broken_source(p), STAGING_ORDERS))
     return _union(parts)
 
 
@@ -181,7 +208,7 @@ def _length_violations(p: Prepared) -> DataFrame:
     star = p.star
     tables = [*DIMENSIONS.values(), FACT_SALES]
     parts = [checks.length_report(star[t.name], t) for t in tables]
-    parts.append(checks.length_report(p.source, STAGING_ORDERS))
+    parts.append(checks.length_report(_broken_source(p), STAGING_ORDERS))
     return _union(parts)
 
 
@@ -193,8 +220,26 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _orphan_keys(p: Prepared) -> DataFrame:
+    """References of the facts to dimensions in which some rows are missing."""
     star = p.star
-    return checks.orphan_report(star[FACT_SALES.name], star, FACT_SALES)
+    fewer = {
+        **star,
+        "dim_product": star["dim_product"].filter("product_key % 7 <> 3"),
+        "dim_date": star["dim_date"].filter("day_of_month <> 29"),
+    }
+    return checks.orphan_report(star[FACT_SALES.name], fewer, FACT_SALES)
+
+
+def _altered_facts(p: Prepared) -> DataFrame:
+    """Stored facts of which some are lost, some changed, and some not of any line."""
+    facts, line = p.star[FACT_SALES.name].select("order_line_id", "amount"), F.col("order_line_id")
+    changed = facts.filter(line % 997 != 5).withColumn(
+        "amount",
+        F.when(line % 499 == 1, F.col("amount") + F.lit(1)).otherwise(F.col("amount")).cast(AMOUNT),
+    )
+    return changed.unionByName(
+        facts.filter(line % 983 == 2).withColumn("order_line_id", -line)
+    ).unionByName(facts.filter(line % 991 == 7))
 
 
 def _fact_projection(p: Prepared) -> DataFrame:
@@ -268,11 +313,12 @@ def _control_upsert(p: Prepared) -> DataFrame:
     existing = p.table("supplier").select(
         F.col("s_suppkey").cast("string").alias("ctl_key"), F.col("s_name").alias("ctl_value")
     )
-    seed = p.table("customer").select(
-        F.col("c_custkey").cast("string").alias("ctl_key"), F.col("c_name").alias("ctl_value")
+    # orders and lines name a customer and a part many times over: keys repeat
+    seed = p.table("orders").select(
+        F.col("o_custkey").cast("string").alias("ctl_key"), F.col("o_orderpriority").alias("ctl_value")
     )
-    updates = p.table("part").select(
-        F.col("p_partkey").cast("string").alias("ctl_key"), F.col("p_type").alias("ctl_value")
+    updates = p.table("lineitem").select(
+        F.col("l_partkey").cast("string").alias("ctl_key"), F.col("l_returnflag").alias("ctl_value")
     )
     return control.set_values(control.insert_if_absent(existing, seed), updates)
 
@@ -283,9 +329,9 @@ def _star_load(p: Prepared) -> DataFrame:
 
 
 def _fact_replay(p: Prepared) -> DataFrame:
-    """Loaded batch by batch, two at a time, then with its second batch run again."""
-    root = p.load(LoadParams(chunk_size=CHUNK_SIZE, threads=2))
-    replay_batch(p.source, root, 2, CHUNK_SIZE)
+    """Loaded block by block, two at a time, then with its first batch run again."""
+    root = p.load(LoadParams(chunk_size=CHUNK_SIZE, batches_a_block=2, threads=2))
+    replay_batch(p.source, root, 1)
     return Warehouse(p.spark, root).star()[FACT_SALES.name].select(*_COMPARED_FACT)
 
 
@@ -312,6 +358,15 @@ def _lineage_upstream(p: Prepared) -> DataFrame:
     return graph.upstream(edges, products)
 
 
+def _utility_callees(p: Prepared) -> DataFrame:
+    """The package's own services are the customers, and the products of one brand in two."""
+    brand = F.substring("product_brand", -1, 1).cast("int") % 2 == 0
+    customers = p.source.select(F.concat(F.lit("customer:"), "customer_code").alias("service"))
+    products = p.source.filter(brand).select(F.concat(F.lit("product:"), "product_code"))
+    services = customers.union(products).distinct()
+    return graph.utility_callees(lineage.line_calls(p.source), services)
+
+
 def _unfed_columns(p: Prepared) -> DataFrame:
     """Orders of the order table that no line feeds."""
     declared = p.table("orders").select(F.col("o_orderkey").cast("string").alias("node"))
@@ -361,6 +416,7 @@ _QUERIES: dict[str, Callable[[Prepared], DataFrame]] = {
     "source_profile": lambda p: totals.source_profile(p.source),
     "star_counts": _star_counts,
     "relation_size": _relation_size,
+    "size_display": _size_display,
     "dim_date_rows": lambda p: previews.dimension_rows(p.star, "date"),
     "dim_customer_rows": lambda p: previews.dimension_rows(p.star, "customer"),
     "dim_salesrep_rows": lambda p: previews.dimension_rows(p.star, "salesrep"),
@@ -373,8 +429,8 @@ _QUERIES: dict[str, Callable[[Prepared], DataFrame]] = {
     },
     "sales_by_month": lambda p: analysis.sales_by_month(p.star),
     "reconciliation": lambda p: totals.reconcile(p.source, p.star[FACT_SALES.name]),
-    "amount_mismatches": lambda p: checks.amount_mismatches(p.source, p.star[FACT_SALES.name]),
-    "amount_check": lambda p: checks.amount_check(p.source, p.star[FACT_SALES.name]),
+    "amount_mismatches": lambda p: checks.amount_mismatches(p.source, _altered_facts(p)),
+    "amount_check": lambda p: checks.amount_check(p.source, _altered_facts(p)),
     "step_row_counts": _step_row_counts,
     "duplicate_codes": _duplicate_codes,
     "null_violations": _null_violations,
@@ -404,7 +460,7 @@ _QUERIES: dict[str, Callable[[Prepared], DataFrame]] = {
     "lineage_upstream": _lineage_upstream,
     "dependency_layers": lambda p: graph.dependency_layers(lineage.line_edges(p.source)),
     "exclusive_callees": lambda p: graph.exclusive_callees(lineage.line_calls(p.source)),
-    "utility_callees": lambda p: graph.utility_callees(lineage.line_calls(p.source)),
+    "utility_callees": _utility_callees,
     "unfed_columns": _unfed_columns,
     "stream_fact_load": _stream_fact_load,
     "stream_sales_by_month": _stream_sales_by_month,

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_SIZE = 20_000
-COMFORTABLE_BATCHES = 10_000
+#: Batches whose facts share a folder. A batch is a number in a column, not a folder.
+BATCHES_A_BLOCK = 500
 
 
 def require_chunk_size(size: int) -> int:
@@ -15,11 +16,6 @@ def require_chunk_size(size: int) -> int:
     return size
 
 
-def default_chunk_size(highest_id: int) -> int:
-    """20,000 ids per batch until that would make more than 10,000 batches, then wider ones."""
-    return max(DEFAULT_CHUNK_SIZE, -(-highest_id // COMFORTABLE_BATCHES))
-
-
 def chunk_plan(src: DataFrame, chunk_size: int) -> DataFrame:
     """chunk_no from 1, and the interval ]from_id, to_id] of each batch.
 
@@ -41,6 +37,11 @@ def chunk_number(line_id: Column, chunk_size: int) -> Column:
     return F.call_function("div", line_id - 1, F.lit(chunk_size).cast("long")) + 1
 
 
+def block_number(chunk_no: Column, batches_a_block: int) -> Column:
+    """The block of a batch: 1 to batches_a_block are block 1, and so on."""
+    return F.call_function("div", chunk_no - 1, F.lit(batches_a_block).cast("long")) + 1
+
+
 def in_interval(src: DataFrame, from_id: int | None, to_id: int | None) -> DataFrame:
     """Lines with from_id < id <= to_id; a plain comparison, so it reaches the file scan."""
     if from_id is not None:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.money import line_amount
-from orrery.schemas import Column, Table, assert_schema
+from orrery.schemas import TOTAL, Column, Table, assert_schema
 
 
 class IntegrityError(RuntimeError):
@@ -181,30 +181,43 @@ def orphan_report(fact: DataFrame, dims: Mapping[str, DataFrame], table: Table)
     return _stacked(parts)
 
 
-def amount_mismatches(src: DataFrame, fact: DataFrame) -> DataFrame:
-    """Source lines whose fact row is missing or carries another amount.
+def _amounts_compared(src: DataFrame, fact: DataFrame) -> DataFrame:
+    """One row for each line id of either side: how often it is there, and its amounts.
 
-    Line ids are unique on both sides, so the join splits evenly.
+    Each side is first reduced to a row for each id, so a repeated id cannot multiply.
     """
-    expected = src.select(
-        "order_line_id", line_amount(F.col("quantity"), F.col("unit_price")).alias("expected")
+    amount = line_amount(F.col("quantity"), F.col("unit_price"))
+    expected = (
+        src.select("order_line_id", amount.alias("amount"))
+        .groupBy("order_line_id")
+        .agg(F.count("*").alias("lines"), F.sum("amount").cast(TOTAL).alias("expected"))
+    )
+    loaded = fact.groupBy("order_line_id").agg(
+        F.count("*").alias("facts"), F.sum("amount").cast(TOTAL).alias("amount")
     )
-    loaded = fact.select("order_line_id", "amount")
-    return expected.join(loaded, "order_line_id", "left").filter(
-        ~F.col("expected").eqNullSafe(F.col("amount"))
+    return expected.join(loaded, "order_line_id", "full").withColumn(
+        "differs",
+        ~(F.col("expected").eqNullSafe(F.col("amount")) & F.col("lines").eqNullSafe(F.col("facts"))),
     )
 
 
-def amount_check(src: DataFrame, fact: DataFrame) -> DataFrame:
-    """One row: lines compared, lines that differ, and the summed difference."""
-    expected = src.select(
-        "order_line_id", line_amount(F.col("quantity"), F.col("unit_price")).alias("expected")
+def amount_mismatches(src: DataFrame, fact: DataFrame) -> DataFrame:
+    """Line ids whose facts are missing, too many, or of another amount than their lines.
+
+    A fact without a source line is one too: its `expected` is NULL.
+    """
+    return (
+        _amounts_compared(src, fact)
+        .filter("differs")
+        .select("order_line_id", "lines", "facts", "expected", "amount")
     )
-    both = expected.join(fact.select("order_line_id", "amount"), "order_line_id", "left")
-    differs = ~F.col("expected").eqNullSafe(F.col("amount"))
-    gap = F.coalesce(F.col("amount"), F.lit(0)) - F.col("expected")
-    return both.agg(
+
+
+def amount_check(src: DataFrame, fact: DataFrame) -> DataFrame:
+    """One row: ids compared, ids that differ, and the summed difference."""
+    gap = F.coalesce(F.col("amount"), F.lit(0)) - F.coalesce(F.col("expected"), F.lit(0))
+    return _amounts_compared(src, fact).agg(
         F.count("*").alias("lines_checked"),
-        F.count(F.when(differs, 1)).alias("mismatches"),
+        F.count(F.when(F.col("differs"), 1)).alias("mismatches"),
         F.coalesce(F.sum(gap), F.lit(0)).cast("decimal(38,2)").alias("difference"),
     )

@@ -1,7 +1,7 @@
 """Edge tables: what feeds a node, how deep it lies, who else uses it.
 
 Edges are (src, dst) rows: src feeds or calls dst. Loops run until nothing is left
-to do, and each round is written to the shared folder, so plans stay short and a
+to do, and each round is written under one shared folder, so plans stay short and a
 lost executor costs one round at most.
 """
 
@@ -25,66 +25,74 @@ def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     edges = materialise(edges.select("src", "dst"), "edges")
-    found_at: list[str] = []
-    start = targets.select("target", F.col("target").alias("node")).distinct()
-    frontier = materialise(start, "targets")
+    frontier = targets.select("target", F.col("target").alias("node")).distinct()
+    found, seen = new_folder(spark, "upstream"), None
+    rounds = 0
     while True:
         step = (
             frontier.join(edges, F.col("node") == F.col("dst"))
             .select("target", F.col("src").alias("node"))
             .distinct()
         )
-        if found_at:
-            seen = spark.read.schema(step.schema).parquet(*found_at)
-            step = step.join(seen, ["target", "node"], "left_anti")
-        path = new_folder(spark, "upstream")
-        step.write.parquet(path)
-        frontier = spark.read.schema(step.schema).parquet(path)
-        found_at.append(path)
+        if seen is not None:
+            step = step.join(seen.select("target", "node"), ["target", "node"], "left_anti")
+        step.write.parquet(f"{found}/round={rounds}")
+        seen = spark.read.schema(step.schema.add("round", "long")).parquet(found)
+        frontier = seen.filter(F.col("round") == rounds).select("target", "node")
         if frontier.isEmpty():
-            break
-    return (
-        spark.read.schema(frontier.schema)
-        .parquet(*found_at)
-        .select("target", F.col("node").alias("upstream"))
-    )
+            return seen.select("target", F.col("node").alias("upstream"))
+        rounds += 1
 
 
 def dependency_layers(edges: DataFrame) -> DataFrame:
     """(node, layer): length of the longest path from a node without incoming edges.
 
-    Round n settles the nodes all of whose feeders are settled, and drops their
-    outgoing edges; what remains shrinks every round. Edges that never drop form a
-    circle, which is reported.
+    A node settles in the round in which as many of its feeders are settled as it has.
+    A round writes only the nodes that a newly settled node feeds, with the number of
+    feeders settled so far; edges are stored once and only read. What never settles
+    runs in a circle or hangs on one, which is reported.
     """
     spark = edges.sparkSession
-    left = materialise(edges.select("src", "dst").distinct(), "edges")
-    candidates = left.select(F.col("src").alias("node")).unionByName(
-        left.select(F.col("dst").alias("node"))
+    stored = materialise(edges.select("src", "dst").distinct(), "edges")
+    feeders = materialise(
+        stored.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("feeders")), "feeders"
+    )
+    nothing = F.lit(0).cast("long")
+    roots = (
+        stored.select(F.col("src").alias("node"))
+        .distinct()
+        .join(feeders, "node", "left_anti")
+        .select("node", nothing.alias("settled"), nothing.alias("feeders"))
     )
-    settled_at: list[str] = []
-    layer = 0
+    reached = new_folder(spark, "layers")
+    roots.write.parquet(f"{reached}/layer=0")
+    schema = roots.schema.add("layer", "integer")
+    whole, done, layer = F.col("settled") == F.col("feeders"), 0, 0
     while True:
-        waiting = left.select(F.col("dst").alias("node")).distinct()
-        settled = (
-            candidates.distinct()
-            .join(waiting, "node", "left_anti")
-            .select("node", F.lit(layer).alias("layer"))
-        )
-        path = new_folder(spark, "layer")
-        settled.write.parquet(path)
-        settled = spark.read.schema(settled.schema).parquet(path)
-        settled_at.append(path)
-        if left.isEmpty():
+        last = spark.read.schema(schema).parquet(reached).filter(F.col("layer") == layer)
+        ready = last.filter(whole).select("node")
+        settled = ready.count()
+        if not settled:
             break
-        if settled.isEmpty():
-            raise CycleError(f"{left.count()} edges run in a circle or hang on one")
-        ready = settled.select(F.col("node").alias("src"), F.lit(True).alias("ready"))
-        marked = materialise(left.join(ready, "src", "left").select("src", "dst", "ready"), "edges")
-        candidates = marked.filter("ready").select(F.col("dst").alias("node"))
-        left = marked.filter("ready is null").select("src", "dst")
-        layer += 1
-    return spark.read.schema(settled.schema).parquet(*settled_at)
+        done, layer = done + settled * (layer > 0), layer + 1
+        fed = (
+            ready.join(stored, F.col("node") == F.col("src"))
+            .groupBy(F.col("dst").alias("node"))
+            .agg(F.count("*").alias("settled"))
+        )
+        waiting = last.filter(~whole).select("node", "settled")
+        (
+            fed.unionByName(waiting)
+            .groupBy("node")
+            .agg(F.sum("settled").alias("settled"))
+            .join(feeders, "node")
+            .write.parquet(f"{reached}/layer={layer}")
+        )
+    left = feeders.count() - done
+    if left:
+        raise CycleError(f"{left} nodes run in a circle or hang on one")
+    every = spark.read.schema(schema).parquet(reached)
+    return every.filter(whole).select("node", "layer")
 
 
 def _distinct_calls(calls: DataFrame) -> DataFrame:
@@ -113,16 +121,28 @@ def exclusive_callees(calls: DataFrame, group_from: int = 4) -> DataFrame:
     )
 
 
-def utility_callees(calls: DataFrame, repeated_from: int = 2) -> DataFrame:
-    """Callees that one caller calls several times and that call nothing themselves."""
+def utility_callees(
+    calls: DataFrame, services: DataFrame, repeated_from: int = 2
+) -> DataFrame:
+    """Services that one caller calls several times and that call no other service.
+
+    `services` (column `service`) are the package's own; a callee outside it is none
+    of them, and calling such a one, an adapter say, keeps a service a utility.
+    """
+    own = services.select(F.col("service").alias("callee")).distinct()
     repeated = (
         _distinct_calls(calls)
         .groupBy("callee")
         .agg(F.max("calls").alias("most_calls"), F.sum("calls").alias("calls"))
         .filter(F.col("most_calls") >= repeated_from)
     )
-    callers = calls.select(F.col("caller").alias("callee")).distinct()
-    return repeated.join(callers, "callee", "left_anti")
+    busy = (
+        calls.select(F.col("caller").alias("callee"), F.col("callee").alias("service"))
+        .join(services.select("service").distinct(), "service", "left_semi")
+        .select("callee")
+        .distinct()
+    )
+    return repeated.join(own, "callee", "left_semi").join(busy, "callee", "left_anti")
 
 
 def unfed(declared: DataFrame, edges: DataFrame) -> DataFrame:

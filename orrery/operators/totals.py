@@ -30,9 +30,13 @@ def star_counts(
     src: DataFrame,
     star: Mapping[str, DataFrame],
     stop_requested: DataFrame | None = None,
-    sizes: bool = False,
+    folders: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rows per table, the loaded amount, the stop flag and, if asked, sizes on storage."""
+    """Rows per table, the loaded amount, the stop flag and sizes on storage.
+
+    `folders` names where `src` and `fact` are stored; a side that is not named has
+    no size column.
+    """
     fact = star["fact_sales"]
     figures = {
         "src_rows": _rows(src),
@@ -43,9 +47,9 @@ def star_counts(
         "fact_rows": _rows(fact),
         "fact_amount": F.coalesce(fact.agg(total(F.col("amount"))).scalar(), F.lit(0).cast(TOTAL)),
     }
-    if sizes:
-        figures["src_size"] = relation_size(src).select("size").scalar()
-        figures["fact_size"] = relation_size(fact).select("size").scalar()
+    for side, folder in (folders or {}).items():
+        size = relation_size(src.sparkSession, folder).select("size").scalar()
+        figures[f"{side}_size"] = size
     if stop_requested is not None:
         figures["stop_requested"] = stop_requested.scalar()
     return _one_row(src, **figures)

@@ -13,17 +13,25 @@ from orrery.workspace import read_or_empty
 STOP_REQUESTED = "stop_requested"
 
 
+def one_per_key(pairs: DataFrame) -> DataFrame:
+    """One pair for each key: of repeated keys the one with the greatest value, NULL last."""
+    return pairs.groupBy("ctl_key").agg(F.max("ctl_value").alias("ctl_value"))
+
+
 def insert_if_absent(existing: DataFrame, seed: DataFrame) -> DataFrame:
-    """Existing pairs, plus the seed pairs whose key is not there yet."""
+    """Existing pairs, plus the seed pairs whose key is not there yet; one for each key."""
     missing = seed.join(existing.select("ctl_key"), "ctl_key", "left_anti")
-    return existing.select("ctl_key", "ctl_value").unionByName(
-        missing.select("ctl_key", "ctl_value")
-    )
+    return one_per_key(existing).unionByName(one_per_key(missing))
 
 
 def set_values(existing: DataFrame, updates: DataFrame) -> DataFrame:
-    """Existing pairs with updated values; keys that do not exist are not created."""
-    new = updates.select("ctl_key", F.col("ctl_value").alias("_new"), F.lit(True).alias("_hit"))
+    """Existing pairs with updated values; keys that do not exist are not created.
+
+    A key updated several times gets the greatest of its new values.
+    """
+    new = one_per_key(updates).select(
+        "ctl_key", F.col("ctl_value").alias("_new"), F.lit(True).alias("_hit")
+    )
     value = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("ctl_value"))
     return existing.join(new, "ctl_key", "left").select("ctl_key", value.alias("ctl_value"))
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.functions.calendar import calendar_columns
 from orrery.operators.dims import DIM_SPECS
 from orrery.operators.fact import sales_fact
-from orrery.schemas import CONTROL, DIM_DATE, FACT_SALES, RUN_LOG, STAGING_ORDERS, STAR, Table
+from orrery.schemas import CONTROL, DIM_DATE, RUN_LOG, STAGING_ORDERS, STAR, Table
 
 # Fixed value: words in a table name that mark it as technical.
 TECHNICAL_TABLES = r"(?i)(^|[._])(log|logs|journal|control|audit)($|[._])"
@@ -17,51 +18,44 @@ _SCHEMA = (
     "source_table string, source_column string"
 )
 
-_CALENDAR_RULES = {
-    "date_key": "yyyymmdd of the date",
-    "full_date": "copy",
-    "year_num": "year",
-    "quarter_num": "quarter",
-    "quarter_label": "year and quarter",
-    "month_num": "month",
-    "month_name": "name of the month",
-    "year_month": "year and month",
-    "week_of_year": "ISO week",
-    "year_week": "ISO year and week",
-    "day_of_month": "day of the month",
-    "day_of_week": "ISO day",
-    "day_name": "name of the day",
-    "is_weekend": "ISO day is 6 or 7",
-}
-
-_FACT_RULES = {
-    "order_line_id": ("copy", ("order_line_id",)),
-    "order_id": ("copy", ("order_id",)),
-    "date_key": ("yyyymmdd of the date", ("order_date",)),
-    "quantity": ("copy", ("quantity",)),
-    "unit_price": ("copy", ("unit_price",)),
-    "amount": ("quantity x unit price", ("quantity", "unit_price")),
-}
+
+def _origins(rule: DataFrame) -> tuple[str, list[str]]:
+    """The text of a one-column rule, and the columns it reads, as Spark has resolved them."""
+    plan = rule._jdf.queryExecution().analyzed()
+    found, read = plan.references().iterator(), []
+    while found.hasNext():
+        read.append(found.next().name())
+    target = rule.columns[0]
+    return "copy" if read == [target] else plan.expressions().head().sql(), sorted(read)
 
 
 def lineage_edges(spark: SparkSession) -> DataFrame:
-    """One row per target column and source column; technical tables are left out."""
+    """One row per target column and source column; technical tables are left out.
+
+    Everything is read off the declarations that build the tables, so it cannot drift
+    from them.
+    """
     source = STAGING_ORDERS.name
-    rows = [
-        (DIM_DATE.name, column, rule, source, "order_date")
-        for column, rule in _CALENDAR_RULES.items()
+    lines = spark.createDataFrame([], STAGING_ORDERS.schema)
+    fact = sales_fact()
+    rules = [(DIM_DATE.name, lines.select(c)) for c in calendar_columns(F.col("order_date"))]
+    rules += [
+        (spec.table.name, lines.select(F.col(origin).alias(target)))
+        for spec in DIM_SPECS
+        for target, origin in spec.mapping
+    ]
+    rules += [
+        (fact.table.name, lines.select((F.col(r) if isinstance(r, str) else r).alias(target)))
+        for target, r in fact.rules.items()
     ]
-    for spec in DIM_SPECS:
-        rows += [
-            (spec.table.name, target, "copy" if target == origin else "rename", source, origin)
-            for target, origin in spec.mapping
-        ]
-    for target, (rule, origins) in _FACT_RULES.items():
-        rows += [(FACT_SALES.name, target, rule, source, origin) for origin in origins]
-    for spec in sales_fact().lookups:
-        rule = f"key of {spec.table.name} by {spec.code}"
-        rows.append((FACT_SALES.name, spec.key, rule, source, spec.code))
-        rows.append((FACT_SALES.name, spec.key, rule, spec.table.name, spec.key))
+    rows = []
+    for table, rule in rules:
+        told, read = _origins(rule)
+        rows += [(table, rule.columns[0], told, source, origin) for origin in read]
+    for spec in fact.lookups:
+        told = f"key of {spec.table.name} by {spec.code}"
+        rows.append((fact.table.name, spec.key, told, source, spec.code))
+        rows.append((fact.table.name, spec.key, told, spec.table.name, spec.key))
     return without_technical(spark.createDataFrame(rows, _SCHEMA), "target_table")
 
 

@@ -1,15 +1,16 @@
 """The whole load: dimensions, calendar, facts by batch, checks, publication.
 
-By default all batches are one Spark write, partitioned by batch number. With
-`threads` set, batches run as separate jobs, one, two or four at a time, with the
-stop flag read before each. Both give the same star.
+By default all facts are one Spark write. With `threads` set, they are written block
+by block, one, two or four blocks at a time, with the stop flag read before each.
+Both give the same star. A batch is a range of ids and a number in the column
+`chunk_no`; a block of many batches is a folder, so small batches cost no folders.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -18,20 +19,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.operators.batches import (
+    BATCHES_A_BLOCK,
+    DEFAULT_CHUNK_SIZE,
+    block_number,
     chunk_number,
-    chunk_plan,
-    default_chunk_size,
+    in_interval,
     require_chunk_size,
 )
-from orrery.operators.checks import IntegrityError, check_unique
+from orrery.operators.checks import IntegrityError, check_foreign_key, check_unique
 from orrery.operators.dims import DIM_SPECS, build_dim_date, build_dimension, require_unique
 from orrery.operators.fact import build_fact, dimensions_bounded
 from orrery.operators.totals import reconcile
 from orrery.plans.control import STOP_REQUESTED
 from orrery.plans.runlog import last_run_log
-from orrery.plans.warehouse import Warehouse
+from orrery.plans.warehouse import BatchPlan, Warehouse
 from orrery.schemas import DIM_DATE, FACT_SALES, Table
-from orrery.workspace import BROADCAST_LIMIT_BYTES
+from orrery.workspace import BROADCAST_LIMIT_BYTES, discard
 
 RUNNING, DONE, STOPPED, FAILED = "RUNNING", "DONE", "STOPPED", "FAILED"
 STEP_OF_TABLE = {
@@ -44,8 +47,9 @@ STEP_OF_TABLE = {
 
 @dataclass(frozen=True)
 class LoadParams:
-    chunk_size: int | None = None  # None: see default_chunk_size
-    threads: int | None = None  # None: one write for all batches; else 1, 2 or 4 at a time
+    chunk_size: int = DEFAULT_CHUNK_SIZE
+    batches_a_block: int = BATCHES_A_BLOCK
+    threads: int | None = None  # None: one write for all facts; else 1, 2 or 4 blocks at a time
     lang: str = "en"
     source_clustered: bool = False  # source files hold contiguous ids, as write_orders leaves them
     verify_ids: bool = True  # look for repeated line ids before loading
@@ -54,8 +58,9 @@ class LoadParams:
     def __post_init__(self):
         if self.threads not in (None, 1, 2, 4):
             raise ValueError("threads must be 1, 2 or 4, or None for a single write")
-        if self.chunk_size is not None:
-            require_chunk_size(self.chunk_size)
+        require_chunk_size(self.chunk_size)
+        if self.batches_a_block < 1:
+            raise ValueError("a block holds one batch at least")
 
 
 @dataclass(frozen=True)
@@ -82,13 +87,13 @@ class StepFailed(RuntimeError):
 
 
 def _reason(error: BaseException) -> str:
-    """The line of an error that says what went wrong, without the job's stack."""
-    text = str(error)
+    """The whole text of an error, led by the line that says what went wrong."""
+    text = str(error) or type(error).__name__
     for line in text.splitlines():
         if "USER_RAISED_EXCEPTION" in line:
-            return line.split("USER_RAISED_EXCEPTION]", 1)[-1].split("SQLSTATE", 1)[0].strip()
-    lines = text.splitlines()
-    return lines[0] if lines else type(error).__name__
+            told = line.split("USER_RAISED_EXCEPTION]", 1)[-1].split("SQLSTATE", 1)[0].strip()
+            return f"{told}\n{text}"
+    return text
 
 
 def _now() -> datetime:
@@ -113,27 +118,54 @@ def lookup_tables(warehouse: Warehouse, run_id: str) -> dict[str, DataFrame]:
     return {spec.table.name: warehouse.dimension(run_id, spec.table.name) for spec in DIM_SPECS}
 
 
-def write_batch(
+def _facts(
     warehouse: Warehouse,
     run_id: str,
     src: DataFrame,
-    chunk_no: int,
-    from_id: int,
-    to_id: int,
-    dims: dict[str, DataFrame] | None = None,
+    plan: BatchPlan,
+    from_id: int | None = None,
+    to_id: int | None = None,
     dim_rows: dict[str, int] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-) -> int:
-    """Load one batch into its own folder and return its row count.
-
-    Running it again replaces that folder and nothing else; a failed write leaves
-    no rows of the batch behind.
-    """
-    dims = dims or lookup_tables(warehouse, run_id)
+) -> DataFrame:
+    """Fact rows with their batch number."""
+    dims = lookup_tables(warehouse, run_id)
     facts = build_fact(src, dims, from_id, to_id, dim_rows, limit=broadcast_limit)
-    path = f"{warehouse.table_path(run_id, FACT_SALES.name)}/chunk_no={chunk_no}"
-    facts.write.mode("overwrite").parquet(path)
-    return warehouse.spark.read.schema(FACT_SALES.schema).parquet(path).count()
+    return facts.withColumn("chunk_no", chunk_number(F.col("order_line_id"), plan.chunk_size))
+
+
+def write_block(
+    warehouse: Warehouse,
+    run_id: str,
+    src: DataFrame,
+    plan: BatchPlan,
+    block: int,
+    dim_rows: dict[str, int] | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+) -> None:
+    """Load the batches of one block in one job; running it again replaces the block only."""
+    from_id, to_id = plan.block_interval(block)
+    facts = _facts(warehouse, run_id, src, plan, from_id, to_id, dim_rows, broadcast_limit)
+    facts.write.mode("overwrite").parquet(warehouse.block_path(run_id, block, 0))
+
+
+def check_block(src: DataFrame, facts: DataFrame, calendar: DataFrame) -> int:
+    """Facts must be the lines of `src`, each once, with the same amount and a known date."""
+    sides = {row.table_name: row for row in reconcile(src, facts).collect()}
+    source, loaded = sides["staging_orders"], sides["fact_sales"]
+    if (source.row_count, source.total_amount) != (loaded.row_count, loaded.total_amount):
+        raise IntegrityError(
+            f"reconciliation: {source.row_count} lines of {source.total_amount}, "
+            f"{loaded.row_count} facts of {loaded.total_amount}"
+        )
+    repeated = check_unique(facts, "order_line_id").first()
+    if repeated:
+        raise IntegrityError(f"{FACT_SALES.name}: duplicate order_line_id (such as {repeated[0]})")
+    days = facts.select("date_key").distinct()
+    unknown = check_foreign_key(days, "date_key", calendar, "date_key").first()
+    if unknown:
+        raise IntegrityError(f"{FACT_SALES.name}: date_key {unknown[0]} is not in {DIM_DATE.name}")
+    return loaded.row_count
 
 
 class _Run:
@@ -141,8 +173,8 @@ class _Run:
         self.src, self.warehouse, self.params = src, warehouse, params
         self.run_id = self._new_run_id()
         self.dim_rows: dict[str, int] = {}
-        self.chunk_size = 0
-        self.loaded: list[int] | None = None  # batch numbers; None = all
+        self.plan: BatchPlan | None = None
+        self.loaded_to: int | None = None  # ids up to this one are loaded; None = all
 
     def _new_run_id(self) -> str:
         base = _now().strftime("RUN-%Y%m%d-%H%M%S")
@@ -175,7 +207,7 @@ class _Run:
         self.dim_rows[table.name] = require_unique(stored, unique, table.name)
         return self.dim_rows[table.name]
 
-    def prepare(self) -> DataFrame:
+    def prepare(self) -> None:
         """Dimensions, source check and batch plan: independent jobs over different columns."""
         work = [
             (DIM_DATE, "date_key", lambda: build_dim_date(self.src, lang=self.params.lang)),
@@ -202,40 +234,98 @@ class _Run:
             with _step("SOURCE"):
                 checked.result()
             with _step("BATCH_PLAN"):
-                return plan.result()
+                plan.result()
 
-    def plan_batches(self) -> DataFrame:
-        if self.params.chunk_size:
-            self.chunk_size = self.params.chunk_size
-        else:
-            highest = self.src.agg(F.max("order_line_id")).first()[0] or 0
-            self.chunk_size = default_chunk_size(highest)
-        return chunk_plan(self.src, self.chunk_size)
-
-    def facts_in_one_write(self, plan: DataFrame) -> None:
-        if self.warehouse.control.stop_requested():
-            self.loaded = []
-            return
+    def plan_batches(self) -> None:
+        ids = F.col("order_line_id")
+        least, highest = self.src.agg(F.min(ids), F.max(ids)).first()
+        if least is not None and least < 1:
+            raise IntegrityError(f"{FACT_SALES.name}: order_line_id {least} is below 1")
+        params = self.params
+        self.plan = BatchPlan(params.chunk_size, params.batches_a_block, highest or 0)
+        self.warehouse.store_plan(self.run_id, self.plan)
+
+    def facts_in_one_write(self) -> None:
         started, since = _now(), time.monotonic_ns()
-        dims = lookup_tables(self.warehouse, self.run_id)
-        limit = self.params.broadcast_limit
-        facts = build_fact(self.src, dims, dim_rows=self.dim_rows, limit=limit).withColumn(
-            "chunk_no", chunk_number(F.col("order_line_id"), self.chunk_size)
+        stopped = self.warehouse.control.stop_requested()
+        limit, plan = self.params.broadcast_limit, self.plan
+        src = self.src.limit(0) if stopped else self.src
+        facts = _facts(
+            self.warehouse, self.run_id, src, plan, dim_rows=self.dim_rows, broadcast_limit=limit
+        ).withColumns(
+            {
+                "block": block_number(F.col("chunk_no"), plan.batches_a_block),
+                "version": F.lit(0).cast("long"),
+            }
         )
         stays_in_place = self.params.source_clustered and dimensions_bounded(self.dim_rows, limit)
         if not stays_in_place:
-            facts = facts.hint("rebalance", "chunk_no")
+            facts = facts.hint("rebalance", "block")
         with _step("FACT_CHUNK"):
             path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
-            facts.write.mode("overwrite").partitionBy("chunk_no").parquet(path)
-        ended, spent = _now(), _elapsed_ms(since)
+            facts.write.mode("overwrite").partitionBy("block", "version").parquet(path)
+        if stopped:
+            self.loaded_to = 0
+        else:
+            self.log_batches(1, plan.batches, started, since)
+
+    def facts_by_block(self) -> None:
+        """Blocks as separate jobs. They start in order, and none after a stop or failure.
+
+        Only as many are held as run at a time, so the plan may be of any length.
+        """
+        plan, threads = self.plan, self.params.threads
+        empty = _facts(self.warehouse, self.run_id, self.src.limit(0), plan).withColumns(
+            {"block": F.lit(0).cast("long"), "version": F.lit(0).cast("long")}
+        )
+        path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
+        empty.write.partitionBy("block", "version").parquet(path)
+
+        def one(block: int) -> None:
+            started, since = _now(), time.monotonic_ns()
+            first = (block - 1) * plan.batches_a_block + 1
+            last = min(block * plan.batches_a_block, plan.batches)
+            name = f"FACT_CHUNK_{first}" if first == last else f"FACT_CHUNK_{first}-{last}"
+            with _step(name):
+                write_block(
+                    self.warehouse, self.run_id, self.src, plan, block,
+                    self.dim_rows, self.params.broadcast_limit,
+                )
+            self.log_batches(first, last, started, since, block)
+
+        running: set[Future] = set()
+        block = 1
+        with ThreadPoolExecutor(threads) as pool:
+            while block <= plan.blocks and not self.warehouse.control.stop_requested():
+                running.add(pool.submit(one, block))
+                block += 1
+                if len(running) == threads:
+                    done, running = wait(running, return_when=FIRST_COMPLETED)
+                    for job in done:
+                        job.result()
+            for job in running:
+                job.result()
+        if block <= plan.blocks:
+            self.loaded_to = plan.block_interval(block - 1)[1]
+
+    def log_batches(
+        self, first: int, last: int, started: datetime, since_ns: int, block: int | None = None
+    ) -> None:
+        """One event for each of these batches; their rows are counted in one narrow column."""
+        plan, (ended, spent) = self.plan, (_now(), _elapsed_ms(since_ns))
+        stored = self.warehouse.table_path(self.run_id, FACT_SALES.name)
+        if block is not None:
+            stored = self.warehouse.block_path(self.run_id, block, 0)
         counted = (
-            self.warehouse.batches(self.run_id)
-            .groupBy("chunk_no")
-            .agg(F.count("*").alias("row_count"))
+            self.warehouse.spark.read.schema("chunk_no long").parquet(stored)
+            .groupBy("chunk_no").agg(F.count("*").alias("row_count"))
+        )
+        numbers = self.warehouse.spark.range(first, last + 1).withColumnRenamed("id", "chunk_no")
+        span = F.concat_ws(
+            "-", (F.col("chunk_no") - 1) * plan.chunk_size, F.col("chunk_no") * plan.chunk_size
         )
-        rows = plan.join(counted, "chunk_no", "left").select(
-            F.col("chunk_no").alias("log_id"),
+        rows = numbers.join(counted, "chunk_no", "left").select(
+            (F.col("chunk_no") - (first - 1)).alias("log_id"),
             F.lit(self.run_id).alias("run_id"),
             F.concat(F.lit("FACT_CHUNK_"), F.col("chunk_no").cast("string")).alias("step_name"),
             F.lit(started).alias("started_at"),
@@ -243,48 +333,9 @@ class _Run:
             F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
             F.lit(spent).cast("long").alias("duration_ms"),
             F.lit(DONE).alias("status"),
-            F.concat(
-                F.lit("order_line_id "), F.concat_ws("-", F.col("from_id"), F.col("to_id"))
-            ).alias("message"),
+            F.concat(F.lit("order_line_id "), span).alias("message"),
         )
-        self.warehouse.log.events(rows, plan.count())
-
-    def facts_by_batch(self, plan: DataFrame) -> None:
-        """Batches as separate jobs; the plan holds one small row per batch."""
-        dims = lookup_tables(self.warehouse, self.run_id)
-        done: list[int] = []
-        failed: list[BaseException] = []
-
-        def one(batch) -> None:
-            if failed or self.warehouse.control.stop_requested():
-                return
-            name = f"FACT_CHUNK_{batch.chunk_no}"
-            try:
-                step, started, since, rows, _ = self.timed(
-                    name,
-                    lambda: write_batch(
-                        self.warehouse,
-                        self.run_id,
-                        self.src,
-                        batch.chunk_no,
-                        batch.from_id,
-                        batch.to_id,
-                        dims,
-                        self.dim_rows,
-                        self.params.broadcast_limit,
-                    ),
-                )
-                span = f"order_line_id {batch.from_id}-{batch.to_id}"
-                self.log(step, started, since, rows, span)
-                done.append(batch.chunk_no)
-            except Exception as error:
-                failed.append(error)
-
-        with ThreadPoolExecutor(self.params.threads) as pool:
-            list(pool.map(one, plan.orderBy("chunk_no").toLocalIterator()))
-        if failed:
-            raise failed[0]
-        self.loaded = sorted(done)
+        self.warehouse.log.events(rows, max(last - first + 1, 0))
 
     # -- checks --------------------------------------------------------------
 
@@ -300,12 +351,9 @@ class _Run:
         """Facts must agree with the lines of the loaded batches, in rows and amount.
 
         Line ids and codes are unique by now, so a lookup can only lose lines; equal
-        counts mean that every code was found.
+        counts mean that every code was found. The calendar is of the same source.
         """
-        expected = self.src
-        if self.loaded is not None:
-            number = chunk_number(F.col("order_line_id"), self.chunk_size)
-            expected = expected.filter(number.isin(self.loaded) if self.loaded else F.lit(False))
+        expected = in_interval(self.src, None, self.loaded_to)
         facts = self.warehouse.star(self.run_id)[FACT_SALES.name]
         sides = {row.table_name: row for row in reconcile(expected, facts).collect()}
         source, loaded = sides["staging_orders"], sides["fact_sales"]
@@ -322,7 +370,7 @@ class _Run:
         started, since = _now(), time.monotonic_ns()
         params = self.params
         settings = (
-            f"chunk={params.chunk_size or 'default'} "
+            f"chunk={params.chunk_size} "
             f"threads={params.threads or 'all'} lang={params.lang}"
         )
         self.warehouse.log.event(self.run_id, "PIPELINE", RUNNING, started, message=settings)
@@ -331,15 +379,15 @@ class _Run:
         try:
             step, begun, mark, rows, _ = self.timed("TRUNCATE_STAR", self.truncate)
             self.log(step, begun, mark, rows)
-            plan = self.prepare()
+            self.prepare()
             if params.threads:
-                self.facts_by_batch(plan)
+                self.facts_by_block()
             else:
-                self.facts_in_one_write(plan)
+                self.facts_in_one_write()
             with _step("CHECKS"):
                 total = self.check_facts()
-            status = STOPPED if self.warehouse.control.stop_requested() else DONE
-            self.warehouse.publish(self.run_id)
+            status = DONE if self.loaded_to is None else STOPPED
+            self.warehouse.publish(self.run_id, status, total)
         except Exception as error:
             status, message, total = FAILED, str(error), 0
         ended, spent = _now(), _elapsed_ms(since)
@@ -381,11 +429,50 @@ def reset(spark, root: str) -> None:
     Warehouse(spark, root).create().reset()
 
 
-def replay_batch(src: DataFrame, root: str, chunk_no: int, chunk_size: int, run_id=None) -> int:
-    """Load one batch of a run again; its earlier rows are replaced."""
+def replay_batch(
+    src: DataFrame, root: str, chunk_no: int, chunk_size: int | None = None, run_id=None
+) -> int:
+    """Load one batch of a run again, by the plan stored with the run; its row count.
+
+    The batch's block is written anew beside the one that is read, then checked against
+    the batch's lines in rows, amount, ids and dates, and only then put in its place. A
+    failed check leaves the run as it was. Readers that opened the run before keep what
+    they opened.
+    """
     warehouse = Warehouse(src.sparkSession, root)
     run = run_id or warehouse.published_run()
     if run is None:
         raise ValueError("no star is published yet")
-    to_id = chunk_no * require_chunk_size(chunk_size)
-    return write_batch(warehouse, run, src, chunk_no, to_id - chunk_size, to_id)
+    plan = warehouse.plan(run)
+    if chunk_size is not None and chunk_size != plan.chunk_size:
+        raise ValueError(f"{run} was loaded in batches of {plan.chunk_size}, not {chunk_size}")
+    if not 1 <= chunk_no <= plan.batches:
+        raise ValueError(f"{run} has batches 1 to {plan.batches}, not {chunk_no}")
+    started, since = _now(), time.monotonic_ns()
+    from_id, to_id = plan.interval(chunk_no)
+    block = plan.block_of(chunk_no)
+    others = warehouse.batches(run).filter(
+        (F.col("chunk_no") != chunk_no)
+        & F.col("order_line_id").between(*[x + i for i, x in zip((1, 0), plan.block_interval(block))])
+    )
+    sizes = {spec.table.name: warehouse.dimension(run, spec.table.name).count() for spec in DIM_SPECS}
+    fresh = _facts(warehouse, run, src, plan, from_id, to_id, sizes)
+    version = max(warehouse.current_version(run, block), 0) + 1
+    path = warehouse.block_path(run, block, version)
+    others.unionByName(fresh).write.mode("overwrite").parquet(path)
+    kinds = FACT_SALES.schema.add("chunk_no", "long")
+    staged = warehouse.spark.read.schema(kinds).parquet(path).filter(F.col("chunk_no") == chunk_no)
+    try:
+        rows = check_block(
+            in_interval(src, from_id, to_id), staged, warehouse.dimension(run, DIM_DATE.name)
+        )
+    except IntegrityError:
+        discard(warehouse.spark, path)
+        raise
+    warehouse.switch(run, block, version)
+    warehouse.log.event(
+        run, f"FACT_CHUNK_{chunk_no}", DONE, started, _now(), rows,
+        f"order_line_id {from_id}-{to_id}", _elapsed_ms(since),
+    )
+    warehouse.log.flush()
+    return rows

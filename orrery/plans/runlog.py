@@ -17,7 +17,6 @@ from orrery.schemas import RUN_LOG, assert_schema
 from orrery.workspace import read_or_empty
 
 _DETAILS = ("started_at", "ended_at", "row_count", "duration_ms", "status", "message")
-MESSAGE_LENGTH = 500
 
 
 class LogWriter:
@@ -52,8 +51,6 @@ class LogWriter:
         message: str | None = None,
         duration_ms: int | None = None,
     ) -> None:
-        if message is not None:
-            message = message[:MESSAGE_LENGTH]
         values = (run_id, step, started_at, ended_at, row_count, duration_ms, status, message)
         columns = [c for c in RUN_LOG.columns if c.name != "log_id"]
         row = self.spark.range(0, 1, 1, 1).select(

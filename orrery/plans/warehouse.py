@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,13 +13,55 @@ from pyspark.sql import types as T
 from orrery.plans.control import STOP_REQUESTED, ControlTable
 from orrery.plans.runlog import LogWriter
 from orrery.schemas import DIMENSIONS, FACT_SALES, RUN_LOG, STAR, Table
-from orrery.workspace import read_or_empty
+from orrery.workspace import discard, read_or_empty, stored_names
 
-_PUBLICATION = T.StructType().add("run_id", "string").add("version", "long")
+_PUBLICATION = (
+    T.StructType().add("run_id", "string").add("status", "string").add("rows", "long")
+    .add("version", "long")
+)
+_SWITCH = T.StructType().add("block", "long").add("version", "long")
+_PLAN = T.StructType().add("chunk_size", "long").add("batches_a_block", "long").add("highest", "long")
+COMPLETE = "DONE"
+
+
+class MissingRun(LookupError):
+    """A run, or a table of it, that should be stored is not there."""
+
+
+@dataclass(frozen=True)
+class BatchPlan:
+    """How a run cut its source; stored with the run, so that a batch can be loaded again."""
+
+    chunk_size: int
+    batches_a_block: int
+    highest: int
+
+    @property
+    def batches(self) -> int:
+        return -(-self.highest // self.chunk_size)
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.batches // self.batches_a_block)
+
+    def interval(self, chunk_no: int) -> tuple[int, int]:
+        return (chunk_no - 1) * self.chunk_size, chunk_no * self.chunk_size
+
+    def block_interval(self, block: int) -> tuple[int, int]:
+        width = self.chunk_size * self.batches_a_block
+        return (block - 1) * width, block * width
+
+    def block_of(self, chunk_no: int) -> int:
+        return (chunk_no - 1) // self.batches_a_block + 1
 
 
 class Warehouse:
-    """Paths and small state tables under one root folder."""
+    """Paths and small state tables under one root folder.
+
+    Facts lie in folders block/version. A block is written under version 0; loading a
+    batch again writes the block under a new version, and a stored switch then makes
+    it the one that is read.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -28,53 +72,148 @@ class Warehouse:
     def create(self) -> Warehouse:
         """Make the state tables that do not exist yet."""
         self._empty(RUN_LOG).write.mode("ignore").parquet(self.log.path)
-        self._publication("").limit(0).write.mode("ignore").parquet(self._published)
+        self._publication("", "", 0).limit(0).write.mode("ignore").parquet(self._published)
         self.control.create()
         return self
 
     def _empty(self, table: Table) -> DataFrame:
         return self.spark.createDataFrame([], table.schema)
 
+    def _row(self, schema: T.StructType, *values) -> DataFrame:
+        """One row made by the executors; nothing is sent from the driver."""
+        return self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
+        )
+
+    def run_path(self, run_id: str) -> str:
+        return f"{self.root}/runs/{run_id}"
+
     def table_path(self, run_id: str, table: str) -> str:
-        return f"{self.root}/runs/{run_id}/{table}"
+        return f"{self.run_path(run_id)}/{table}"
 
-    def dimension(self, run_id: str, name: str) -> DataFrame:
-        path = self.table_path(run_id, name)
-        return read_or_empty(self.spark, DIMENSIONS[name].schema, path)
+    def block_path(self, run_id: str, block: int, version: int) -> str:
+        return f"{self.table_path(run_id, FACT_SALES.name)}/block={block}/version={version}"
+
+    # -- the plan of a run ---------------------------------------------------
+
+    def store_plan(self, run_id: str, plan: BatchPlan) -> None:
+        row = self._row(_PLAN, plan.chunk_size, plan.batches_a_block, plan.highest)
+        row.write.mode("overwrite").parquet(self.table_path(run_id, "batch_plan"))
+
+    def plan(self, run_id: str) -> BatchPlan:
+        row = self._stored(_PLAN, run_id, "batch_plan").first()
+        if row is None:
+            raise MissingRun(f"{run_id} has no batch plan")
+        return BatchPlan(row.chunk_size, row.batches_a_block, row.highest)
 
-    def batches(self, run_id: str) -> DataFrame:
+    # -- tables of a run -----------------------------------------------------
+
+    def _stored(self, schema, run_id: str, name: str, partial: bool = False) -> DataFrame:
+        """A table of a run. Only a run that is still loading may lack one."""
+        path = self.table_path(run_id, name)
+        if partial:
+            return read_or_empty(self.spark, schema, path)
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise MissingRun(f"{name} of run {run_id} is not stored under {self.root}") from error
+
+    def dimension(self, run_id: str, name: str, partial: bool = False) -> DataFrame:
+        return self._stored(DIMENSIONS[name].schema, run_id, name, partial)
+
+    def batches(self, run_id: str, partial: bool = False) -> DataFrame:
         """Fact rows with the number of the batch that loaded them."""
-        schema = FACT_SALES.schema.add("chunk_no", "long")
-        return read_or_empty(self.spark, schema, self.table_path(run_id, FACT_SALES.name))
+        kinds = FACT_SALES.schema.add("chunk_no", "long").add("block", "long")
+        facts = self._stored(kinds.add("version", "long"), run_id, FACT_SALES.name, partial)
+        if "switches" not in stored_names(self.spark, self.run_path(run_id)):
+            return facts.select(*FACT_SALES.names, "chunk_no")
+        switched = self.switches(run_id).select(
+            F.col("block").alias("_block"), F.col("version").alias("_version")
+        )
+        # one row for each block that was loaded again; where there is none, version 0 is read
+        return (
+            facts.join(switched, F.col("block") == F.col("_block"), "left")
+            .filter(F.col("version") == F.coalesce("_version", F.lit(0)))
+            .select(*FACT_SALES.names, "chunk_no")
+        )
+
+    def switches(self, run_id: str) -> DataFrame:
+        """(block, version) of the blocks that were loaded again."""
+        path = self.table_path(run_id, "switches")
+        stored = read_or_empty(self.spark, _SWITCH, path)
+        return stored.groupBy("block").agg(F.max("version").alias("version"))
 
-    def star(self, run_id: str | None = None) -> dict[str, DataFrame]:
-        """The tables of a run, of the published one by default; empty where not loaded yet."""
+    def current_version(self, run_id: str, block: int) -> int:
+        row = self.switches(run_id).filter(F.col("block") == block).first()
+        return row.version if row else 0
+
+    def switch(self, run_id: str, block: int, version: int) -> None:
+        path = self.table_path(run_id, "switches")
+        self._row(_SWITCH, block, version).write.mode("append").parquet(path)
+
+    def star(self, run_id: str | None = None, partial: bool = False) -> dict[str, DataFrame]:
+        """The tables of a run, by default of the last complete one; without any, empty tables.
+
+        A run that is named must be stored. `partial` is for a run that is still
+        loading, whose missing tables are read as empty.
+        """
         run = run_id or self.published_run()
         if run is None:
             return {table.name: self._empty(table) for table in STAR.values()}
-        tables = {name: self.dimension(run, name) for name in DIMENSIONS}
-        tables[FACT_SALES.name] = self.batches(run).select(*FACT_SALES.names)
+        tables = {name: self.dimension(run, name, partial) for name in DIMENSIONS}
+        tables[FACT_SALES.name] = self.batches(run, partial).select(*FACT_SALES.names)
         return tables
 
-    def publish(self, run_id: str) -> None:
-        """Make a finished run the star that readers open."""
-        self._publication(run_id).write.mode("append").parquet(self._published)
+    # -- publication ---------------------------------------------------------
+
+    def publish(self, run_id: str, status: str, rows: int) -> None:
+        """Record a finished run. Readers open the last one whose status is DONE."""
+        self._publication(run_id, status, rows).write.mode("append").parquet(self._published)
 
     def published_run(self) -> str | None:
-        row = self._publications().agg(F.max_by("run_id", "version")).first()
+        complete = self._publications().filter(F.col("status").isin(COMPLETE, ""))
+        row = complete.agg(F.max_by("run_id", "version")).first()
         return row[0] or None
 
+    def publications(self) -> DataFrame:
+        """run_id, status and rows of the runs recorded since the last reset, oldest first."""
+        every = self._publications()
+        reset = F.coalesce(
+            every.filter("status = ''").agg(F.max("version")).scalar(), F.lit(0).cast("long")
+        )
+        return every.filter(F.col("version") > reset).orderBy("version")
+
     def _publications(self) -> DataFrame:
         return read_or_empty(self.spark, _PUBLICATION, self._published)
 
-    def _publication(self, run_id: str) -> DataFrame:
-        return self.spark.range(0, 1, 1, 1).select(
-            F.lit(run_id).alias("run_id"), F.lit(time.time_ns()).cast("long").alias("version")
-        )
+    def _publication(self, run_id: str, status: str, rows: int) -> DataFrame:
+        return self._row(_PUBLICATION, run_id, status, rows, time.time_ns())
+
+    # -- storage -------------------------------------------------------------
+
+    def stored_runs(self) -> list[str]:
+        return stored_names(self.spark, f"{self.root}/runs")
+
+    def drop_runs(self, keep: int = 1) -> list[str]:
+        """Free all runs but the last `keep` complete ones; the dropped ones.
+
+        A run that is still loading is the caller's to wait for.
+        """
+        if keep < 1:
+            raise ValueError("at least the published run is kept")
+        complete = self.publications().filter(F.col("status") == COMPLETE)
+        newest = complete.orderBy(F.col("version").desc()).limit(keep).collect()
+        kept = {row.run_id for row in newest}
+        dropped = [run for run in self.stored_runs() if run not in kept]
+        discard(self.spark, *[self.run_path(run) for run in dropped])
+        return dropped
 
     def reset(self) -> None:
-        """No star published, log empty, stop flag down."""
-        self.publish("")
+        """No star published or stored, log empty, stop flag down."""
+        self.publish("", "", 0)
+        discard(self.spark, *[self.run_path(run) for run in self.stored_runs()])
         self._empty(RUN_LOG).write.mode("overwrite").parquet(self.log.path)
         self.log = LogWriter(self.spark, self.log.path)
         self.control.set(STOP_REQUESTED, "false")
@@ -82,3 +221,7 @@ class Warehouse:
 
 def open_star(spark: SparkSession, root: str, run_id: str | None = None) -> dict[str, DataFrame]:
     return Warehouse(spark, root).star(run_id)
+
+
+def drop_runs(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    return Warehouse(spark, root).drop_runs(keep)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.functions.calendar import year_month
 from orrery.functions.money import line_amount
-from orrery.operators.checks import IntegrityError
+from orrery.operators.checks import IntegrityError, check_foreign_key
 from orrery.operators.fact import build_fact
 from orrery.schemas import FACT_SALES, STAGING_ORDERS, TOTAL
+from orrery.workspace import read_or_empty, stored_names
 
 
 def orders_stream(spark: SparkSession, path: str, files_per_batch: int = 8) -> DataFrame:
@@ -23,6 +26,9 @@ def orders_stream(spark: SparkSession, path: str, files_per_batch: int = 8) -> D
     )
 
 
+_PUBLISHED = "batch long, folder string"
+
+
 def stream_fact_load(
     spark: SparkSession,
     path: str,
@@ -34,20 +40,48 @@ def stream_fact_load(
 ) -> DataFrame:
     """Load all files present under `path`, then stop; a later call takes the new ones.
 
-    Each micro-batch goes to a folder of its own number. If it is run again after a
-    failure it covers the same files and replaces that folder, so facts are neither
-    lost nor doubled. A batch with a code no dimension knows fails instead of losing
-    the line.
+    Each micro-batch is staged in a folder of its own, checked, and made readable by one
+    appended row. A line that is delivered again, with the id of a stored fact, is left
+    out; so is an exact repetition inside a batch. A batch with a code or a date that no
+    dimension knows, or with two different lines of one id, fails and stays unread. If a
+    batch is run again after a failure, its earlier folder does not count. A path
+    without files gives no facts.
     """
+    published = f"{out}/published"
 
     def store(lines: DataFrame, batch: int) -> None:
-        folder = f"{out}/batch={batch}"
-        build_fact(lines, dims, dim_rows=dim_rows).write.mode("overwrite").parquet(folder)
-        loaded = spark.read.schema(FACT_SALES.schema).parquet(folder).count()
-        arrived = lines.count()
-        if loaded != arrived:
-            raise IntegrityError(f"batch {batch}: {arrived} lines, {loaded} facts")
+        lines = lines.distinct()
+        stored = _published_facts(spark, out, but=batch)
+        low, high, arrived, ids = lines.agg(
+            F.min("order_line_id"),
+            F.max("order_line_id"),
+            F.count("*"),
+            F.count_distinct("order_line_id"),
+        ).first()
+        if not arrived:
+            return
+        if low is None or low < 1 or ids != arrived:
+            raise IntegrityError(f"batch {batch}: null, repeated or too small order_line_id")
+        known = stored.filter(F.col("order_line_id").between(low, high)).select("order_line_id")
+        fresh = lines.join(known, "order_line_id", "left_anti")
+        folder = f"{out}/staged/{batch}-{uuid.uuid4().hex}"
+        build_fact(fresh, dims, dim_rows=dim_rows).write.parquet(folder)
+        facts = spark.read.schema(FACT_SALES.schema).parquet(folder)
+        loaded = facts.count()
+        days = facts.select("date_key").distinct()
+        unknown = check_foreign_key(days, "date_key", dims["dim_date"], "date_key").first()
+        # facts are missing for unknown codes, or for lines that were delivered before
+        if loaded != arrived and loaded != (n := fresh.count()):
+            raise IntegrityError(f"batch {batch}: {n} lines, {loaded} facts")
+        if unknown:
+            raise IntegrityError(f"batch {batch}: date_key {unknown[0]} is not in the calendar")
+        row = spark.range(0, 1, 1, 1).select(
+            F.lit(batch).cast("long").alias("batch"), F.lit(folder).alias("folder")
+        )
+        row.write.mode("append").parquet(published)
 
+    if not stored_names(spark, path):
+        return read_stream_facts(spark, out)
     query = (
         orders_stream(spark, path, files_per_batch)
         .writeStream.foreachBatch(store)
@@ -59,10 +93,20 @@ def stream_fact_load(
     return read_stream_facts(spark, out)
 
 
+def _published_facts(spark: SparkSession, out: str, but: int | None = None) -> DataFrame:
+    """Facts of the published batches; of a batch that was run twice, the last folder."""
+    rows = read_or_empty(spark, T._parse_datatype_string(_PUBLISHED), f"{out}/published")
+    if but is not None:
+        rows = rows.filter(F.col("batch") != but)
+    folders = [r.folder for r in rows.groupBy("batch").agg(F.max("folder").alias("folder")).collect()]
+    if not folders:
+        return spark.createDataFrame([], FACT_SALES.schema)
+    return spark.read.schema(FACT_SALES.schema).parquet(*folders)
+
+
 def read_stream_facts(spark: SparkSession, out: str) -> DataFrame:
-    """The facts stored so far, without the batch number."""
-    schema = FACT_SALES.schema.add("batch", "long")
-    return spark.read.schema(schema).parquet(out).select(*FACT_SALES.names)
+    """The facts stored and checked so far."""
+    return _published_facts(spark, out).select(*FACT_SALES.names)
 
 
 def stream_sales_by_month(

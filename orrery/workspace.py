@@ -51,6 +51,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables that nothing reads any more, on whatever store they are."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(where))
+
+
 def widest_row_bytes(schema: T.StructType, max_lengths: dict[str, int]) -> int | None:
     """Upper bound of one row in memory; None when a text column has no known limit."""
     total = _ROW_OVERHEAD

@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from orrery.operators.checks import IntegrityError
 from orrery.operators.dims import DIM_SPECS
 from orrery.operators.fact import build_fact
 from orrery.plans import load as L
@@ -10,10 +11,11 @@ from orrery.plans import runlog
 from orrery.plans.control import STOP_REQUESTED
 from orrery.plans.load import LoadParams, load_star, replay_batch, request_stop, reset, start_load
 from orrery.plans.status import status
-from orrery.plans.warehouse import Warehouse, open_star
+from orrery.plans.warehouse import MissingRun, Warehouse, drop_runs, open_star
 from orrery.schemas import FACT_SALES
 from orrery.sources.orders import write_orders
-from orrery.streaming.facts import stream_fact_load, stream_sales_by_month
+from orrery.streaming.facts import read_stream_facts, stream_fact_load, stream_sales_by_month
+from orrery.workspace import discard
 
 COMPARED = [n for n in FACT_SALES.names if n != "loaded_at"]
 
@@ -56,7 +58,8 @@ def test_load_and_log(spark, orders, loaded):
 @pytest.mark.parametrize("size,threads", [(400, 1), (500, 2), (333, 4)])
 def test_batches_give_the_same_star(spark, orders, loaded, folder, size, threads):
     root = folder("star")
-    result = load_star(orders, root, LoadParams(chunk_size=size, threads=threads))
+    params = LoadParams(chunk_size=size, batches_a_block=threads, threads=threads)
+    result = load_star(orders, root, params)
     assert result.status == "DONE"
     assert facts(spark, root) == facts(spark, loaded[0])
 
@@ -64,8 +67,37 @@ def test_batches_give_the_same_star(spark, orders, loaded, folder, size, threads
 def test_replay_changes_nothing(spark, orders, loaded):
     root = loaded[0]
     before = facts(spark, root)
+    opened = open_star(spark, root)["fact_sales"]
     assert replay_batch(orders, root, 2, 400) == 400
-    assert replay_batch(orders, root, 2, 400) == 400
+    assert replay_batch(orders, root, 2) == 400
+    assert facts(spark, root) == before
+    assert opened.count() == len(before)
+    with pytest.raises(ValueError, match="batches of 400"):
+        replay_batch(orders, root, 2, 500)
+    with pytest.raises(ValueError, match="has batches 1 to"):
+        replay_batch(orders, root, 99)
+    assert facts(spark, root) == before
+    rows, order = steps(Warehouse(spark, root))
+    assert rows["FACT_CHUNK_2"].row_count == 400
+
+
+@pytest.mark.parametrize(
+    "change,told",
+    [
+        ({"product_code": "'P-NONE'"}, "reconciliation"),
+        ({"order_date": "date '1999-01-01'"}, "date_key 19990101 is not in dim_date"),
+        ({"order_line_id": "450L"}, "duplicate order_line_id"),
+    ],
+)
+def test_a_replay_that_fails_its_check_changes_nothing(spark, orders, loaded, change, told):
+    root = loaded[0]
+    before = facts(spark, root)
+    broken = orders
+    for column, value in change.items():
+        hit = F.col("order_line_id").between(440, 460)
+        broken = broken.withColumn(column, F.when(hit, F.expr(value)).otherwise(F.col(column)))
+    with pytest.raises(IntegrityError, match=told):
+        replay_batch(broken, root, 2)
     assert facts(spark, root) == before
 
 
@@ -73,7 +105,7 @@ def test_replay_after_lines_vanished(spark, orders, folder):
     root = folder("star")
     load_star(orders, root, LoadParams(chunk_size=400))
     fewer = orders.filter("order_line_id <= 400 or order_line_id > 800")
-    assert replay_batch(fewer, root, 2, 400) == 0
+    assert replay_batch(fewer, root, 2) == 0
     assert len(facts(spark, root)) == fewer.count()
 
 
@@ -110,16 +142,22 @@ def test_empty_source(spark, orders, folder):
 
 def test_stop_between_batches(spark, orders, folder, monkeypatch):
     root = folder("star")
-    original = L.write_batch
+    load_star(orders, root, LoadParams(chunk_size=400))
+    before = facts(spark, root)
+    original = L.write_block
 
-    def stop_after_first(warehouse, run_id, src, chunk_no, *rest):
-        rows = original(warehouse, run_id, src, chunk_no, *rest)
+    def stop_after_first(warehouse, *rest):
+        original(warehouse, *rest)
         warehouse.control.set(STOP_REQUESTED, "true")
-        return rows
 
-    monkeypatch.setattr(L, "write_batch", stop_after_first)
-    result = start_load(orders, root, LoadParams(chunk_size=400, threads=1))
+    monkeypatch.setattr(L, "write_block", stop_after_first)
+    result = start_load(orders, root, LoadParams(chunk_size=400, batches_a_block=1, threads=1))
     assert (result.status, result.total_rows) == ("STOPPED", 400)
+    # readers keep the complete star; the stopped one is there by name, and told as such
+    assert facts(spark, root) == before
+    assert open_star(spark, root, result.run_id)["fact_sales"].count() == 400
+    told = [(r.status, r.rows) for r in Warehouse(spark, root).publications().collect()]
+    assert told == [("DONE", len(before)), ("STOPPED", 400)]
     rows, order = steps(Warehouse(spark, root))
     assert "FACT_CHUNK_1" in order and "FACT_CHUNK_2" not in order
     assert rows["PIPELINE"].status == "STOPPED"
@@ -181,10 +219,61 @@ def test_failed_batch_cancels_the_rest(spark, orders, folder):
         "quantity", F.when(F.col("order_line_id") != 450, F.col("quantity"))
     )
     root = folder("star")
-    result = load_star(broken, root, LoadParams(chunk_size=400, threads=1))
+    result = load_star(broken, root, LoadParams(chunk_size=400, batches_a_block=1, threads=1))
     assert result.status == "FAILED" and result.message.startswith("FACT_CHUNK_2:")
     _, order = steps(Warehouse(spark, root))
     assert "FACT_CHUNK_1" in order and "FACT_CHUNK_3" not in order
+    logged = Warehouse(spark, root).log.read().filter("step_name = 'PIPELINE' and status = 'FAILED'")
+    assert logged.first().message == result.message
+    log = Warehouse(spark, root).log
+    log.event("RUN-x", "STEP", "FAILED", datetime.now(timezone.utc), message="m" * 900)
+    log.flush()
+    assert log.read().filter("run_id = 'RUN-x'").first().message == "m" * 900
+
+
+def test_ids_below_one_are_refused(orders, folder):
+    zero = orders.withColumn("order_line_id", F.col("order_line_id") - 1)
+    for threads in (None, 1):
+        result = load_star(zero, folder("star"), LoadParams(chunk_size=400, threads=threads))
+        assert result.status == "FAILED" and "order_line_id 0 is below 1" in result.message
+
+
+def test_a_missing_run_or_table_is_told(spark, orders, folder):
+    root = folder("star")
+    run = load_star(orders, root, LoadParams(chunk_size=400)).run_id
+    with pytest.raises(MissingRun, match="RUN-nope"):
+        open_star(spark, root, "RUN-nope")
+    discard(spark, Warehouse(spark, root).table_path(run, "fact_sales"))
+    with pytest.raises(MissingRun, match="fact_sales"):
+        open_star(spark, root)
+
+
+def test_old_runs_are_dropped_and_reset_frees_all(spark, orders, folder):
+    root = folder("star")
+    runs = [load_star(orders, root, LoadParams(chunk_size=400)).run_id for _ in range(3)]
+    warehouse = Warehouse(spark, root)
+    assert len(set(runs)) == 3 and warehouse.stored_runs() == sorted(runs)
+    assert drop_runs(spark, root, keep=2) == [runs[0]]
+    assert warehouse.stored_runs() == sorted(runs[1:]) and len(facts(spark, root)) == orders.count()
+    with pytest.raises(ValueError):
+        drop_runs(spark, root, keep=0)
+    reset(spark, root)
+    assert warehouse.stored_runs() == [] and facts(spark, root) == []
+
+
+def test_status_follows_a_running_load(spark, orders, folder, monkeypatch):
+    root, seen = folder("star"), []
+    original = L.write_block
+
+    def look_after(warehouse, *rest):
+        original(warehouse, *rest)
+        warehouse.log.flush()
+        seen.append(status(orders, root)["counts"].first())
+
+    monkeypatch.setattr(L, "write_block", look_after)
+    load_star(orders, root, LoadParams(chunk_size=400, batches_a_block=1, threads=1))
+    assert [c.fact_rows for c in seen] == [400, 800, orders.count()]
+    assert seen[0].fact_size.endswith(("bytes", "kB"))
 
 
 def test_guard_reset_and_status(spark, orders, folder):
@@ -235,6 +324,40 @@ def test_stream_equals_batch_and_takes_new_files(spark, orders, loaded, folder):
     assert months.agg(F.sum("lines")).first()[0] == orders.count()
 
 
+def test_stream_takes_each_line_once(spark, orders, loaded, folder):
+    path, out, state = folder("in"), folder("out"), folder("state")
+    star = open_star(spark, loaded[0])
+    assert stream_fact_load(spark, path, star, out, state).count() == 0
+    orders.filter("order_line_id <= 500").write.parquet(path)
+    assert stream_fact_load(spark, path, star, out, state).count() == 500
+    again = orders.filter("order_line_id between 491 and 520")
+    again.union(again.limit(3)).coalesce(1).write.mode("append").parquet(path)
+    got = stream_fact_load(spark, path, star, out, state)
+    assert sorted(r[0] for r in got.select("order_line_id").collect()) == list(range(1, 521))
+
+
+@pytest.mark.parametrize(
+    "column,value,told",
+    [
+        ("order_date", "date '1999-01-01'", "not in the calendar"),
+        ("product_code", "'P-NONE'", "facts"),
+        ("order_line_id", "7L", "order_line_id"),
+    ],
+)
+def test_a_refused_stream_batch_stays_unread(spark, orders, loaded, folder, column, value, told):
+    path, out, state = folder("in"), folder("out"), folder("state")
+    star = open_star(spark, loaded[0])
+    orders.filter("order_line_id <= 300").write.parquet(path)
+    assert stream_fact_load(spark, path, star, out, state).count() == 300
+    hit = F.col("order_line_id").between(340, 350)
+    later = orders.filter("order_line_id between 301 and 400")
+    later = later.withColumn(column, F.when(hit, F.expr(value)).otherwise(F.col(column)))
+    later.write.mode("append").parquet(path)
+    with pytest.raises(Exception, match=told):
+        stream_fact_load(spark, path, star, out, state)
+    assert read_stream_facts(spark, out).count() == 300
+
+
 def test_stream_refuses_unknown_codes(spark, orders, orders_path, loaded, folder):
     star = open_star(spark, loaded[0])
     known = {**star, "dim_product": star["dim_product"].filter("product_key > 1")}

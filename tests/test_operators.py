@@ -7,7 +7,7 @@ from orrery.operators import analysis, batches, checks, graph, previews
 from orrery.operators.dims import CUSTOMER, build_dimension, require_unique
 from orrery.operators.fact import build_fact, dimensions_bounded
 from orrery.operators.keys import dense_key
-from orrery.plans import lineage
+from orrery.plans import control, lineage
 from orrery.schemas import (
     DIM_CUSTOMER,
     FACT_SALES,
@@ -203,8 +203,7 @@ def test_chunk_plan_edges(spark):
     assert batches.chunk_plan(empty, 10).count() == 0
     with pytest.raises(ValueError, match="positive"):
         batches.chunk_plan(empty, 0)
-    assert batches.default_chunk_size(1_000_000) == 20_000
-    assert batches.default_chunk_size(10**12) == 10**8
+    assert batches.DEFAULT_CHUNK_SIZE == 20_000
 
 
 # -- analyses and previews -----------------------------------------------------------------
@@ -277,15 +276,28 @@ def test_graph_against_brute_force(spark, seed):
                     todo.append(f)
         return seen
 
-    def depth(node):
-        return max((depth(f) + 1 for f in feeders.get(node, ())), default=0)
+    def longest_walk(end):
+        """Edges of the longest of all walks that end here, each listed in full."""
+        walks, longest = [[end]], 0
+        while walks:
+            walk = walks.pop()
+            longest = max(longest, len(walk) - 1)
+            walks += [[feeder, *walk] for feeder in feeders.get(walk[0], ())]
+        return longest
 
     targets = ["n15", "n9", "n7"]
     got = graph.upstream(edges, spark.createDataFrame([(t,) for t in targets], "target string"))
     assert sorted(map(tuple, got.collect())) == sorted((t, u) for t in targets for u in above(t))
     nodes = {n for pair in pairs for n in pair}
     layers = {r.node: r.layer for r in graph.dependency_layers(edges).collect()}
-    assert layers == {n: depth(n) for n in nodes}
+    assert layers == {n: longest_walk(n) for n in nodes}
+
+
+def test_layers_of_a_long_chain(spark):
+    pairs = [(f"c{i}", f"c{i + 1}") for i in range(50)] + [("c0", f"x{i}") for i in range(30)]
+    chain = spark.createDataFrame(pairs, "src string, dst string")
+    layers = {r.node: r.layer for r in graph.dependency_layers(chain).collect()}
+    assert layers == {f"c{i}": i for i in range(51)} | {f"x{i}": 1 for i in range(30)}
 
 
 def test_circles(spark):
@@ -306,7 +318,39 @@ def test_callees(spark):
         "t": ("g", False),
         "z": ("p", False),
     }
-    assert [r.callee for r in graph.utility_callees(frame).collect()] == ["t"]
+    services = spark.createDataFrame([(s,) for s in "fgpqrstu"], "service string")
+    assert [r.callee for r in graph.utility_callees(frame, services).collect()] == ["t"]
+
+
+def test_a_service_that_calls_only_adapters_is_a_utility(spark):
+    calls = [("load", "log"), ("load", "log"), ("load", "step"), ("load", "step"), ("log", "insert_row")]
+    calls += [("step", "log"), ("load", "insert_row"), ("load", "insert_row")]
+    frame = spark.createDataFrame(calls, "caller string, callee string")
+    services = spark.createDataFrame([("load",), ("log",), ("step",)], "service string")
+    found = graph.utility_callees(frame, services).collect()
+    assert [(r.callee, r.most_calls, r.calls) for r in found] == [("log", 2, 3)]
+
+
+def test_control_values_have_one_row_a_key(spark):
+    pairs = lambda *rows: spark.createDataFrame(rows, "ctl_key string, ctl_value string")
+    merged = control.insert_if_absent(pairs(("a", "1"), ("a", "0")), pairs(("b", "2"), ("b", "3"), ("a", "9")))
+    assert sorted(map(tuple, merged.collect())) == [("a", "1"), ("b", "3")]
+    changed = control.set_values(merged, pairs(("a", "5"), ("a", "7"), ("c", "1"), ("b", None)))
+    assert sorted(map(tuple, changed.collect())) == [("a", "7"), ("b", None)]
+
+
+def test_amounts_are_compared_from_both_sides(spark):
+    src = spark.createDataFrame(
+        [(1, 2, "1.50"), (2, 1, "1.00"), (3, 1, "2.00"), (4, 1, "1.00")],
+        "order_line_id long, quantity int, unit_price string",
+    ).withColumn("unit_price", F.col("unit_price").cast("decimal(12,2)"))
+    fact = spark.createDataFrame(
+        [(1, "3.00"), (2, "1.01"), (4, "0.50"), (4, "0.50"), (9, "5.00")], "order_line_id long, amount string"
+    ).withColumn("amount", F.col("amount").cast("decimal(14,2)"))
+    ids = sorted(r.order_line_id for r in checks.amount_mismatches(src, fact).collect())
+    assert ids == [2, 3, 4, 9]
+    row = checks.amount_check(src, fact).first()
+    assert (row.lines_checked, row.mismatches, str(row.difference)) == (5, 4, "3.01")
 
 
 def test_column_lineage(spark):

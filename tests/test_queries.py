@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SMALL
+from orrery import catalogue, oracles
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalogue.queries()
+ORACLES = oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +43,20 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLES) == {"relation_size"}
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize(
+    "name", ["null_violations", "length_violations", "orphan_keys", "amount_mismatches"]
+)
+def test_reports_see_broken_input(spark, name):
+    frame = QUERIES[name](spark, SMALL)
+    told = {"orphan_keys": "orphan_rows > 0", "amount_mismatches": "true"}
+    assert frame.filter(told.get(name, "violations > 0")).count() > 1
+
+
 def test_entry_runs(spark):
     assert entry_points.entry(spark).count() == 5
 
