@@ -6,6 +6,22 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op1_lattice": """
+with recursive v as (
+  select vec_id, label, e, sqrt(list_dot_product(e, e)) as norm
+  from (select vec_id, label, cast(embedding as double[]) as e from embeddings)
+  where label is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and list_dot_product(e, e) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b
+  from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach(id, least) as (
+  select vec_id, vec_id from embeddings
+  union select links.a, least from reach join links on links.b = id where least < links.a)
+select vec_id, (select count(*) from links where a = vec_id) as n_links,
+       min(least) as component_id, vec_id = min(least) as kept
+from embeddings join reach on id = vec_id group by vec_id""",
     "op2_substrings": r"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
 starts as (
