@@ -97,14 +97,29 @@ def cells(unit_vectors: np.ndarray, group: np.ndarray) -> np.ndarray:
     return out
 
 
-def _vectors(blobs) -> np.ndarray:
-    raw = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+def _packed(vector) -> bytes:
+    """The components as 32-bit numbers where that loses nothing, else as 64-bit ones."""
+    wide = np.asarray(vector, np.float64)
+    with np.errstate(over="ignore"):
+        narrow = wide.astype(np.float32)
+    return b"f" + narrow.tobytes() if (narrow == wide).all() else b"d" + wide.tobytes()
+
+
+def _dimension(blob: bytes) -> int:
+    return (len(blob) - 1) // (4 if blob[:1] == b"f" else 8)
+
+
+def _vectors(blobs: list[bytes]) -> np.ndarray:
+    """Unit vectors in double precision."""
+    rows = [np.frombuffer(b, "<f4" if b[:1] == b"f" else "<f8", offset=1) for b in blobs]
+    raw = np.stack(rows).astype(np.float64)
+    raw /= np.abs(raw).max(1, keepdims=True)  # so that no square overflows or vanishes
     return raw / np.sqrt((raw * raw).sum(1, keepdims=True))
 
 
 def _by_group(frame: pd.DataFrame):
     """Rows of one label and dimension, as (rows, unit vectors, number of the group)."""
-    for (group, _), rows in frame.groupby(["label_hash", frame["vector"].map(len)]).indices.items():
+    for (group, _), rows in frame.groupby(["label_hash", frame["vector"].map(_dimension)]).indices.items():
         part = frame.iloc[rows]
         unit = _vectors(part["vector"].tolist())
         yield part, unit, np.full(len(part), np.int64(group)).view(np.uint64)
@@ -196,7 +211,7 @@ def near_duplicates(
 
     def place(frames, whole: bool):
         for frame in frames:
-            frame["vector"] = [np.asarray(e, np.float64).tobytes() for e in frame["e"]]
+            frame["vector"] = [_packed(e) for e in frame["e"]]
             for part, unit, group in _by_group(frame):
                 keys = cells(unit, group).view(np.int64)
                 n = len(part)

@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +34,9 @@ def slices(batch: pa.RecordBatch, at: int, limit: int = CHUNK_BYTES) -> Iterator
     if not batch.num_rows:
         return
     sizes = np.zeros(batch.num_rows, np.int64)
-    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
-        offsets = np.frombuffer(column.buffers()[1], np.int32)
-        sizes = np.diff(offsets[column.offset : column.offset + len(column) + 1].astype(np.int64))
+    kind = column.type
+    if any(is_(kind) for is_ in (T.is_string, T.is_binary, T.is_large_string, T.is_large_binary)):
+        sizes = np.asarray(pc.binary_length(column).fill_null(0), np.int64)
     piece = np.cumsum(sizes + 16) // limit
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for begin, end in zip(cuts, cuts[1:]):

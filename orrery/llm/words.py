@@ -38,6 +38,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each begins; null is empty."""
+    if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+        column = column.cast(pa.binary())  # a batch holds less than 2 GB
     if column.null_count:
         column = column.fill_null("" if pa.types.is_string(column.type) else b"")
     if len(column) == 0:

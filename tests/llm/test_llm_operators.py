@@ -78,7 +78,7 @@ def brute_links(rows, least=0.93):
     unit = []
     for _, e, label in rows:
         ok = label is not None and e and all(x is not None and math.isfinite(x) for x in e) and any(e)
-        v = np.array(e, np.float64) if ok else None
+        v = np.array(e, np.float64) / max(map(abs, e)) if ok else None
         unit.append(v / np.sqrt((v * v).sum()) if ok else None)
     for i in range(len(rows)):
         for j in range(i):
@@ -127,6 +127,7 @@ def test_lattice_on_odd_vectors_and_given_table(spark, monkeypatch):
     rows += [(200, base[0].tolist(), 2), (201, base[0].tolist(), None), (202, None, 1), (203, [], 1)]
     rows += [(204, [0.0] * 8, 1), (205, [float("nan")] * 8, 1), (206, [None] + [1.0] * 7, 1)]
     rows += [(207, [1.0, 2.0], 1), (208, [1.0, 2.0], 1), (209, [float("inf")] + [0.0] * 7, 1), (209, None, None)]
+    rows += [(210, [1e-200] * 8, 3), (211, [1e200] * 8, 3), (212, [0.5] * 8, 3)]
     table = spark.createDataFrame(
         [(*r, 5, 6) for r in rows], "vec_id long, embedding array<double>, label int, cid int, e int"
     )
