@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from orrery.workspace import materialise
 
+LINKS_A_FILE = 200_000
+
 
 class Forest:
     """Disjoint sets of the 64-bit `ids` inside one task, joined many pairs at a time."""
@@ -60,6 +62,8 @@ def component_of(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 links.selectExpr("b as node", "b as component")
             ).distinct()
         before = tuple(state)
+        # links never become more, so a file for so many is a bound on a task's rows
+        files = 1 + state[0] // LINKS_A_FILE
         # large-star: a larger neighbour of u goes to the smallest of u and its neighbours
         both = links.union(links.selectExpr("b as a", "a as b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr(
@@ -75,7 +79,10 @@ def component_of(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             "if(b = m, a, b) as a", "m as b"
         )
         links = materialise(
-            moved.union(small.selectExpr("u as a", "m as b")).where("a <> b").distinct(),
+            moved.union(small.selectExpr("u as a", "m as b"))
+            .where("a <> b")
+            .distinct()
+            .coalesce(files),
             "links",
         )
     raise RuntimeError(f"links did not settle in {max_rounds} rounds")

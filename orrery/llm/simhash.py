@@ -292,7 +292,11 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("component_id"))
     )
     linked_codes = found.join(named_by, "component").select("node", "component_id")
-    every = classes.join(linked_codes, classes.code == linked_codes.node, "left").select(
-        "code", F.coalesce("component_id", "doc_id").alias("component_id")
+    # stored, so that both sides of the last join are exchanges whose hot codes can be split
+    every = materialise(
+        classes.join(linked_codes, classes.code == linked_codes.node, "left").select(
+            "code", F.coalesce("component_id", "doc_id").alias("component_id")
+        ),
+        "fingerprint-components",
     )
     return stored.join(every, "code").select("doc_id", "code", "component_id", "key0", "key1")
