@@ -54,7 +54,7 @@ def test_all_are_registered():
 def test_reports_see_broken_input(spark, name):
     frame = QUERIES[name](spark, SMALL)
     told = {"orphan_keys": "orphan_rows > 0", "amount_mismatches": "true"}
-    assert frame.filter(told.get(name, "violations > 0")).count() > 1
+    assert frame.filter(told.get(name, "violations > 0")).count() > 0
 
 
 def test_entry_runs(spark):
