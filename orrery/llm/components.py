@@ -58,9 +58,9 @@ def component_of(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
         if tuple(state) == before or not state[0]:
-            return links.selectExpr("a as node", "b as component").union(
-                links.selectExpr("b as node", "b as component")
-            ).distinct()
+            # in stars every other node has one link, so only the centres repeat
+            centres = links.select("b").distinct().selectExpr("b as node", "b as component")
+            return links.selectExpr("a as node", "b as component").union(centres)
         before = tuple(state)
         # links never become more, so a file for so many is a bound on a task's rows
         files = 1 + state[0] // LINKS_A_FILE
