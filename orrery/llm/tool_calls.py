@@ -12,7 +12,9 @@ all rows. Where an id is repeated its first call and its first result count.
 Messages keep their turn as place, unless something they need stands later: then they
 move behind it. The order is (order_turn, order_depth, turn): order_turn is the latest
 turn among a message and all it needs, order_depth how many moved messages in a row lead
-to it. Only moved messages cost a round.
+to it. A round lets single needs point twice as far, so a chain costs rounds by the
+logarithm of its length; messages with several needs cost a round a level, where they move.
+Circles are what is left when messages whose needs are all settled are taken away.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +30,10 @@ from pyspark.sql import functions as F
 from orrery.llm.rows import named, with_results
 from orrery.workspace import materialise
 
-MAX_ROUNDS = 24
+#: The turn in place of a null one.
+_FIRST = -(2**62)
+#: Longer than any chain of needs; only steps around a circle come to it.
+_ENDLESS = 1 << 40
 #: The tool schemas are broadcast; more than this many characters of them are refused.
 MOST_SCHEMA_CHARACTERS = 16 << 20
 _CALL = "struct<id:string,name:string,arguments:string,status:string,refs:array<string>>"
@@ -174,6 +178,74 @@ def read_message(role: str | None, text: str | None, schemas: dict) -> tuple[lis
     return calls, answers, canonical(out)
 
 
+def _greatest_needed(needs: DataFrame, own: DataFrame) -> DataFrame:
+    """(row, v): the greatest `v` of `own` among a message and all that it needs.
+
+    A need of a message with one need is replaced by that one once its value is taken
+    over, which leaves the result as it is and doubles the reach of a chain each round.
+    """
+    state, edges = own, needs
+    while True:
+        value = state.select(F.col("row").alias("need"), F.col("v").alias("w"))
+        grown = edges.join(value, "need").groupBy("row").agg(F.max("w").alias("w"))
+        new = materialise(
+            state.select("row", "v").join(grown, "row", "left").select(
+                "row", F.greatest("v", "w").alias("v"), F.coalesce(F.col("w") > F.col("v"), F.lit(False)).alias("grew")
+            ),
+            "messages-reached",
+        )
+        if new.where("grew").isEmpty():
+            return new.select("row", "v")
+        state = new
+        single = edges.groupBy("row").agg(F.count("*").alias("n"), F.max("need").alias("next")).where("n = 1")
+        edges = materialise(
+            edges.join(single.select(F.col("row").alias("need"), "next"), "need", "left")
+            .select("row", F.coalesce("next", "need").alias("need"))
+            .distinct(),
+            "message-needs-doubled",
+        )
+
+
+def _depths(needs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(row, k), the longest chain of needs from a row, and the rows in or behind a circle.
+
+    A settled need, one without needs left, is taken over and dropped; a need with one
+    need left is taken over and replaced by that one, its steps added. When a round
+    finds no settled need, each row left needs a row left, so all of them reach a circle.
+    """
+    edges = needs.distinct().withColumn("n", F.lit(1).cast("long"))
+    state = needs.select("row").union(needs.select("need")).distinct().withColumn("k", F.lit(0).cast("long"))
+    bounded = lambda c: F.least(c, F.lit(_ENDLESS))
+    while True:
+        waits = edges.groupBy(F.col("row").alias("need")).agg(
+            F.count("*").alias("open"), F.max("need").alias("next"), F.max("n").alias("step")
+        )
+        told = materialise(
+            edges.join(state.select(F.col("row").alias("need"), "k"), "need").join(waits, "need", "left"),
+            "message-needs-told",
+        )
+        if told.where("open is null").isEmpty():
+            return state, edges.select("row").distinct()
+        taken = (
+            told.where("open is null or open = 1")
+            .groupBy("row").agg(F.max(bounded(F.col("k") + F.col("n"))).alias("t"))
+        )
+        state = materialise(
+            state.join(taken, "row", "left").select("row", F.greatest("k", "t").alias("k")), "messages-depth"
+        )
+        one = F.col("open") == 1
+        edges = materialise(
+            told.where("open is not null")
+            .select(
+                "row",
+                F.when(one, F.col("next")).otherwise(F.col("need")).alias("need"),
+                F.when(one, bounded(F.col("n") + F.col("step"))).otherwise(F.col("n")).alias("n"),
+            )
+            .groupBy("row", "need").agg(F.max("n").alias("n")),
+            "message-needs-open",
+        )
+
+
 def link_tool_calls(
     messages: DataFrame,
     schemas: dict[str, dict],
@@ -182,14 +254,15 @@ def link_tool_calls(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """One row per message, with its calls, their links and validity, its order and its JSON.
 
     Columns: conv_id, turn, role, n_calls, n_valid, n_answered (calls with a result),
     statuses (by call), answers (id of the call a result is for), answered_turn (turn of
     that call; null for an orphan), order_turn, order_depth, unordered (in or behind a
-    circle of needs, or behind more than half of `max_rounds` moved messages), canonical.
+    circle of needs; order_depth is 0 in a circle and for what is moved behind it), canonical.
+    `max_rounds` bounds nothing any more; rounds go on until nothing changes.
 
     A null conversation is a conversation; a null turn stands before all others and has
     a null order_turn unless the message needs something later. Null and empty texts are
@@ -227,7 +300,7 @@ def link_tool_calls(
         with_results(given, ["conv_id", "turn", "role"], [F.col("t"), F.col("role")], _PARSED, prepare)
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("c", F.coalesce(F.col("conv_id").cast("string"), F.lit("\0")))
-        .withColumn("at", F.coalesce("turn", F.lit(-(2**62)))),
+        .withColumn("at", F.coalesce("turn", F.lit(_FIRST))),
         "messages-read",
     )
     calls = read.select("row", "c", "at", F.explode("calls").alias("call")).select(
@@ -250,52 +323,36 @@ def link_tool_calls(
     )
     needs = materialise(answered.union(referred).distinct(), "message-needs")
 
-    # places of moved messages, as (turn, depth); a message not in it keeps its own
-    moved, restless, circle = None, [], None
-    place = F.struct(F.col("p"), F.col("k"))
-    for round_ in range(max_rounds):
-        if moved is None:
-            told = needs.select(
-                "row", F.struct(F.col("at").alias("p"), F.lit(0).alias("k")).alias("own"),
-                F.struct(F.col("need_at").alias("p"), F.lit(1).alias("k")).alias("behind"),
-            )
-        else:
-            own = moved.select(F.col("row"), place.alias("own"))
-            other = moved.select(F.col("row").alias("need"), F.struct("p", (F.col("k") + 1).alias("k")).alias("behind"))
-            told = needs.join(own, "row", "left").join(other, "need", "left").select(
-                "row",
-                F.coalesce("own", F.struct(F.col("at").alias("p"), F.lit(0).alias("k"))).alias("own"),
-                F.coalesce("behind", F.struct(F.col("need_at").alias("p"), F.lit(1).alias("k"))).alias("behind"),
-            )
-        late = (
-            told.where("behind.p >= own.p and behind > own")
-            .groupBy("row").agg(F.max("behind").alias("b")).select("row", "b.p", "b.k")
-        )
-        new = materialise(late, "messages-late")
-        if new.isEmpty():
-            break
-        if round_ >= max_rounds // 2:
-            restless.append(new.select("row"))
-        moved = new if moved is None else materialise(
-            moved.union(new).groupBy("row").agg(F.max(place).alias("b")).select("row", "b.p", "b.k"),
-            "messages-moved",
-        )
+    own = needs.select("row", F.col("at").alias("v")).union(needs.select("need", F.col("need_at"))).distinct()
+    latest = _greatest_needed(needs.select("row", "need"), own)
+    behind = latest.select(F.col("row").alias("need"), F.col("v").alias("w"))
+    # a place is passed on by needs of the same latest turn only, and circles hold no others
+    tight = materialise(
+        needs.select("row", "need").join(latest, "row").join(behind, "need").where("v = w").select("row", "need"),
+        "message-needs-late",
+    )
+    placed = latest.select("row", F.col("v").alias("p"))
+    if tight.isEmpty():
+        placed = placed.withColumn("k", F.lit(0)).withColumn("circle", F.lit(0))
     else:
-        circle = reduce(DataFrame.union, restless).distinct()
+        depth, left = _depths(tight)
+        placed = placed.join(depth, "row", "left").join(left.withColumn("l", F.lit(1)), "row", "left")
+        placed = materialise(
+            placed.select("row", "p", F.when(F.col("l").isNull(), F.col("k")).cast("int").alias("k"), F.coalesce("l", F.lit(0)).alias("circle")),
+            "messages-placed",
+        )
+        if not left.isEmpty():
+            found = _greatest_needed(
+                needs.select("row", "need"), placed.select("row", F.col("circle").cast("long").alias("v"))
+            )
+            placed = placed.drop("circle").join(found.withColumnRenamed("v", "circle"), "row")
     answers = (
         calls.where("id is not null").join(first_result, ["c", "id"], "left_semi")
         .groupBy("row").agg(F.count("*").alias("n_answered"))
     )
     of = answered.select("row", F.col("need_at").alias("of"))
     out = read.join(answers, "row", "left").join(of, "row", "left")
-    if moved is None:
-        out = out.withColumn("p", F.lit(None).cast("long")).withColumn("k", F.lit(None).cast("int"))
-    else:
-        out = out.join(moved, "row", "left")
-    unordered = F.lit(False)
-    if circle is not None:
-        out = out.join(circle.withColumn("circle", F.lit(True)), "row", "left")
-        unordered = F.coalesce("circle", F.lit(False))
+    out = out.join(placed, "row", "left")
     return out.select(
         "conv_id",
         "turn",
@@ -305,9 +362,9 @@ def link_tool_calls(
         F.coalesce("n_answered", F.lit(0)).cast("int").alias("n_answered"),
         F.col("calls.status").alias("statuses"),
         "answers",
-        F.when(F.col("of") > -(2**62), F.col("of")).alias("answered_turn"),
-        F.coalesce("p", "turn").alias("order_turn"),
+        F.when(F.col("of") > _FIRST, F.col("of")).alias("answered_turn"),
+        F.coalesce(F.when(F.col("p") > _FIRST, F.col("p")), "turn").alias("order_turn"),
         F.coalesce("k", F.lit(0)).alias("order_depth"),
-        unordered.alias("unordered"),
+        F.coalesce(F.col("circle") > 0, F.lit(False)).alias("unordered"),
         "canonical",
     )

@@ -409,6 +409,41 @@ def test_tool_call_order_respects_every_need(spark):
             assert place[2 * (i + 1) + 1] < place[2 * i]
 
 
+def test_tool_calls_of_long_backward_chains_beside_circles(spark):
+    """Order and circles of deep chains, several needs and circles, against a search in memory."""
+    rows, needs = [], {}
+
+    def told(c, turn, id, refs):
+        rows.append((c, turn, "assistant", calls({"id": id, "name": "say", "arguments": {"words": [{"$ref": r} for r in refs]}})))
+        rows.append((c, turn + 1, "tool", answer(id)))
+        needs[c, turn + 1] = [(c, turn)]
+        needs[c, turn] = refs
+
+    sizes = {1: 40, 2: 9, 3: 14}
+    for c, n in sizes.items():  # each call needs the result of the next one, some also of the one after
+        for i in range(n):
+            told(c, 2 * i, f"c{i}", [f"c{j}" for j in range(i + 1, min(i + 1 + (c == 3 and i % 3 == 0) + 1, n))])
+    for i in range(3):  # a circle of three calls, one behind it told first, two told last, one beside it
+        told(4, 2 + 2 * i, f"c{i}", [f"c{(i + 1) % 3}"])
+    told(4, 0, "first", ["c1"])
+    told(4, 8, "last", ["c2"])
+    told(4, 10, "later", ["last"])
+    told(4, 12, "beside", ["next"])
+    told(4, 14, "next", [])
+    at = {(c, r["id"]): t + 1 for c, t, _, x in rows for r in json.loads(x).get("tool_calls", [])}
+    needs = {(c, t): [(c, at[c, x]) if isinstance(x, str) else x for x in n] for (c, t), n in needs.items()}
+    place, left = {}, set(needs)
+    while ready := {m for m in left if not any(n in left for n in needs[m])}:
+        for m in ready:
+            place[m] = max([(m[1], 0)] + [(place[n][0], place[n][1] + 1) for n in needs[m]])
+        left -= ready
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = tool_calls.link_tool_calls(table, SCHEMAS).collect()
+    assert len(left) == 12 and {(r.conv_id, r.turn) for r in out if r.unordered} == left
+    assert {(r.conv_id, r.turn): (r.order_turn, r.order_depth) for r in out if not r.unordered} == place
+    assert {r.order_turn for r in out if r.conv_id == 4 and r.turn < 8} == {7}
+
+
 def test_tool_calls_query_counts(spark):
     given = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     out = queries.op6_tool_calls(spark, "/root/testdata/sf0.001")
