@@ -169,16 +169,23 @@ def search_tile(block: int, shard: int, homes: np.ndarray, asked: np.ndarray, ra
     if not asks_:
         return
     q, h = np.concatenate(asks_), np.concatenate(homes_)
+    if not len(q):
+        return
     n_ask, n_home = np.diff(ask_first)[q], np.diff(home_first)[h]
-    # rows of two values against each other: many small pairs of values at once, a large one alone
+    # rows of two values against each other: many small pairs of values at once, a large one in parts
     group = np.cumsum(n_ask * n_home) // _PAIRS_AT_ONCE
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(q)]
     for i, j in zip(cuts, cuts[1:]):
         size = n_ask[i:j] * n_home[i:j]
-        pair = np.repeat(np.arange(i, j), size)
-        for at in range(0, len(pair), _PAIRS_AT_ONCE):
-            part = pair[at : at + _PAIRS_AT_ONCE]
-            inner = np.arange(at, at + len(part)) - (np.cumsum(size) - size)[part - i]
+        end = np.cumsum(size)
+        for at in range(0, int(end[-1]), _PAIRS_AT_ONCE):
+            stop = min(at + _PAIRS_AT_ONCE, int(end[-1]))
+            # the pairs of values that this part meets, the first and last perhaps in part only
+            lo, hi = np.searchsorted(end, [at, stop - 1], side="right") + [0, 1]
+            take = np.minimum(end[lo:hi], stop) - np.maximum((end - size)[lo:hi], at)
+            part = np.repeat(np.arange(lo, hi), take)
+            inner = np.arange(at, stop) - (end - size)[part]
+            part += i
             mine = homes[home_rows[home_first[h[part]] + inner // n_ask[part]]]
             theirs = asked[ask_rows[ask_first[q[part]] + inner % n_ask[part]]]
             near = (mine < theirs) & (np.bitwise_count(mine ^ theirs) <= radius)

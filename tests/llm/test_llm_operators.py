@@ -251,6 +251,26 @@ PLAIN_ASSIGN = re.compile(
 )
 
 
+def test_rows_of_one_block_value_are_searched_in_bounded_parts(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(simhash, "_PAIRS_AT_ONCE", 1 << 14)
+    rng = np.random.default_rng(5)
+    home, _, _ = simhash.routes()
+    codes = np.unique((rng.integers(0, 1 << 40, 3000, dtype=np.uint64) << np.uint64(16)) | np.uint64(77))
+    for other in (codes[:1500:3] ^ np.uint64(1 << 30), codes[1::4] ^ np.uint64(0b11 << 20)):
+        codes = np.unique(np.concatenate([codes, other]))
+    tracemalloc.start()
+    found = [np.stack(x, 1) for x in simhash.search_tile(0, int(home[77]), codes, codes, 3)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(codes) ** 2 > 1 << 23 and peak < 8 << 20  # the whole index has 8 bytes a pair
+    near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 3
+    a, b = np.nonzero(near & (codes[:, None] < codes[None, :]))
+    pairs = [tuple(p) for p in np.concatenate(found).tolist()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == set(zip(codes[a].tolist(), codes[b].tolist()))
+
+
 def brute_base(text):
     text = text or ""
     spans = [(m.start(), 0, m.end()) for m in PLAIN_ASSIGN.finditer(text) if len(m[2]) >= 8]
