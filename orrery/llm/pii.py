@@ -1,7 +1,8 @@
 """Personal data replaced by keyed pseudonyms of the same format, in SQL functions only.
 
-A text is cut at everything that looks like personal data. What passes its kind's
-validation is permuted by a Feistel network over its own digits, keyed and marked by
+A text is cut at everything that looks like personal data. Where a candidate is not
+valid, its shorter prefixes that end at a separator are tried, then the later starts
+inside it. What passes its kind's validation is permuted by a Feistel network over its own digits, keyed and marked by
 kind; so equal values get equal pseudonyms in every document, different values of
 a kind and length get different ones, and nothing has to be looked up or joined.
 
@@ -49,9 +50,15 @@ _PHONE = (
     r"(?:(?<![A-Za-z0-9+])(?:\+1[ .-]?|1[ .-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}"
     r"|(?<![A-Za-z0-9])\+[0-9](?:[ .-]?[()]?[ .-]?[0-9]){6,14}"
     r"|(?<![A-Za-z0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
-    r"|(?<![A-Za-z0-9+-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _END
+    r"|(?<![A-Za-z0-9+-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})" + _END
 )
 FOUND = "|".join([_EMAIL, _IBAN, _DATE, _IP, _SSN, _CARD, _PHONE])
+#: A candidate behind one character of context, anywhere and at the very start.
+_NEXT, _HERE = r"(?<=[\s\S])(?:" + FOUND + ")", r"(?<=^[\s\S])(?:" + FOUND + ")$"
+_LONG = r"(?<=^[\s\S])(?:" + _CARD + "|" + _PHONE + ")"
+#: Tokens that candidates can be made of, over the blanks that candidates can hold; no
+#: candidate reaches over the end of such a stretch, and none starts without a digit or at sign.
+ZONE = r"(?<!\S)\S*[0-9@]\S*(?: {1,2}(?:\S*[0-9@]\S*|[A-Z]{1,4}(?![A-Za-z0-9])\S*|[().-]{1,3}(?=\s|$)))*+"
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 
 
@@ -261,6 +268,55 @@ def replacement(m: str, key: str) -> str:
     return f"case {kind} {cases} end"
 
 
+def _shorter(x: str) -> str:
+    """SQL for the prefixes of `x` that end before a separator, the longest first."""
+    return f"""transform(filter(reverse(sequence(1, greatest(length({x}), 1))), e ->
+        substr({x}, e, 2) rlike '^[A-Za-z0-9][^A-Za-z0-9]$'), e -> substr({x}, 1, e))"""
+
+
+def _pieces(zone: str) -> str:
+    """SQL for the array of (k, x) that make up a stretch of text; k is null for plain text.
+
+    The state `r` is what is left, behind one character of context, and null at the end.
+    A step takes the next candidate. Not valid in any prefix, only its first run of
+    letters and digits is passed over.
+    """
+    plain = lambda text: f"named_struct('k', cast(null as string), 'x', {text})"
+    follows = "substr(concat(c.x, c.a), length(p) + 1, 2)"
+    # a shorter prefix has to stand in its context as its pattern asks
+    fits = f"""p = c.x or (concat(c.p, p) rlike {_quoted(_HERE)} and not
+        case q.k when 'ssn' then {follows} rlike '^-[0-9]' when 'ip' then {follows} rlike '^[.][0-9]'
+            when 'date' then {follows} rlike '^[.-][0-9]' else false end)"""
+    tried = f"""concat(array(c.x), {_shorter('c.x')}, array(c.y), {_shorter('c.y')})"""
+    kinds = f"""filter(transform(filter({tried}, p -> p = c.x or concat(c.p, p) rlike {_quoted(_HERE)}),
+        p -> {_let(f"named_struct('k', {kind_of('p')}, 'x', p)", 'q', f"if({fits}, q, {plain('p')})")}),
+        q -> q.k is not null)"""
+    passed = "regexp_extract(c.x, '^(?:[A-Za-z0-9]+|[^A-Za-z0-9])', 0)"
+    on = lambda x: f"concat(right({x}, 1), substr(concat(c.x, c.a), length({x}) + 1))"
+    taken = _let(
+        kinds,
+        "found",
+        f"""if(size(found) > 0,
+            {_let('found[0]', 'f', f"named_struct('o', concat(s.o, array({plain('substr(c.b, 2)')}, f)), 'r', {on('f.x')})")},
+            {_let(passed, 'd', f"named_struct('o', concat(s.o, array({plain('concat(substr(c.b, 2), d)')})), 'r', {on('d')})")})""",
+    )
+    candidate = f"""named_struct('b', h[0], 'p', right(h[0], 1), 'a', h[1],
+        'x', regexp_extract(s.r, {_quoted(_NEXT)}, 0))"""
+    longer = f"regexp_extract(concat(b.p, b.x, b.a), {_quoted(_LONG)}, 0)"
+    step = _let(
+        f"split(s.r, {_quoted(_NEXT)}, 2)",
+        "h",
+        f"""if(size(h) < 2,
+            named_struct('o', concat(s.o, array({plain('substr(s.r, 2)')})), 'r', cast(null as string)),
+            {_let(_let(candidate, 'b', f"named_struct('b', b.b, 'p', b.p, 'a', b.a, 'x', b.x, 'y', {longer})"), 'c', taken)})""",
+    )
+    # each step but the last passes over a run of letters and digits or one of these signs
+    steps = f"sequence(1, 1 + size(regexp_extract_all({zone}, '[A-Za-z0-9]+|[^A-Za-z0-9]', 0)))"
+    return f"""if({zone} rlike {_quoted(FOUND)}, aggregate({steps},
+        named_struct('o', cast(array() as array<struct<k:string,x:string>>), 'r', concat('\\n', {zone})),
+        (s, i) -> if(s.r is null, s, {step}), s -> s.o), array({plain(zone)}))"""
+
+
 def pseudonymise(
     docs: DataFrame, *, text: str = "text", key: str = DEFAULT_KEY
 ) -> DataFrame:
@@ -273,21 +329,22 @@ def pseudonymise(
     two by position.
     """
     secret = _quoted(key)
-    pattern = _quoted(FOUND)
-    made = f"""transform(m, x -> {_let(kind_of('x'), 'k', f"named_struct('k', k, 'x', x)")})"""
+    zone = _quoted(ZONE)
     replaced = replacement("w", secret)
     names = [f"c{i}" for i in range(len(docs.columns))]
     body = named(docs, text)
     rows = docs.select(*[named(docs, c).alias(n) for c, n in zip(docs.columns, names)], body.alias("t"))
     # texts without a digit or an at sign hold none, and are not searched further
     rows = rows.withColumn(
-        "m", F.expr(f"if(t rlike '[0-9@]', regexp_extract_all(t, {pattern}, 0), array())")
+        "m", F.expr(f"if(t rlike '[0-9@]', regexp_extract_all(t, {zone}, 0), array())")
     )
-    rows = rows.withColumn("v", F.expr(made)).withColumn(
+    plain = "named_struct('k', cast(null as string), 'x', g)"
+    made = f"""flatten(transform(split(t, {zone}, -1), (g, h) ->
+        if(h < size(m), concat(array({plain}), {_let("m[h]", "z", _pieces("z"))}), array({plain}))))"""
+    rows = rows.withColumn("v", F.expr(f"if(size(m) > 0, {made}, array())")).withColumn(
         "n", F.expr("cast(coalesce(size(filter(v, x -> x.k is not null)), 0) as bigint)")
     )
-    joined = f"""array_join(transform(split(t, {pattern}, -1), (g, h) ->
-        if(h < size(v), {_let("v[h]", "w", f"concat(g, coalesce({replaced}, w.x))")}, g)), '')"""
+    joined = f"array_join(transform(v, w -> coalesce({replaced}, w.x)), '')"
     return rows.select(
         *[F.col(n).alias(c) for c, n in zip(docs.columns, names)],
         F.expr(f"if(n > 0, {joined}, t)").alias("pseudonymised"),
