@@ -10,7 +10,9 @@ windows always do: an anchor occurs at least as often as any of its windows.
 2. Windows estimated repeated are counted exactly under 128 bits (anchor and digest
    of all words). Partial counts meet, so a passage in a third of all texts is one row a task.
 3. Those counted twice are joined to the windows of their anchor. It is a plain join,
-   whose hot keys adaptive execution splits. The covered word ranges go to their text.
+   whose hot keys adaptive execution splits. An anchor with more than `MOST_LISTED` of
+   them sends no list; its windows are looked up one by one, each meeting at most one
+   row. The covered word ranges go to their text.
 
 The sketch is sized from the bytes of the whole corpus, up to `MOST_CELLS` cells (128 MB
 of bits), and is broadcast. A corpus beyond that size fills the sketch: then more
@@ -23,18 +25,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.rows import named, slices, with_results
 from orrery.llm.shipping import ship
 from orrery.llm.words import mix, words_of
+from orrery.workspace import materialise
 
 WINDOW, ANCHOR = 35, 8
 BLOCK_CELLS = 1 << 18
 LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 30
 #: Text bytes to a cell; an anchor comes about every hundred bytes and fills two cells.
 BYTES_A_CELL = 12
+#: Repeated windows of an anchor that are sent as a list to each place of the anchor.
+MOST_LISTED = 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -159,6 +165,15 @@ def _maybe_repeated(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     return ((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1).astype(bool)
 
 
+def listed(pairs: DataFrame) -> DataFrame:
+    """(a, repeated): the distinct windows of each anchor, null where they are above `MOST_LISTED`."""
+    many = materialise(
+        pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > MOST_LISTED).select("a"), "hot-anchors"
+    )
+    lists = pairs.join(many, "a", "left_anti").groupBy("a").agg(F.collect_list("d").alias("repeated"))
+    return lists.union(many.select("a", F.lit(None).cast("array<bigint>")))
+
+
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -206,14 +221,15 @@ def repeated_passages(
                     [pa.array(a[new]), pa.array(d[new]), pa.array(n)], ["a", "d", "n"]
                 )
 
-    repeated = (
+    pairs = materialise(
         texts.mapInArrow(count, "a bigint, d bigint, n tinyint")
         .groupBy("a", "d")
         .agg(F.sum("n").alias("n"))
         .where("n > 1")
-        .groupBy("a")  # the distinct repeated windows around one run of words
-        .agg(F.collect_list("d").alias("repeated"))
+        .select("a", "d"),
+        "repeated-windows",
     )
+    repeated = listed(pairs)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch_bits = bits.value
@@ -245,7 +261,9 @@ def repeated_passages(
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, g, start, windows, repeated = batch.columns
+            hot = batch.filter(pc.is_null(batch.column(5)))
+            batch = batch.filter(pc.is_valid(batch.column(5)))
+            h, g, a, start, windows, repeated = batch.columns
             # a row's windows against its list, all rows at once
             seen, known = np.asarray(windows.flatten()), np.asarray(repeated.flatten())
             n, m = np.asarray(windows.value_lengths()), np.asarray(repeated.value_lengths())
@@ -268,22 +286,48 @@ def repeated_passages(
             )
             last = np.append(new[1:], len(owner)) - 1
             at = pa.array(owner[new])
+            names = ["h", "g", "begin", "end", "a", "d"]
             yield pa.RecordBatch.from_arrays(
                 [
                     h.take(at),
                     g.take(at),
                     pa.array(place[new].astype(np.int32)),
                     pa.array((place[last] + window if len(new) else place).astype(np.int32)),
+                    pa.nulls(len(new), pa.int64()),
+                    pa.nulls(len(new), pa.int64()),
                 ],
-                ["h", "g", "begin", "end"],
+                names,
             )
+            if hot.num_rows:  # without a list: each window by itself
+                h, g, a, start, windows, _ = hot.columns
+                n = np.asarray(windows.value_lengths())
+                owner = np.repeat(np.arange(len(n)), n)
+                place = np.asarray(start)[owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+                at = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        h.take(at),
+                        g.take(at),
+                        pa.array(place.astype(np.int32)),
+                        pa.array((place + window).astype(np.int32)),
+                        a.take(at),
+                        windows.flatten(),
+                    ],
+                    names,
+                )
 
-    marks = (
+    marked = materialise(
         docs.select(*keys, body.alias("t"))
         .mapInArrow(segments, "h bigint, g int, a bigint, start int, windows array<bigint>")
         .join(repeated, "a")
-        .select("h", "g", "start", "windows", "repeated")
-        .mapInArrow(mark, "h bigint, g int, begin int, end int")
+        .select("h", "g", "a", "start", "windows", "repeated")
+        .mapInArrow(mark, "h bigint, g int, begin int, end int, a bigint, d bigint"),
+        "repeated-places",
+    )
+    one_by_one = marked.where("d is not null").join(pairs, ["a", "d"], "left_semi")
+    marks = (
+        marked.where("d is null").select("h", "g", "begin", "end")
+        .union(one_by_one.select("h", "g", "begin", "end"))
         .groupBy("h", "g")  # ranges of one text, fewer than its words
         .agg(F.collect_set(F.struct("begin", "end")).alias("marks"))
     )

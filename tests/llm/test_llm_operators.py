@@ -197,6 +197,18 @@ def test_repeated_passages_of_whole_odd_and_empty_tables(spark, odd):
 # 3 SimHash
 
 
+def test_windows_of_a_hot_anchor_are_not_gathered(spark, documents, odd, monkeypatch):
+    monkeypatch.setattr(substrings, "MOST_LISTED", 3)
+    pairs = spark.createDataFrame([(a, d) for a in (1, 2, 3) for d in range(2 * a)], "a long, d long")
+    lists = {r.a: r.repeated and sorted(r.repeated) for r in substrings.listed(pairs).collect()}
+    assert lists == {1: [0, 1], 2: None, 3: None}
+    docs = documents.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    got = {(r.doc_id, r.n_removed, r.kept) for r in substrings.repeated_passages(docs).collect()}
+    monkeypatch.setattr(substrings, "MOST_LISTED", 1 << 30)
+    assert got == {(r.doc_id, r.n_removed, r.kept) for r in substrings.repeated_passages(docs).collect()}
+    assert any(n for _, n, _ in got)
+
+
 def brute_fingerprint(text):
     words = (text or "").translate(UPPER).encode().split()
     if not words:
