@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontamination, language_id, language_model, lattice, pieces, pii
-from orrery.llm import secrets, simhash, substrings, tool_calls
+from orrery.llm import conversation_trie, decontamination, language_id, language_model, lattice
+from orrery.llm import periodic_runs, pieces, pii, secrets, simhash, substrings, token_counts
+from orrery.llm import tool_calls
+from orrery.llm.listed_digests import listed_digests
 from orrery.llm.rows import table
+from orrery.llm.running import running
+from orrery.workspace import materialise
 
 
 def op1_lattice(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,6 +164,82 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _number(conv: str) -> Column:
+    return F.crc32(F.col(conv).cast("string").cast("binary")) % 9
+
+
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns (conv_id, depth, digest, bytes) of all conversations rebuilt, and all conversations.
+
+    Each begins with the first turns of the one whose number is its own less its remainder by 5.
+    """
+    own = conversation_trie.ordered_turns(turns)
+    conversations = own.where("position = 1").select("conv_id")
+    begun = conversations.select(
+        "conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), _number("conv_id").alias("h")
+    )
+    first = own.where("position <= 8 and conv_id % 5 = 0").withColumnRenamed("conv_id", "base")
+    begins = begun.join(first, "base").where("position <= h").select(own.columns)
+    rest = own.where(F.col("position") > _number("conv_id"))
+    placed = running(begins.union(rest), "conv_id", ["position"], ["one"], conversation_trie._ones)
+    return placed.select("conv_id", F.col("one_run").alias("depth"), "digest", "bytes"), conversations
+
+
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    nodes, last = conversation_trie.trie(*rebuilt_conversations(table(spark, folder, "conversations")))
+    ends = materialise(listed_digests(last, ("key_a", "key_b"), "conv_id", "ends_sha256"), "ends")
+    return materialise(nodes, "nodes").join(ends, ["key_a", "key_b"], "left").select(
+        *["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves"],
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_counts.count_tokens(table(spark, folder, "documents"), ["doc_id"])
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+_PLANTED = """
+transform(sequence(0, size(w) - 1),
+          i -> if(i < at, w[cast(i as int)],
+                  w[cast(at + (i - at) % (1 + floor((size(w) - at) / (3 + g % 8))) as int)]))"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): words of every tenth document by its number's checksum repeat from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = h % 10 == 0
+    told = docs.select("doc_id", "text", chosen.alias("chosen"), F.floor(h / 10).alias("g")).withColumn(
+        "w", F.when(F.col("chosen"), words)
+    )
+    told = told.withColumn("at", F.when(F.size("w") > 0, F.col("g") % F.size("w")))
+    planted = F.array_join(F.expr(_PLANTED), " ")
+    return told.select("doc_id", F.when(F.col("chosen") & (F.size("w") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+_GREATEST = """
+aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>),
+          (best, r) -> if(best is null or r.length * best.period > best.length * r.period, r, best))"""
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, folder, "documents")), ["doc_id"])
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", F.expr(_GREATEST)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(
+            F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256
+        ).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice": op1_lattice,
     "op2_substrings": op2_substrings,
@@ -171,4 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_language_model": op9_language_model,
     "op10_pii": op10_pii,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_token_counts": op12_token_counts,
+    "op13_periodic_runs": op13_periodic_runs,
 }
