@@ -9,10 +9,10 @@ windows always do: an anchor occurs at least as often as any of its windows.
    A window whose anchor both cells call repeated may repeat; any other cannot.
 2. Windows estimated repeated are counted exactly under 128 bits (anchor and digest
    of all words). Partial counts meet, so a passage in a third of all texts is one row a task.
-3. Those counted twice are joined to the windows of their anchor. It is a plain join,
-   whose hot keys adaptive execution splits. An anchor with more than `MOST_LISTED` of
-   them sends no list; its windows are looked up one by one, each meeting at most one
-   row. The covered word ranges go to their text.
+3. Bits of those counted twice tell nearly all other windows at once. What passes is cut
+   into segments, consecutive windows under one anchor, each known by a digest of its
+   words. Equal segments are looked up once, window by window, each meeting at most one
+   row; what was found goes back to the places of the segment, one row to one row.
 
 The sketch is sized from the bytes of the whole corpus, up to `MOST_CELLS` cells (128 MB
 of bits), and is broadcast. A corpus beyond that size fills the sketch: then more
@@ -21,7 +21,7 @@ windows are counted exactly, and none is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orrery.llm.periodic_runs import Stretches
 from orrery.llm.rows import named, slices, with_results
 from orrery.llm.shipping import ship
 from orrery.llm.words import mix, words_of
@@ -39,8 +40,8 @@ BLOCK_CELLS = 1 << 18
 LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 30
 #: Text bytes to a cell; an anchor comes about every hundred bytes and fills two cells.
 BYTES_A_CELL = 12
-#: Repeated windows of an anchor that are sent as a list to each place of the anchor.
-MOST_LISTED = 64
+#: Windows of a segment at most; a run of one word would have one anchor all along.
+SEGMENT = 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -107,20 +108,20 @@ def cells_of(anchors: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
     return (anchors & mask).astype(np.int64), (mix(anchors) & mask).astype(np.int64)
 
 
-def sketch(texts: DataFrame, cells: int, window: int, anchor: int) -> np.ndarray:
-    """Bits of the cells that at least two anchor places fall into, over all texts.
+def sketch(rows: DataFrame, keys: Callable, cells: int, enough: int) -> np.ndarray:
+    """Bits of the cells that keys of `rows` fall into once at least, or twice (`enough`).
 
-    `texts` has the one column t. Sketches leave a task as the cells they count,
-    once or more often, and are summed in the task that owns the block of cells.
+    `keys` gives the keys of a batch of rows; each falls into two cells. Sketches leave a
+    task as the cells they count, once or more often, and are summed in the task that
+    owns the block of cells.
     """
-    spark = ship(texts.sparkSession)
+    spark = ship(rows.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = [Windows(p.column(0), window, anchor).places for b in batches for p in slices(b, 0)]
-        if not places:
+        found = [keys(p) for b in batches for p in slices(b, 0)]
+        if not found:
             return
-        all_places = np.concatenate(places)
-        hit, n = np.unique(np.concatenate(cells_of(all_places, cells)), return_counts=True)
+        hit, n = np.unique(np.concatenate(cells_of(np.concatenate(found), cells)), return_counts=True)
         block = hit // BLOCK_CELLS
         own, first = np.unique(block, return_index=True)
         ends = [*first[1:], len(hit)]
@@ -144,12 +145,15 @@ def sketch(texts: DataFrame, cells: int, window: int, anchor: int) -> np.ndarray
                 total[at] = np.minimum(total[at] + 1 + more, 2)
         for block, total in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([np.packbits(total > 1, bitorder="little").tobytes()], pa.binary())],
+                [
+                    pa.array([block], pa.int32()),
+                    pa.array([np.packbits(total >= enough, bitorder="little").tobytes()], pa.binary()),
+                ],
                 ["block", "bits"],
             )
 
     merged = (
-        texts.mapInArrow(count, "block int, steps binary, often binary")
+        rows.mapInArrow(count, "block int, steps binary, often binary")
         .repartition("block")
         .mapInArrow(merge, "block int, bits binary")
     )
@@ -160,20 +164,11 @@ def sketch(texts: DataFrame, cells: int, window: int, anchor: int) -> np.ndarray
     return bits
 
 
-def _maybe_repeated(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    one, two = cells_of(anchors, 8 * len(bits))
+def _maybe_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    one, two = cells_of(keys, 8 * len(bits))
     return ((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1).astype(bool)
 
 
-def listed(pairs: DataFrame) -> DataFrame:
-    """(a, repeated): the distinct windows of each anchor, null where they are above `MOST_LISTED`."""
-    many = materialise(
-        pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > MOST_LISTED).select("a"), "hot-anchors"
-    )
-    lists = pairs.join(many, "a", "left_anti").groupBy("a").agg(F.collect_list("d").alias("repeated"))
-    return lists.union(many.select("a", F.lit(None).cast("array<bigint>")))
-
-
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -202,14 +197,18 @@ def repeated_passages(
         size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
         cells = 1 << (size // BYTES_A_CELL).bit_length()
     cells = min(max(cells, LEAST_CELLS), MOST_CELLS)
-    bits = spark.sparkContext.broadcast(sketch(texts, cells, window, anchor))
+
+    def places(batch: pa.RecordBatch) -> np.ndarray:
+        return Windows(batch.column(0), window, anchor).places
+
+    bits = spark.sparkContext.broadcast(sketch(texts, places, cells, 2))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch_bits = bits.value
         for batch in batches:
             for piece in slices(batch, 0):
                 found = Windows(piece.column(0), window, anchor)
-                keep = _maybe_repeated(sketch_bits, found.anchor)
+                keep = _maybe_in(sketch_bits, found.anchor)
                 a, d = found.anchor[keep].view(np.int64), found.digests(window)[keep].view(np.int64)
                 order = np.lexsort((d, a))
                 a, d = a[order], d[order]
@@ -229,107 +228,95 @@ def repeated_passages(
         .select("a", "d"),
         "repeated-windows",
     )
-    repeated = listed(pairs)
+    n_pairs = pairs.count()
+    cells = min(max(1 << (16 * n_pairs).bit_length(), LEAST_CELLS), MOST_CELLS)
+
+    def digests(batch: pa.RecordBatch) -> np.ndarray:
+        return np.asarray(batch.column(0)).view(np.uint64)
+
+    known = spark.sparkContext.broadcast(sketch(pairs.select("d"), digests, cells, 1))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch_bits = bits.value
+        anchor_bits, window_bits = bits.value, known.value
         for batch in batches:
             for piece in slices(batch, 2):
                 found = Windows(piece.column(2), window, anchor)
-                keep = np.flatnonzero(_maybe_repeated(sketch_bits, found.anchor))
+                keep = np.flatnonzero(_maybe_in(anchor_bits, found.anchor))
+                digest = found.digests(window)[keep]
+                likely = _maybe_in(window_bits, digest)
+                keep, digest = keep[likely], digest[likely].view(np.int64)
+                if not len(keep):
+                    continue
                 start, a = found.start[keep], found.anchor[keep]
-                digest = found.digests(window)[keep].view(np.int64)
                 row = found.words.text_of_word()[start]
-                new = np.flatnonzero(
-                    np.concatenate(
-                        ([True], (np.diff(start) != 1) | (a[1:] != a[:-1]) | (row[1:] != row[:-1]))
-                    )[: len(a)]
+                cut = (np.diff(start) != 1) | (a[1:] != a[:-1]) | (row[1:] != row[:-1])
+                new = np.flatnonzero(np.concatenate(([True], cut)))
+                along = np.arange(len(a)) - np.repeat(new, np.diff(np.append(new, len(a))))
+                new = np.flatnonzero(along % SEGMENT == 0)
+                n = np.diff(np.append(new, len(a)))
+                words = mix(Stretches(found.hashes).of(start[new], n + window - 1)).view(np.int64)
+                a = a[new].view(np.int64)
+                # of equal segments in a slice, one tells its windows
+                order = np.lexsort((n, words, a))
+                other = np.concatenate(
+                    ([True], (np.diff(a[order]) != 0) | (np.diff(words[order]) != 0) | (np.diff(n[order]) != 0))
                 )
+                silent = np.ones(len(new), bool)
+                silent[order[other]] = False
                 at = pa.array(row[new])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(keep)).astype(np.int32)), pa.array(digest))
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(at),
                         piece.column(1).take(at),
-                        pa.array(a[new].view(np.int64)),
                         pa.array((start - found.words.first[row])[new].astype(np.int32)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(new, len(a)).astype(np.int32)), pa.array(digest)
-                        ),
+                        pa.array(a),
+                        pa.array(words),
+                        pa.array(n.astype(np.int32)),
+                        pc.if_else(pa.array(silent), pa.nulls(len(new), lists.type), lists),
                     ],
-                    ["h", "g", "a", "start", "windows"],
+                    ["h", "g", "start", "a", "s", "n", "windows"],
                 )
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hot = batch.filter(pc.is_null(batch.column(5)))
-            batch = batch.filter(pc.is_valid(batch.column(5)))
-            h, g, a, start, windows, repeated = batch.columns
-            # a row's windows against its list, all rows at once
-            seen, known = np.asarray(windows.flatten()), np.asarray(repeated.flatten())
-            n, m = np.asarray(windows.value_lengths()), np.asarray(repeated.value_lengths())
-            row = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
-            value = np.concatenate([seen, known])
-            listed = np.concatenate([np.zeros(len(seen), bool), np.ones(len(known), bool)])
-            order = np.lexsort((~listed, value, row))
-            head = np.concatenate(
-                ([True], (np.diff(row[order]) != 0) | (np.diff(value[order]) != 0))
-            )[: len(row)]
-            group = np.cumsum(head) - 1
-            hit = np.zeros(len(row), bool)
-            hit[order] = listed[order][np.flatnonzero(head)][group] if len(row) else False
-            hit = hit[: len(seen)]
-            owner = row[: len(seen)]
-            place = np.asarray(start)[owner] + np.arange(len(seen)) - (np.cumsum(n) - n)[owner]
-            owner, place = owner[hit], place[hit]
-            new = np.flatnonzero(
-                np.concatenate(([True], (np.diff(owner) != 0) | (np.diff(place) != 1)))[: len(owner)]
-            )
-            last = np.append(new[1:], len(owner)) - 1
-            at = pa.array(owner[new])
-            names = ["h", "g", "begin", "end", "a", "d"]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    h.take(at),
-                    g.take(at),
-                    pa.array(place[new].astype(np.int32)),
-                    pa.array((place[last] + window if len(new) else place).astype(np.int32)),
-                    pa.nulls(len(new), pa.int64()),
-                    pa.nulls(len(new), pa.int64()),
-                ],
-                names,
+    segment = ["a", "s", "n"]
+    cut = materialise(
+        docs.select(*keys, body.alias("t")).mapInArrow(
+            segments, "h bigint, g int, start int, a bigint, s bigint, n int, windows array<bigint>"
+        ),
+        "segments",
+    )
+    found = (
+        cut.where("windows is not null")
+        .groupBy(*segment)
+        .agg(F.first("windows").alias("windows"))
+        .select(*segment, F.posexplode("windows").alias("at", "d"))
+        .join(pairs, ["a", "d"], "left_semi")
+        .groupBy(*segment)  # SEGMENT windows at most
+        .agg(F.sort_array(F.collect_list("at")).alias("hits"))
+    )
+    # the words that a segment's repeated windows cover, as ranges from its first word on
+    covered = F.aggregate(
+        "hits",
+        F.lit(None).cast("array<struct<begin:int,end:int>>"),
+        lambda done, at: F.when(
+            F.element_at(done, -1)["end"] >= at,
+            F.concat(
+                F.slice(done, 1, F.size(done) - 1),
+                F.array(F.struct(F.element_at(done, -1)["begin"].alias("begin"), (at + window).alias("end"))),
+            ),
+        ).otherwise(
+            F.concat(
+                F.coalesce(done, F.lit([]).cast("array<struct<begin:int,end:int>>")),
+                F.array(F.struct(at.alias("begin"), (at + window).alias("end"))),
             )
-            if hot.num_rows:  # without a list: each window by itself
-                h, g, a, start, windows, _ = hot.columns
-                n = np.asarray(windows.value_lengths())
-                owner = np.repeat(np.arange(len(n)), n)
-                place = np.asarray(start)[owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
-                at = pa.array(owner)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        h.take(at),
-                        g.take(at),
-                        pa.array(place.astype(np.int32)),
-                        pa.array((place + window).astype(np.int32)),
-                        a.take(at),
-                        windows.flatten(),
-                    ],
-                    names,
-                )
-
-    marked = materialise(
-        docs.select(*keys, body.alias("t"))
-        .mapInArrow(segments, "h bigint, g int, a bigint, start int, windows array<bigint>")
-        .join(repeated, "a")
-        .select("h", "g", "a", "start", "windows", "repeated")
-        .mapInArrow(mark, "h bigint, g int, begin int, end int, a bigint, d bigint"),
-        "repeated-places",
+        ),
     )
-    one_by_one = marked.where("d is not null").join(pairs, ["a", "d"], "left_semi")
-    marks = (
-        marked.where("d is null").select("h", "g", "begin", "end")
-        .union(one_by_one.select("h", "g", "begin", "end"))
+    marks = materialise(
+        cut.select("h", "g", "start", *segment)
+        .join(materialise(found.select(*segment, covered.alias("ranges")), "covered-segments"), segment)
         .groupBy("h", "g")  # ranges of one text, fewer than its words
-        .agg(F.collect_set(F.struct("begin", "end")).alias("marks"))
+        .agg(F.collect_set(F.struct("start", "ranges")).alias("marks")),
+        "marks",
     )
     joined = docs.select(named(docs, id).alias("doc_id"), body.alias("t"), *keys).join(
         marks, ["h", "g"], "left"
@@ -342,11 +329,12 @@ def repeated_passages(
             for t, ranges in zip(texts.cast(pa.binary()).to_pylist(), marks.to_pylist()):
                 words = (t or b"").split()
                 merged: list[dict] = []
-                for r in sorted(ranges or [], key=lambda r: r["begin"]):
-                    if merged and r["begin"] <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], r["end"])
+                told = ((m["start"] + r["begin"], m["start"] + r["end"]) for m in ranges or [] for r in m["ranges"])
+                for begin, end in sorted(told):
+                    if merged and begin <= merged[-1]["end"]:
+                        merged[-1]["end"] = max(merged[-1]["end"], end)
                     else:
-                        merged.append(dict(r))
+                        merged.append({"begin": begin, "end": end})
                 kept, at = [], 0
                 for r in merged:
                     kept += words[at : r["begin"]]

@@ -29,6 +29,7 @@ from orrery.llm import (
     tool_calls,
 )
 from orrery.llm.words import words_of
+from orrery.workspace import materialise
 
 UPPER = {c: c + 32 for c in range(65, 91)}
 
@@ -194,19 +195,37 @@ def test_repeated_passages_of_whole_odd_and_empty_tables(spark, odd):
     assert substrings.repeated_passages(odd.limit(0)).count() == 0
 
 
-# 3 SimHash
+def test_rows_of_a_hot_passage_grow_with_its_places_only(spark, monkeypatch):
+    """Surroundings differ at every place, so windows under the passage's anchors are many."""
+    stored = {}
 
+    def counted(df, label):
+        table = materialise(df, label)
+        stored.setdefault(label, []).append(table)
+        return table
 
-def test_windows_of_a_hot_anchor_are_not_gathered(spark, documents, odd, monkeypatch):
-    monkeypatch.setattr(substrings, "MOST_LISTED", 3)
-    pairs = spark.createDataFrame([(a, d) for a in (1, 2, 3) for d in range(2 * a)], "a long, d long")
-    lists = {r.a: r.repeated and sorted(r.repeated) for r in substrings.listed(pairs).collect()}
-    assert lists == {1: [0, 1], 2: None, 3: None}
-    docs = documents.select("doc_id", "text").union(odd.select("doc_id", "text"))
-    got = {(r.doc_id, r.n_removed, r.kept) for r in substrings.repeated_passages(docs).collect()}
-    monkeypatch.setattr(substrings, "MOST_LISTED", 1 << 30)
-    assert got == {(r.doc_id, r.n_removed, r.kept) for r in substrings.repeated_passages(docs).collect()}
-    assert any(n for _, n, _ in got)
+    monkeypatch.setattr(substrings, "materialise", counted)
+    passage = " ".join(f"p{i}" for i in range(90))
+    for n in (50, 200):
+        rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(40)), passage, *(f"b{i}x{j}" for j in range(40))])) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = substrings.repeated_passages(docs).select("doc_id", "n_words", "n_removed", "kept").collect()
+        assert sorted(repr(tuple(r)) for r in got) == brute_passages(rows, 35)
+    few, many = ({k: v[i] for k, v in stored.items()} for i in range(2))
+    assert many["covered-segments"].count() == few["covered-segments"].count()
+    assert many["segments"].count() <= 4 * few["segments"].count()
+    looked_up = "windows is not null"
+    assert many["segments"].where(looked_up).select(F.sum(F.size("windows"))).scalar() <= 60 * 8
+
+
+def test_repeats_of_one_word_are_cut_into_equal_segments(spark):
+    rows = [(1, "a " * 3000), (2, "b " * 40 + "a " * 500), (3, "c " * 34), (4, "a b " * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.repeated_passages(docs).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute_passages(rows, 35)
+
+
+# 3 SimHash
 
 
 def brute_fingerprint(text):
