@@ -9,13 +9,14 @@ Both give the same star. A batch is a range of ids and a number in the column
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orrery.operators.batches import (
@@ -32,9 +33,10 @@ from orrery.operators.fact import build_fact, dimensions_bounded
 from orrery.operators.totals import reconcile
 from orrery.plans.control import STOP_REQUESTED
 from orrery.plans.runlog import last_run_log
-from orrery.plans.warehouse import BatchPlan, Warehouse
+from orrery.plans.commits import ConcurrentChange
+from orrery.plans.warehouse import APPEND, BASE, BLOCK, REPLAY, BatchPlan, Warehouse
 from orrery.schemas import DIM_DATE, FACT_SALES, Table
-from orrery.workspace import BROADCAST_LIMIT_BYTES, discard
+from orrery.workspace import BROADCAST_LIMIT_BYTES, discard, observed
 
 RUNNING, DONE, STOPPED, FAILED = "RUNNING", "DONE", "STOPPED", "FAILED"
 STEP_OF_TABLE = {
@@ -146,7 +148,7 @@ def write_block(
     """Load the batches of one block in one job; running it again replaces the block only."""
     from_id, to_id = plan.block_interval(block)
     facts = _facts(warehouse, run_id, src, plan, from_id, to_id, dim_rows, broadcast_limit)
-    facts.write.mode("overwrite").parquet(warehouse.block_path(run_id, block, 0))
+    facts.write.mode("overwrite").parquet(warehouse.block_path(run_id, block, BASE))
 
 
 def check_block(src: DataFrame, facts: DataFrame, calendar: DataFrame) -> int:
@@ -242,7 +244,7 @@ class _Run:
         if least is not None and least < 1:
             raise IntegrityError(f"{FACT_SALES.name}: order_line_id {least} is below 1")
         params = self.params
-        self.plan = BatchPlan(params.chunk_size, params.batches_a_block, highest or 0)
+        self.plan = BatchPlan(params.chunk_size, params.batches_a_block, highest or 0, params.lang)
         self.warehouse.store_plan(self.run_id, self.plan)
 
     def facts_in_one_write(self) -> None:
@@ -255,7 +257,7 @@ class _Run:
         ).withColumns(
             {
                 "block": block_number(F.col("chunk_no"), plan.batches_a_block),
-                "version": F.lit(0).cast("long"),
+                "attempt": F.lit(BASE),
             }
         )
         stays_in_place = self.params.source_clustered and dimensions_bounded(self.dim_rows, limit)
@@ -263,7 +265,7 @@ class _Run:
             facts = facts.hint("rebalance", "block")
         with _step("FACT_CHUNK"):
             path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
-            facts.write.mode("overwrite").partitionBy("block", "version").parquet(path)
+            facts.write.mode("overwrite").partitionBy("block", "attempt").parquet(path)
         if stopped:
             self.loaded_to = 0
         else:
@@ -276,10 +278,10 @@ class _Run:
         """
         plan, threads = self.plan, self.params.threads
         empty = _facts(self.warehouse, self.run_id, self.src.limit(0), plan).withColumns(
-            {"block": F.lit(0).cast("long"), "version": F.lit(0).cast("long")}
+            {"block": F.lit(0).cast("long"), "attempt": F.lit(BASE)}
         )
         path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
-        empty.write.partitionBy("block", "version").parquet(path)
+        empty.write.partitionBy("block", "attempt").parquet(path)
 
         def one(block: int) -> None:
             started, since = _now(), time.monotonic_ns()
@@ -315,7 +317,7 @@ class _Run:
         plan, (ended, spent) = self.plan, (_now(), _elapsed_ms(since_ns))
         stored = self.warehouse.table_path(self.run_id, FACT_SALES.name)
         if block is not None:
-            stored = self.warehouse.block_path(self.run_id, block, 0)
+            stored = self.warehouse.block_path(self.run_id, block, BASE)
         counted = (
             self.warehouse.spark.read.schema("chunk_no long").parquet(stored)
             .groupBy("chunk_no").agg(F.count("*").alias("row_count"))
@@ -434,45 +436,81 @@ def replay_batch(
 ) -> int:
     """Load one batch of a run again, by the plan stored with the run; its row count.
 
-    The batch's block is written anew beside the one that is read, then checked against
-    the batch's lines in rows, amount, ids and dates, and only then put in its place. A
-    failed check leaves the run as it was. Readers that opened the run before keep what
-    they opened.
+    Only the batch is written, beside what is read, checked against its lines in rows,
+    amount, ids and dates, and then entered in the run's log, which puts it in the place
+    of the batch's earlier rows. A failed check leaves the run as it was, and readers
+    that opened it before keep what they opened. Replays may run at the same time, of
+    one batch too: the one entered last counts. If lines were added to the batch
+    meanwhile, the replay did not read them and is refused.
     """
     warehouse = Warehouse(src.sparkSession, root)
     run = run_id or warehouse.published_run()
     if run is None:
         raise ValueError("no star is published yet")
-    plan = warehouse.plan(run)
+    changes = warehouse.changes(run)
+    based_on, plan = changes.last(), warehouse.plan(run)
     if chunk_size is not None and chunk_size != plan.chunk_size:
         raise ValueError(f"{run} was loaded in batches of {plan.chunk_size}, not {chunk_size}")
     if not 1 <= chunk_no <= plan.batches:
         raise ValueError(f"{run} has batches 1 to {plan.batches}, not {chunk_no}")
     started, since = _now(), time.monotonic_ns()
     from_id, to_id = plan.interval(chunk_no)
-    block = plan.block_of(chunk_no)
-    others = warehouse.batches(run).filter(
-        (F.col("chunk_no") != chunk_no)
-        & F.col("order_line_id").between(*[x + i for i, x in zip((1, 0), plan.block_interval(block))])
-    )
+    block, attempt = plan.block_of(chunk_no), uuid.uuid4().hex
     sizes = {spec.table.name: warehouse.dimension(run, spec.table.name).count() for spec in DIM_SPECS}
-    fresh = _facts(warehouse, run, src, plan, from_id, to_id, sizes)
-    version = max(warehouse.current_version(run, block), 0) + 1
-    path = warehouse.block_path(run, block, version)
-    others.unionByName(fresh).write.mode("overwrite").parquet(path)
-    kinds = FACT_SALES.schema.add("chunk_no", "long")
-    staged = warehouse.spark.read.schema(kinds).parquet(path).filter(F.col("chunk_no") == chunk_no)
+    path = warehouse.block_path(run, block, attempt)
+    _facts(warehouse, run, src, plan, from_id, to_id, sizes).write.parquet(path)
+    staged = warehouse.spark.read.schema(FACT_SALES.schema).parquet(path)
+
+    def lines_were_added(entries: list) -> None:
+        for entry in entries:
+            if entry.kind == APPEND and entry.from_id < to_id and entry.highest > from_id:
+                raise ConcurrentChange(f"batch {chunk_no} of {run} got lines meanwhile; replay it again")
+
     try:
         rows = check_block(
             in_interval(src, from_id, to_id), staged, warehouse.dimension(run, DIM_DATE.name)
         )
-    except IntegrityError:
+        entry = {"kind": REPLAY, "attempt": attempt, "block": block, "chunk_no": chunk_no, "rows": rows}
+        changes.commit(entry, based_on, lines_were_added)
+    except (IntegrityError, ConcurrentChange):
         discard(warehouse.spark, path)
         raise
-    warehouse.switch(run, block, version)
+    changes.tidy()
     warehouse.log.event(
         run, f"FACT_CHUNK_{chunk_no}", DONE, started, _now(), rows,
         f"order_line_id {from_id}-{to_id}", _elapsed_ms(since),
     )
     warehouse.log.flush()
     return rows
+
+
+def merge_block(spark, root: str, block: int, run_id: str | None = None) -> int:
+    """Write the rows of a block that are read into one attempt, after many replays; its rows.
+
+    Refused if another writer changes the block meanwhile.
+    """
+    warehouse = Warehouse(spark, root)
+    run = run_id or warehouse.published_run()
+    if run is None:
+        raise ValueError("no star is published yet")
+    changes, attempt = warehouse.changes(run), uuid.uuid4().hex
+    based_on, plan = changes.last(), warehouse.plan(run)
+    if not 1 <= block <= plan.blocks:
+        raise ValueError(f"{run} has blocks 1 to {plan.blocks}, not {block}")
+    low, high = plan.block_interval(block)
+    path, counted = warehouse.block_path(run, block, attempt), Observation()
+    warehouse.block(run, block).observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows = observed(counted, "rows")
+
+    def block_was_changed(entries: list) -> None:
+        for entry in entries:
+            added = entry.kind == APPEND and entry.from_id < high and entry.highest > low
+            if added or entry.block == block:
+                raise ConcurrentChange(f"block {block} of {run} was changed meanwhile")
+
+    try:
+        changes.commit({"kind": BLOCK, "attempt": attempt, "block": block, "rows": rows}, based_on, block_was_changed)
+    except ConcurrentChange:
+        discard(spark, path)
+        raise
+    return rows

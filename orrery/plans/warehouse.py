@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orrery.plans.commits import CommitLog
 from orrery.plans.control import STOP_REQUESTED, ControlTable
 from orrery.plans.runlog import LogWriter
 from orrery.schemas import DIMENSIONS, FACT_SALES, RUN_LOG, STAR, Table
@@ -19,8 +20,15 @@ _PUBLICATION = (
     T.StructType().add("run_id", "string").add("status", "string").add("rows", "long")
     .add("version", "long")
 )
-_SWITCH = T.StructType().add("block", "long").add("version", "long")
-_PLAN = T.StructType().add("chunk_size", "long").add("batches_a_block", "long").add("highest", "long")
+_PLAN = (
+    T.StructType().add("chunk_size", "long").add("batches_a_block", "long").add("highest", "long")
+    .add("lang", "string")
+)
+#: Entries that change a run: a batch or a block written anew, or lines that came after it.
+_CHANGE = "kind string, attempt string, block long, chunk_no long, from_id long, highest long, rows long"
+REPLAY, BLOCK, APPEND = "replay", "block", "append"
+#: The attempt that a load itself writes.
+BASE = "base"
 COMPLETE = "DONE"
 
 
@@ -35,6 +43,7 @@ class BatchPlan:
     chunk_size: int
     batches_a_block: int
     highest: int
+    lang: str = "en"
 
     @property
     def batches(self) -> int:
@@ -58,9 +67,9 @@ class BatchPlan:
 class Warehouse:
     """Paths and small state tables under one root folder.
 
-    Facts lie in folders block/version. A block is written under version 0; loading a
-    batch again writes the block under a new version, and a stored switch then makes
-    it the one that is read.
+    Facts lie in folders block/attempt. A load writes the attempt `BASE`. Loading a batch
+    again, or lines that came later, writes an attempt of its own, which an entry of the
+    run's commit log makes readable; the entry's number is the attempt's version.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -91,20 +100,29 @@ class Warehouse:
     def table_path(self, run_id: str, table: str) -> str:
         return f"{self.run_path(run_id)}/{table}"
 
-    def block_path(self, run_id: str, block: int, version: int) -> str:
-        return f"{self.table_path(run_id, FACT_SALES.name)}/block={block}/version={version}"
+    def block_path(self, run_id: str, block: int, attempt: str) -> str:
+        return f"{self.table_path(run_id, FACT_SALES.name)}/block={block}/attempt={attempt}"
+
+    def added_path(self, run_id: str, table: str) -> str:
+        """Rows of a dimension that came after the load, by attempt."""
+        return f"{self.run_path(run_id)}/added/{table}"
+
+    def changes(self, run_id: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.run_path(run_id)}/commits", _CHANGE)
 
     # -- the plan of a run ---------------------------------------------------
 
     def store_plan(self, run_id: str, plan: BatchPlan) -> None:
-        row = self._row(_PLAN, plan.chunk_size, plan.batches_a_block, plan.highest)
+        row = self._row(_PLAN, plan.chunk_size, plan.batches_a_block, plan.highest, plan.lang)
         row.write.mode("overwrite").parquet(self.table_path(run_id, "batch_plan"))
 
     def plan(self, run_id: str) -> BatchPlan:
         row = self._stored(_PLAN, run_id, "batch_plan").first()
         if row is None:
             raise MissingRun(f"{run_id} has no batch plan")
-        return BatchPlan(row.chunk_size, row.batches_a_block, row.highest)
+        later = self.changes(run_id).read().filter(F.col("kind") == APPEND)
+        highest = max(row.highest, later.agg(F.max("highest")).first()[0] or 0)
+        return BatchPlan(row.chunk_size, row.batches_a_block, highest, row.lang or "en")
 
     # -- tables of a run -----------------------------------------------------
 
@@ -121,37 +139,54 @@ class Warehouse:
             raise MissingRun(f"{name} of run {run_id} is not stored under {self.root}") from error
 
     def dimension(self, run_id: str, name: str, partial: bool = False) -> DataFrame:
-        return self._stored(DIMENSIONS[name].schema, run_id, name, partial)
+        """The rows of the load, and those that later lines added."""
+        schema = DIMENSIONS[name].schema
+        rows = self._stored(schema, run_id, name, partial)
+        if "added" not in stored_names(self.spark, self.run_path(run_id)):
+            return rows
+        added = read_or_empty(
+            self.spark, schema.add("attempt", "string"), self.added_path(run_id, name)
+        )
+        entered = self.changes(run_id).read().filter(F.col("kind") == APPEND).select("attempt")
+        return rows.union(added.join(entered, "attempt", "left_semi").select(*schema.names))
 
     def batches(self, run_id: str, partial: bool = False) -> DataFrame:
         """Fact rows with the number of the batch that loaded them."""
-        kinds = FACT_SALES.schema.add("chunk_no", "long").add("block", "long")
-        facts = self._stored(kinds.add("version", "long"), run_id, FACT_SALES.name, partial)
-        if "switches" not in stored_names(self.spark, self.run_path(run_id)):
-            return facts.select(*FACT_SALES.names, "chunk_no")
-        switched = self.switches(run_id).select(
-            F.col("block").alias("_block"), F.col("version").alias("_version")
-        )
-        # one row for each block that was loaded again; where there is none, version 0 is read
+        return self._visible(run_id, partial).select(*FACT_SALES.names, "chunk_no")
+
+    def _visible(self, run_id: str, partial: bool = False) -> DataFrame:
+        """Rows of entered attempts that nothing entered later replaced."""
+        kinds = (*FACT_SALES.schema.fields, T.StructField("chunk_no", T.LongType()),
+                 T.StructField("block", T.LongType()), T.StructField("attempt", T.StringType()))
+        facts = self._stored(T.StructType(list(kinds)), run_id, FACT_SALES.name, partial)
+        log = self.changes(run_id)
+        if not log.last():
+            return facts.filter(F.col("attempt") == BASE)
+        entries = log.read()
+        base = self.spark.range(0, 1, 1, 1).select(F.lit(BASE).alias("attempt"), F.col("id").alias("_version"))
+        versions = entries.select("attempt", F.col("version").alias("_version")).union(base)
+
+        def since(kind: str, column: str, name: str) -> DataFrame:
+            """From which version on the rows of a batch or block count."""
+            return (
+                entries.filter(F.col("kind") == kind).groupBy(F.col(column).alias(f"_{column}"))
+                .agg(F.max("version").alias(name))
+            )
+
+        batch, block = since(REPLAY, "chunk_no", "_batch_from"), since(BLOCK, "block", "_block_from")
         return (
-            facts.join(switched, F.col("block") == F.col("_block"), "left")
-            .filter(F.col("version") == F.coalesce("_version", F.lit(0)))
-            .select(*FACT_SALES.names, "chunk_no")
+            facts.join(versions, "attempt")
+            .join(batch, F.col("chunk_no") == F.col("_chunk_no"), "left")
+            .join(block, F.col("block") == F.col("_block"), "left")
+            .filter(
+                F.col("_version")
+                >= F.greatest(F.coalesce("_batch_from", F.lit(0)), F.coalesce("_block_from", F.lit(0)))
+            )
+            .drop("_version", "_chunk_no", "_batch_from", "_block", "_block_from")
         )
 
-    def switches(self, run_id: str) -> DataFrame:
-        """(block, version) of the blocks that were loaded again."""
-        path = self.table_path(run_id, "switches")
-        stored = read_or_empty(self.spark, _SWITCH, path)
-        return stored.groupBy("block").agg(F.max("version").alias("version"))
-
-    def current_version(self, run_id: str, block: int) -> int:
-        row = self.switches(run_id).filter(F.col("block") == block).first()
-        return row.version if row else 0
-
-    def switch(self, run_id: str, block: int, version: int) -> None:
-        path = self.table_path(run_id, "switches")
-        self._row(_SWITCH, block, version).write.mode("append").parquet(path)
+    def block(self, run_id: str, block: int) -> DataFrame:
+        return self._visible(run_id).filter(F.col("block") == block).select(*FACT_SALES.names, "chunk_no")
 
     def star(self, run_id: str | None = None, partial: bool = False) -> dict[str, DataFrame]:
         """The tables of a run, by default of the last complete one; without any, empty tables.

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(metrics: Observation, name: str) -> int:
+    """A count or sum that came with a finished write; 0 if no row took part in it."""
+    return metrics.get.get(name) or 0
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete stored tables that nothing reads any more, on whatever store they are."""
     for path in paths:
