@@ -104,9 +104,14 @@ def source_profile(src: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_source(src: DataFrame) -> DataFrame:
+    """Rows and amount of the lines: one row."""
+    return src.agg(F.count("*").alias("row_count"), _source_amount().alias("total_amount"))
+
+
 def reconcile(src: DataFrame, fact: DataFrame) -> DataFrame:
     """Rows and amount on both sides: two rows, which must agree."""
-    source = src.agg(F.count("*").alias("row_count"), _source_amount().alias("total_amount"))
+    source = reconcile_source(src)
     loaded = fact.agg(
         F.count("*").alias("row_count"), total(F.col("amount")).alias("total_amount")
     )

@@ -30,7 +30,8 @@ from orrery.operators.batches import (
 from orrery.operators.checks import IntegrityError, check_foreign_key, check_unique
 from orrery.operators.dims import DIM_SPECS, build_dim_date, build_dimension, require_unique
 from orrery.operators.fact import build_fact, dimensions_bounded
-from orrery.operators.totals import reconcile
+from orrery.operators.idsets import repeated_ids
+from orrery.operators.totals import reconcile, reconcile_source
 from orrery.plans.control import STOP_REQUESTED
 from orrery.plans.runlog import last_run_log
 from orrery.plans.commits import ConcurrentChange
@@ -144,13 +145,24 @@ def write_block(
     block: int,
     dim_rows: dict[str, int] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    metrics: Observation | None = None,
 ) -> None:
-    """Load the batches of one block in one job; running it again replaces the block only."""
+    """Load the batches of one block in one job; running it again replaces the block only.
+
+    `metrics` gets the rows and the amount written.
+    """
     from_id, to_id = plan.block_interval(block)
     facts = _facts(warehouse, run_id, src, plan, from_id, to_id, dim_rows, broadcast_limit)
+    if metrics is not None:
+        facts = watched(facts, metrics)
     facts.write.mode("overwrite").parquet(warehouse.block_path(run_id, block, BASE))
 
 
+def watched(facts: DataFrame, metrics: Observation) -> DataFrame:
+    """Facts whose write tells their rows and amount, each task's result counted once."""
+    return facts.observe(metrics, F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount"))
+
+
 def check_block(src: DataFrame, facts: DataFrame, calendar: DataFrame) -> int:
     """Facts must be the lines of `src`, each once, with the same amount and a known date."""
     sides = {row.table_name: row for row in reconcile(src, facts).collect()}
@@ -177,6 +189,7 @@ class _Run:
         self.dim_rows: dict[str, int] = {}
         self.plan: BatchPlan | None = None
         self.loaded_to: int | None = None  # ids up to this one are loaded; None = all
+        self.written: list[Observation] = []
 
     def _new_run_id(self) -> str:
         base = _now().strftime("RUN-%Y%m%d-%H%M%S")
@@ -263,9 +276,12 @@ class _Run:
         stays_in_place = self.params.source_clustered and dimensions_bounded(self.dim_rows, limit)
         if not stays_in_place:
             facts = facts.hint("rebalance", "block")
+        metrics = Observation()
+        facts = watched(facts, metrics)
         with _step("FACT_CHUNK"):
             path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
             facts.write.mode("overwrite").partitionBy("block", "attempt").parquet(path)
+        self.written.append(metrics)
         if stopped:
             self.loaded_to = 0
         else:
@@ -288,11 +304,13 @@ class _Run:
             first = (block - 1) * plan.batches_a_block + 1
             last = min(block * plan.batches_a_block, plan.batches)
             name = f"FACT_CHUNK_{first}" if first == last else f"FACT_CHUNK_{first}-{last}"
+            metrics = Observation()
             with _step(name):
                 write_block(
                     self.warehouse, self.run_id, self.src, plan, block,
-                    self.dim_rows, self.params.broadcast_limit,
+                    self.dim_rows, self.params.broadcast_limit, metrics,
                 )
+            self.written.append(metrics)
             self.log_batches(first, last, started, since, block)
 
         running: set[Future] = set()
@@ -343,7 +361,7 @@ class _Run:
 
     def check_source(self) -> None:
         if self.params.verify_ids:
-            repeated = check_unique(self.src, "order_line_id").limit(1).collect()
+            repeated = repeated_ids(self.src, "order_line_id").limit(1).collect()
             if repeated:
                 raise IntegrityError(
                     f"{FACT_SALES.name}: duplicate order_line_id (such as {repeated[0][0]})"
@@ -352,19 +370,20 @@ class _Run:
     def check_facts(self) -> int:
         """Facts must agree with the lines of the loaded batches, in rows and amount.
 
+        Rows and amount of the facts come with their write; they are not read again.
+
         Line ids and codes are unique by now, so a lookup can only lose lines; equal
         counts mean that every code was found. The calendar is of the same source.
         """
-        expected = in_interval(self.src, None, self.loaded_to)
-        facts = self.warehouse.star(self.run_id)[FACT_SALES.name]
-        sides = {row.table_name: row for row in reconcile(expected, facts).collect()}
-        source, loaded = sides["staging_orders"], sides["fact_sales"]
-        if (source.row_count, source.total_amount) != (loaded.row_count, loaded.total_amount):
+        lines = reconcile_source(in_interval(self.src, None, self.loaded_to)).first()
+        rows = sum(observed(m, "rows") for m in self.written)
+        amount = sum(observed(m, "amount") for m in self.written)
+        if (lines.row_count, lines.total_amount or 0) != (rows, amount):
             raise IntegrityError(
-                f"reconciliation: {source.row_count} lines of {source.total_amount}, "
-                f"{loaded.row_count} facts of {loaded.total_amount}"
+                f"reconciliation: {lines.row_count} lines of {lines.total_amount}, "
+                f"{rows} facts of {amount}"
             )
-        return loaded.row_count
+        return rows
 
     # -- the run -------------------------------------------------------------
 

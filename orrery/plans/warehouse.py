@@ -68,8 +68,9 @@ class Warehouse:
     """Paths and small state tables under one root folder.
 
     Facts lie in folders block/attempt. A load writes the attempt `BASE`. Loading a batch
-    again, or lines that came later, writes an attempt of its own, which an entry of the
-    run's commit log makes readable; the entry's number is the attempt's version.
+    again writes an attempt of its own, and lines that came later lie in folders
+    attempt/block. An entry of the run's commit log makes an attempt readable; the
+    entry's number is its version.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -104,7 +105,7 @@ class Warehouse:
         return f"{self.table_path(run_id, FACT_SALES.name)}/block={block}/attempt={attempt}"
 
     def added_path(self, run_id: str, table: str) -> str:
-        """Rows of a dimension that came after the load, by attempt."""
+        """Rows that came after the load, by attempt: each writer has a folder of its own."""
         return f"{self.run_path(run_id)}/added/{table}"
 
     def changes(self, run_id: str) -> CommitLog:
@@ -140,15 +141,15 @@ class Warehouse:
 
     def dimension(self, run_id: str, name: str, partial: bool = False) -> DataFrame:
         """The rows of the load, and those that later lines added."""
-        schema = DIMENSIONS[name].schema
-        rows = self._stored(schema, run_id, name, partial)
+        table = DIMENSIONS[name]
+        rows = self._stored(table.schema, run_id, name, partial)
         if "added" not in stored_names(self.spark, self.run_path(run_id)):
             return rows
         added = read_or_empty(
-            self.spark, schema.add("attempt", "string"), self.added_path(run_id, name)
+            self.spark, table.schema.add("attempt", "string"), self.added_path(run_id, name)
         )
         entered = self.changes(run_id).read().filter(F.col("kind") == APPEND).select("attempt")
-        return rows.union(added.join(entered, "attempt", "left_semi").select(*schema.names))
+        return rows.union(added.join(entered, "attempt", "left_semi").select(*table.names))
 
     def batches(self, run_id: str, partial: bool = False) -> DataFrame:
         """Fact rows with the number of the batch that loaded them."""
@@ -158,7 +159,11 @@ class Warehouse:
         """Rows of entered attempts that nothing entered later replaced."""
         kinds = (*FACT_SALES.schema.fields, T.StructField("chunk_no", T.LongType()),
                  T.StructField("block", T.LongType()), T.StructField("attempt", T.StringType()))
-        facts = self._stored(T.StructType(list(kinds)), run_id, FACT_SALES.name, partial)
+        schema = T.StructType(list(kinds))
+        facts = self._stored(schema, run_id, FACT_SALES.name, partial)
+        if "added" in stored_names(self.spark, self.run_path(run_id)):
+            added = read_or_empty(self.spark, schema, self.added_path(run_id, FACT_SALES.name))
+            facts = facts.unionByName(added)
         log = self.changes(run_id)
         if not log.last():
             return facts.filter(F.col("attempt") == BASE)
