@@ -25,9 +25,10 @@ from orrery.functions.rules import (
 )
 from orrery.functions.calendar import date_key, is_weekend, iso_day
 from orrery.functions.money import line_amount
-from orrery.operators import analysis, batches, checks, graph, previews, totals
+from orrery.operators import analysis, batches, checks, graph, idsets, previews, totals
 from orrery.operators.dims import DIM_SPECS, build_dim_date
 from orrery.plans import control, lineage, runlog
+from orrery.plans.growth import load_new_lines
 from orrery.plans.load import LoadParams, load_star, replay_batch
 from orrery.plans.warehouse import Warehouse
 from orrery.schemas import AMOUNT, DIMENSIONS, FACT_SALES, STAGING_ORDERS
@@ -335,6 +336,63 @@ def _fact_replay(p: Prepared) -> DataFrame:
     return Warehouse(p.spark, root).star()[FACT_SALES.name].select(*_COMPARED_FACT)
 
 
+def _grown(p: Prepared) -> dict[str, DataFrame]:
+    """A star of the first tenth of the lines, to which the others are added in two steps."""
+    root, highest = new_folder(p.spark, "star"), p.source.agg(F.max("order_line_id")).first()[0] or 0
+    line = F.col("order_line_id")
+    first = p.source.filter(line <= highest // 10)
+    load_star(first, root, LoadParams(chunk_size=CHUNK_SIZE)).require_done()
+    load_new_lines(p.source.filter(line <= highest // 2), root)
+    load_new_lines(p.source, root)
+    return Warehouse(p.spark, root).star()
+
+
+def _growth_keys(p: Prepared) -> DataFrame:
+    """Keys of codes, of which the later ones were met later."""
+    star = _grown(p)
+    parts = [
+        star[s.table.name].select(
+            F.lit(s.table.name).alias("table_name"), F.col(s.key).alias("key"), F.col(s.code).alias("code")
+        )
+        for s in DIM_SPECS
+    ]
+    return _union(parts)
+
+
+def _growth_facts(p: Prepared) -> DataFrame:
+    """Facts with codes and dates in place of keys."""
+    star = _grown(p)
+    facts = star[FACT_SALES.name]
+    for spec in DIM_SPECS:
+        facts = facts.join(star[spec.table.name].select(spec.key, spec.code), spec.key)
+    facts = facts.join(star["dim_date"].select("date_key", "full_date"), "date_key")
+    codes = [spec.code for spec in DIM_SPECS]
+    return facts.select("order_line_id", "order_id", "full_date", *codes, "quantity", "unit_price", "amount")
+
+
+def _repeated_line_ids(p: Prepared) -> DataFrame:
+    """Line ids of a delivery in which some lines come twice and some three times."""
+    ids, line = p.source.select("order_line_id"), F.col("order_line_id")
+    more = ids.filter(line % 997 == 5).union(ids.filter(line % 499 == 5))
+    return idsets.repeated_ids(ids.union(more), "order_line_id")
+
+
+def _shared_order_keys(p: Prepared) -> DataFrame:
+    """Orders of one priority that have a returned line, by bitmaps of both tables' keys."""
+    returned = p.table("lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
+    urgent = p.table("orders").filter("o_orderpriority like '1%'").select(F.col("o_orderkey").alias("id"))
+    return idsets.ids_in_common(returned, urgent, "id")
+
+
+def _stream_redelivered(p: Prepared) -> DataFrame:
+    """All lines by one stream, and all of them once more by another one into the same table."""
+    out = new_folder(p.spark, "stream-facts")
+    for _ in range(2):
+        state = new_folder(p.spark, "stream-state")
+        facts = stream_fact_load(p.spark, p.source_path, p.star, out, state, p.dim_rows)
+    return facts.select(*_COMPARED_FACT)
+
+
 def _numbers(p: Prepared, table: str, key: str) -> DataFrame:
     return p.table(table).select((F.col(key) + 1).alias("id"))
 
@@ -449,6 +507,13 @@ _QUERIES: dict[str, Callable[[Prepared], DataFrame]] = {
     "control_upsert": _control_upsert,
     "star_load": _star_load,
     "fact_replay": _fact_replay,
+    "growth_keys": _growth_keys,
+    "growth_facts": _growth_facts,
+    "repeated_line_ids": _repeated_line_ids,
+    "shared_order_keys": _shared_order_keys,
+    "amount_differences": lambda p: checks.amount_differences(
+        p.source, _altered_facts(p), CHUNK_SIZE
+    ),
     "gen_customers": lambda p: generator.generate_customers(
         _numbers(p, "customer", "c_custkey"), seed=7
     ),
@@ -463,6 +528,7 @@ _QUERIES: dict[str, Callable[[Prepared], DataFrame]] = {
     "utility_callees": _utility_callees,
     "unfed_columns": _unfed_columns,
     "stream_fact_load": _stream_fact_load,
+    "stream_redelivered": _stream_redelivered,
     "stream_sales_by_month": _stream_sales_by_month,
 }
 

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.operators import idsets
+from orrery.operators import checks, idsets
 from orrery.operators.checks import IntegrityError
 from orrery.plans.commits import CommitLog, ConcurrentChange
 from orrery.plans.growth import load_new_lines
@@ -99,6 +99,18 @@ def test_bitmaps_shuffle_a_bit_for_an_id(spark):
     assert idsets.repeated_ids(rows, "id").isEmpty()
 
 
+def test_equal_batches_are_not_compared_line_by_line(spark, orders, loaded):
+    stored = open_star(spark, loaded)["fact_sales"]
+    assert checks.amount_differences(orders, stored, 100).isEmpty()
+    line = F.col("order_line_id")
+    changed = stored.filter(line != 17).withColumn(
+        "amount", F.when(line == 250, F.lit(None)).otherwise(F.col("amount"))
+    )
+    assert sorted(r[0] for r in checks.changed_batches(orders, changed, 100).collect()) == [1, 3]
+    found = checks.amount_differences(orders, changed, 100).collect()
+    assert {(r.order_line_id, r.facts) for r in found} == {(17, None), (250, 1)}
+
+
 # --- replays
 
 
