@@ -7,6 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.plans.commits import CommitLog
 from orrery.schemas import CONTROL
 from orrery.workspace import read_or_empty
 
@@ -62,7 +63,16 @@ class ControlTable:
         """The value of one key, as a one-column frame."""
         return self.read().filter(F.col("ctl_key") == key).select("ctl_value")
 
+    def signals(self) -> CommitLog:
+        """One entry for each time the stop flag was raised; made and seen without a job.
+
+        A job could wait behind the very write that it is to end.
+        """
+        return CommitLog(self.spark, f"{self.path}_signals", "raised_at long")
+
     def set(self, key: str, value: str) -> None:
+        if (key, value) == (STOP_REQUESTED, "true"):
+            self.signals().commit({"raised_at": time.time_ns()})
         self._row(key, value).write.mode("append").parquet(self.path)
 
     def stop_requested(self) -> bool:

@@ -1,13 +1,14 @@
 """The whole load: dimensions, calendar, facts by batch, checks, publication.
 
 By default all facts are one Spark write. With `threads` set, they are written block
-by block, one, two or four blocks at a time, with the stop flag read before each.
-Both give the same star. A batch is a range of ids and a number in the column
+by block, one, two or four blocks at a time. Both give the same star. The stop flag ends
+what is being written; blocks that are whole stay readable. A batch is a range of ids and a number in the column
 `chunk_no`; a block of many batches is a folder, so small batches cost no folders.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -182,13 +183,56 @@ def check_block(src: DataFrame, facts: DataFrame, calendar: DataFrame) -> int:
     return loaded.row_count
 
 
+class StopWatch:
+    """Ends the running writes of a load when the stop flag is raised.
+
+    Its signals are listed every `seconds`. Jobs that belong to the load carry its tag, in
+    whichever thread they were started.
+    """
+
+    def __init__(self, warehouse: Warehouse, tag: str, seconds: float = 1.0):
+        self.warehouse, self.tag, self.seconds = warehouse, tag, seconds
+        self.raised, self._over = False, threading.Event()
+        self._before = warehouse.control.signals().last()
+
+    def __enter__(self) -> StopWatch:
+        self._thread = threading.Thread(target=self._watch, daemon=True)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._over.set()
+        self._thread.join()
+
+    def _watch(self) -> None:
+        context, signals = self.warehouse.spark.sparkContext, self.warehouse.control.signals()
+        while not self._over.wait(self.seconds):
+            self.raised = self.raised or signals.last() > self._before
+            if self.raised:
+                context.cancelJobsWithTag(self.tag)
+
+    def ends(self, write: Callable[[], None]) -> bool:
+        """Run a write; True if the flag ended it, and nothing of it is left."""
+        context = self.warehouse.spark.sparkContext
+        context.addJobTag(self.tag)
+        try:
+            write()
+        except Exception:
+            if not self.raised:
+                raise
+            return True
+        finally:
+            context.removeJobTag(self.tag)
+        return False
+
+
 class _Run:
     def __init__(self, src: DataFrame, warehouse: Warehouse, params: LoadParams):
         self.src, self.warehouse, self.params = src, warehouse, params
         self.run_id = self._new_run_id()
         self.dim_rows: dict[str, int] = {}
         self.plan: BatchPlan | None = None
-        self.loaded_to: int | None = None  # ids up to this one are loaded; None = all
+        self.loaded: list[tuple[int, int]] | None = None  # intervals of ids; None = all
         self.written: list[Observation] = []
 
     def _new_run_id(self) -> str:
@@ -260,11 +304,21 @@ class _Run:
         self.plan = BatchPlan(params.chunk_size, params.batches_a_block, highest or 0, params.lang)
         self.warehouse.store_plan(self.run_id, self.plan)
 
-    def facts_in_one_write(self) -> None:
+    def facts_in_one_write(self, watch: StopWatch) -> None:
         started, since = _now(), time.monotonic_ns()
         stopped = self.warehouse.control.stop_requested()
+        with _step("FACT_CHUNK"):
+            stopped = stopped or watch.ends(lambda: self._write_all(self.src))
+            if stopped:  # nothing of the write is left: an empty table stands for it
+                self.written.clear()
+                self._write_all(self.src.limit(0))
+        if stopped:
+            self.loaded = []
+        else:
+            self.log_batches(1, self.plan.batches, started, since)
+
+    def _write_all(self, src: DataFrame) -> None:
         limit, plan = self.params.broadcast_limit, self.plan
-        src = self.src.limit(0) if stopped else self.src
         facts = _facts(
             self.warehouse, self.run_id, src, plan, dim_rows=self.dim_rows, broadcast_limit=limit
         ).withColumns(
@@ -277,20 +331,16 @@ class _Run:
         if not stays_in_place:
             facts = facts.hint("rebalance", "block")
         metrics = Observation()
+        path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
         facts = watched(facts, metrics)
-        with _step("FACT_CHUNK"):
-            path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
-            facts.write.mode("overwrite").partitionBy("block", "attempt").parquet(path)
+        facts.write.mode("overwrite").partitionBy("block", "attempt").parquet(path)
         self.written.append(metrics)
-        if stopped:
-            self.loaded_to = 0
-        else:
-            self.log_batches(1, plan.batches, started, since)
 
-    def facts_by_block(self) -> None:
+    def facts_by_block(self, watch: StopWatch) -> None:
         """Blocks as separate jobs. They start in order, and none after a stop or failure.
 
-        Only as many are held as run at a time, so the plan may be of any length.
+        A stop ends the blocks that are being written; those that are whole stay. Only as
+        many are held as run at a time, so the plan may be of any length.
         """
         plan, threads = self.plan, self.params.threads
         empty = _facts(self.warehouse, self.run_id, self.src.limit(0), plan).withColumns(
@@ -305,18 +355,28 @@ class _Run:
             last = min(block * plan.batches_a_block, plan.batches)
             name = f"FACT_CHUNK_{first}" if first == last else f"FACT_CHUNK_{first}-{last}"
             metrics = Observation()
-            with _step(name):
+
+            def write() -> None:
                 write_block(
                     self.warehouse, self.run_id, self.src, plan, block,
                     self.dim_rows, self.params.broadcast_limit, metrics,
                 )
+
+            with _step(name):
+                ended = watch.ends(write)
+                if ended:
+                    discard(self.warehouse.spark, self.warehouse.block_path(self.run_id, block, BASE))
+            if ended:
+                cut.append(block)
+                return
             self.written.append(metrics)
             self.log_batches(first, last, started, since, block)
 
+        cut: list[int] = []
         running: set[Future] = set()
         block = 1
         with ThreadPoolExecutor(threads) as pool:
-            while block <= plan.blocks and not self.warehouse.control.stop_requested():
+            while block <= plan.blocks and not cut and not self.warehouse.control.stop_requested():
                 running.add(pool.submit(one, block))
                 block += 1
                 if len(running) == threads:
@@ -325,8 +385,11 @@ class _Run:
                         job.result()
             for job in running:
                 job.result()
-        if block <= plan.blocks:
-            self.loaded_to = plan.block_interval(block - 1)[1]
+        if cut or block <= plan.blocks:
+            # all blocks that were started but those cut: one interval between any two of them
+            ends = [0, *sorted(cut), block]
+            spans = [(a + 1, b - 1) for a, b in zip(ends, ends[1:]) if a + 1 < b]
+            self.loaded = [(plan.block_interval(a)[0], plan.block_interval(b)[1]) for a, b in spans]
 
     def log_batches(
         self, first: int, last: int, started: datetime, since_ns: int, block: int | None = None
@@ -375,7 +438,13 @@ class _Run:
         Line ids and codes are unique by now, so a lookup can only lose lines; equal
         counts mean that every code was found. The calendar is of the same source.
         """
-        lines = reconcile_source(in_interval(self.src, None, self.loaded_to)).first()
+        expected = self.src
+        if self.loaded is not None:
+            line, inside = F.col("order_line_id"), F.lit(False)
+            for low, high in self.loaded:  # no more than blocks that ran at a time, and one
+                inside = inside | ((line > low) & (line <= high))
+            expected = expected.filter(inside)
+        lines = reconcile_source(expected).first()
         rows = sum(observed(m, "rows") for m in self.written)
         amount = sum(observed(m, "amount") for m in self.written)
         if (lines.row_count, lines.total_amount or 0) != (rows, amount):
@@ -401,13 +470,14 @@ class _Run:
             step, begun, mark, rows, _ = self.timed("TRUNCATE_STAR", self.truncate)
             self.log(step, begun, mark, rows)
             self.prepare()
-            if params.threads:
-                self.facts_by_block()
-            else:
-                self.facts_in_one_write()
+            with StopWatch(self.warehouse, f"{self.run_id}-{uuid.uuid4().hex}") as watch:
+                if params.threads:
+                    self.facts_by_block(watch)
+                else:
+                    self.facts_in_one_write(watch)
             with _step("CHECKS"):
                 total = self.check_facts()
-            status = DONE if self.loaded_to is None else STOPPED
+            status = DONE if self.loaded is None else STOPPED
             self.warehouse.publish(self.run_id, status, total)
         except Exception as error:
             status, message, total = FAILED, str(error), 0
@@ -441,7 +511,7 @@ def start_load(src: DataFrame, root: str, params: LoadParams | None = None) -> L
 
 
 def request_stop(spark, root: str) -> None:
-    """Ask a running load to skip its remaining batches."""
+    """Ask a running load to end the batches being written and to skip those that remain."""
     Warehouse(spark, root).create().control.set(STOP_REQUESTED, "true")
 
 

@@ -1,3 +1,5 @@
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pytest
@@ -15,7 +17,7 @@ from orrery.plans.warehouse import MissingRun, Warehouse, drop_runs, open_star
 from orrery.schemas import FACT_SALES
 from orrery.sources.orders import write_orders
 from orrery.streaming.facts import read_stream_facts, stream_fact_load, stream_sales_by_month
-from orrery.workspace import discard
+from orrery.workspace import discard, stored_names
 
 COMPARED = [n for n in FACT_SALES.names if n != "loaded_at"]
 
@@ -163,6 +165,33 @@ def test_stop_between_batches(spark, orders, folder, monkeypatch):
     assert rows["PIPELINE"].status == "STOPPED"
 
 
+@pytest.mark.parametrize("threads, kept", [(None, [0]), (2, [0, 400, 800])])
+def test_stop_ends_a_running_write(spark, orders, folder, threads, kept):
+    """Lines from 801 on take long; the flag is raised while they are written."""
+    slow = F.udf(lambda q, line: (time.sleep(0.5 if line > 800 else 0), q)[1], "int")
+    source = orders.withColumn("quantity", slow("quantity", "order_line_id"))
+    root = folder("star")
+    params = LoadParams(chunk_size=400, batches_a_block=1, threads=threads)
+    with ThreadPoolExecutor(1) as pool:
+        load = pool.submit(load_star, source, root, params)
+        while not stored_names(spark, f"{root}/runs"):
+            time.sleep(0.2)
+        run = stored_names(spark, f"{root}/runs")[0]
+        before_facts = {"batch_plan", "dim_date", "dim_customer", "dim_salesrep", "dim_product"}
+        while not before_facts <= set(stored_names(spark, f"{root}/runs/{run}")):
+            time.sleep(0.2)
+        while Warehouse(spark, root).log.read().filter("step_name = 'DIM_PRODUCT'").isEmpty():
+            time.sleep(0.2)
+        time.sleep(6 if threads else 2)
+        begun = time.monotonic()
+        request_stop(spark, root)
+        result = load.result()
+    assert result.status == "STOPPED" and result.total_rows in kept
+    assert time.monotonic() - begun < 60
+    assert open_star(spark, root, run)["fact_sales"].count() == result.total_rows
+    assert open_star(spark, root)["fact_sales"].isEmpty()
+
+
 def test_stop_flag_up_from_the_start(spark, orders, folder):
     root = folder("star")
     request_stop(spark, root)
