@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from orrery.llm.fm_index import FMIndex
 from orrery.llm.rows import named, with_results
@@ -28,7 +29,7 @@ _TABLE = byte_table(lower=True, only_alphanumeric=True)
 RESULTS = {
     "n_words": "bigint",
     "n_hit": "bigint",
-    "items": "array<bigint>",
+    "items": "array<bigint>",  # or of what item ids are
     "spans": "array<struct<begin:int,end:int>>",
 }
 
@@ -36,7 +37,7 @@ RESULTS = {
 class Phrases:
     """Distinct windows of benchmark items, as word numbers, with the items they are from."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
+    def __init__(self, items: list[tuple], window: int, kind: pa.DataType):
         texts = words_of(pa.array([t for _, t in items], pa.string()), _TABLE)
         self.vocabulary, word = np.unique(texts.hashes(), return_inverse=True)
         counts = np.diff(texts.first)
@@ -49,24 +50,27 @@ class Phrases:
         symbols = np.where(inside, word[at] + 1, 0) if len(word) else np.zeros(at.shape, int)
         self.symbols, which = np.unique(symbols.astype(np.int32), axis=0, return_inverse=True)
         self.lengths = (self.symbols > 0).sum(1)
-        ids = np.array([i for i, _ in items], np.int64)
-        pairs = np.unique(np.stack([which.reshape(-1), ids[item]], 1), axis=0)
+        distinct = sorted({i for i, _ in items})
+        self.ids = pa.array(distinct, kind)  # items go by their place in this list
+        place = {i: n for n, i in enumerate(distinct)}
+        of_row = np.array([place[i] for i, _ in items], np.int64)
+        pairs = np.unique(np.stack([which.reshape(-1), of_row[item]], 1), axis=0)
         self.item = pairs[:, 1]
         self.first = np.searchsorted(pairs[:, 0], np.arange(len(self.symbols) + 1))
 
 
 def _blocks(
-    benchmark: DataFrame, window: int, limit: int
+    benchmark: DataFrame, window: int, limit: int, kind: pa.DataType
 ) -> Iterator[tuple[Phrases, bool]]:
     """The benchmark in parts of bounded size, and whether another follows; one at least."""
     block, size = [], 0
     for item, text in benchmark.toLocalIterator():
         if size >= limit:
-            yield Phrases(block, window), True
+            yield Phrases(block, window, kind), True
             block, size = [], 0
         block.append((item, text))
         size += len(text) // 2 + 1
-    yield Phrases(block, window), False
+    yield Phrases(block, window, kind), False
 
 
 def _lists(values: pa.Array, owner: np.ndarray, n: int) -> pa.Array:
@@ -115,16 +119,16 @@ def search_shard(columns: list[pa.Array], phrases: Phrases) -> list[pa.Array]:
             many = np.diff(phrases.first)[pairs[:, 1]]
             item = phrases.item[np.repeat(phrases.first[pairs[:, 1]], many) + ragged(many)]
             doc_of_item = np.stack([np.repeat(pairs[:, 0], many), item], 1)
+    doc_of_item = np.unique(doc_of_item, axis=0)
+    items = _lists(phrases.ids.take(pa.array(doc_of_item[:, 1])), doc_of_item[:, 0], n)
     if earlier:
         old, spans = earlier
-        owner = np.repeat(np.arange(n), np.asarray(old.value_lengths()))
-        old_items = np.stack([owner, np.asarray(old.flatten())], 1)
-        doc_of_item = np.concatenate([doc_of_item, old_items])
+        both = zip(items.to_pylist(), old.to_pylist())
+        items = pa.array([sorted({*a, *b}) if a and b else a or b for a, b in both], items.type)
         base = words.first[np.repeat(np.arange(n), np.asarray(spans.value_lengths()))]
         flat = spans.flatten()
         np.add.at(hit, base + np.asarray(flat.field("begin")), 1)
         np.add.at(hit, base + np.asarray(flat.field("end")), -1)
-    doc_of_item = np.unique(doc_of_item, axis=0)
     covered = np.cumsum(hit[:-1]) > 0
     sums = np.concatenate(([0], np.cumsum(covered)))
     doc = words.text_of_word()
@@ -139,7 +143,7 @@ def search_shard(columns: list[pa.Array], phrases: Phrases) -> list[pa.Array]:
     return [
         pa.array(counts.astype(np.int64)),
         pa.array((sums[words.first[1:]] - sums[words.first[:-1]]).astype(np.int64)),
-        _lists(pa.array(doc_of_item[:, 1]), doc_of_item[:, 0], n),
+        items,
         _lists(spans, doc[begins], n),
     ]
 
@@ -161,7 +165,7 @@ def contamination(
     letter), A-Z lower-cased. Each `window` words of an item are a phrase; an item
     with fewer words is one phrase. `spans` are the merged word ranges that phrases
     cover, `n_hit` the words in them, `items` the sorted ids of items with an
-    occurrence. A null or empty text has no words. Items without id, text or words
+    occurrence, of the type they have. A null or empty text has no words. Items without id, text or words
     occur nowhere; rows of one item id count as one item. Repeated documents each
     get their own row. With an empty benchmark nothing is hit.
 
@@ -169,14 +173,16 @@ def contamination(
     spans are merged per document.
     """
     stated = benchmark.select(
-        named(benchmark, item_id).cast("long").alias("i"), named(benchmark, item_text).alias("t")
+        named(benchmark, item_id).alias("i"), named(benchmark, item_text).alias("t")
     ).where("i is not null and t is not null")
+    id_type = stated.schema["i"].dataType
+    results = RESULTS | {"items": f"array<{id_type.simpleString()}>"}
     kept = [f"k{i}" for i in range(len(keep))]
     found = docs.select(
         *[named(docs, c).alias(k) for c, k in zip(keep, kept)], named(docs, text).alias("t")
     )
     earlier: list[str] = []
-    for phrases, more in _blocks(stated, window, block_phrases):
+    for phrases, more in _blocks(stated, window, block_phrases, to_arrow_type(id_type)):
         sent = docs.sparkSession.sparkContext.broadcast(phrases)
 
         def prepare(sent=sent):
@@ -186,7 +192,7 @@ def contamination(
             found,
             kept + ["t"] * more,
             [F.col("t"), *[F.col(c) for c in earlier]],
-            RESULTS,
+            results,
             prepare,
         )
         earlier = ["items", "spans"]

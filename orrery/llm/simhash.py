@@ -274,15 +274,16 @@ def near_duplicates(
     text: str = "text",
     radius: int = RADIUS,
 ) -> DataFrame:
-    """One row per document: doc_id, code (signed fingerprint), component_id, and its `row_key`.
+    """One row per document: doc_id, code (signed fingerprint), component_id, its `row_key`, component_code.
 
     Words are runs without ASCII white space, A-Z lower-cased; shingles are
     `SHINGLE` words joined by a space, repeats included; a shorter text is one
     shingle, a null, empty or blank text has the fingerprint zero and links like
     any other. Documents whose fingerprints differ in at most `radius` bits are
     linked, and a component is named after the smallest id that links reach. A
-    null id never names a component unless no other id is in it. Rows that repeat
-    an id each get their row.
+    null id never names a component unless no other id is in it; component_code, the
+    smallest fingerprint of a component, tells those apart too. Rows that repeat an id
+    each get their row.
     """
     read = docs.select(
         named(docs, id).alias("doc_id"),
@@ -298,12 +299,16 @@ def near_duplicates(
         .groupBy("component")
         .agg(F.min("doc_id").alias("component_id"))
     )
-    linked_codes = found.join(named_by, "component").select("node", "component_id")
+    linked_codes = found.join(named_by, "component").select("node", "component", "component_id")
     # stored, so that both sides of the last join are exchanges whose hot codes can be split
     every = materialise(
         classes.join(linked_codes, classes.code == linked_codes.node, "left").select(
-            "code", F.coalesce("component_id", "doc_id").alias("component_id")
+            "code",
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.coalesce("component", "code").alias("component_code"),
         ),
         "fingerprint-components",
     )
-    return stored.join(every, "code").select("doc_id", "code", "component_id", "key0", "key1")
+    return stored.join(every, "code").select(
+        "doc_id", "code", "component_id", "key0", "key1", "component_code"
+    )

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +33,10 @@ from orrery.workspace import materialise
 
 #: The turn in place of a null one.
 _FIRST = -(2**62)
+#: How deep lists and objects may lie in each other; JSON beyond is read as plain text.
+MOST_NESTED = 200
+#: Half of a surrogate pair, which a JSON escape can write alone and UTF-8 cannot.
+_HALF = re.compile("[\ud800-\udfff]")
 #: Longer than any chain of needs; only steps around a circle come to it.
 _ENDLESS = 1 << 40
 #: The tool schemas are broadcast; more than this many characters of them are refused.
@@ -49,9 +54,24 @@ _TYPES = {
 }
 
 
+def whole(text: str) -> str:
+    """The text with each half of a surrogate pair that stands alone written as its JSON escape."""
+    return _HALF.sub(lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    """JSON with sorted keys, no blanks, and every character as itself where JSON allows."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """JSON with sorted keys, no blanks, and every character as itself where JSON and UTF-8 allow."""
+    told = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return whole(told)
+
+
+def _depth_of(value) -> int:
+    """How deep lists and objects lie in each other."""
+    depth, level = 0, [value]
+    while level := [x for x in level if isinstance(x, (dict, list))]:
+        depth += 1
+        level = [y for x in level for y in (x.values() if isinstance(x, dict) else x)]
+    return depth
 
 
 def is_reference(value) -> bool:
@@ -125,9 +145,10 @@ def _loaded(text: str):
         raise ValueError(name)
 
     try:
-        return json.loads(text, parse_float=_finite, parse_constant=refuse)
+        value = json.loads(text, parse_float=_finite, parse_constant=refuse)
     except (ValueError, RecursionError):
         return None
+    return value if _depth_of(value) <= MOST_NESTED else None
 
 
 def read_call(call, schemas: dict) -> dict:
@@ -144,13 +165,13 @@ def read_call(call, schemas: dict) -> dict:
     elif not isinstance(name, str) or name not in schemas:
         status = "unknown tool"
     else:
-        status = violation(arguments, schemas[name]) or "valid"
+        status = whole(violation(arguments, schemas[name]) or "valid")
     return {
-        "id": id if isinstance(id, str) else None,
-        "name": name if isinstance(name, str) else None,
+        "id": whole(id) if isinstance(id, str) else None,
+        "name": whole(name) if isinstance(name, str) else None,
         "arguments": canonical(arguments if isinstance(arguments, dict) else {}),
         "status": status,
-        "refs": sorted(set(references(arguments))),
+        "refs": sorted({whole(r) for r in references(arguments)}),
     }
 
 
@@ -168,7 +189,7 @@ def read_message(role: str | None, text: str | None, schemas: dict) -> tuple[lis
             for c in calls
         ]
     elif isinstance(value, dict) and isinstance(value.get("tool_call_id"), str):
-        answers = value["tool_call_id"]
+        answers = whole(value["tool_call_id"])
         content = value.get("content")
         out = {
             "role": "tool",
@@ -254,7 +275,6 @@ def link_tool_calls(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    max_rounds: int | None = None,
 ) -> DataFrame:
     """One row per message, with its calls, their links and validity, its order and its JSON.
 
@@ -262,7 +282,8 @@ def link_tool_calls(
     statuses (by call), answers (id of the call a result is for), answered_turn (turn of
     that call; null for an orphan), order_turn, order_depth, unordered (in or behind a
     circle of needs; order_depth is 0 in a circle and for what is moved behind it), canonical.
-    `max_rounds` bounds nothing any more; rounds go on until nothing changes.
+    JSON nested deeper than `MOST_NESTED` is plain text, and such arguments are no object; a
+    lone half of a surrogate pair is told as its escape.
 
     A null conversation is a conversation; a null turn stands before all others and has
     a null order_turn unless the message needs something later. Null and empty texts are

@@ -423,7 +423,7 @@ def test_tool_calls(spark):
     table = spark.createDataFrame(
         [(*r, 1, "n") for r in rows], "conv_id long, turn long, role string, text string, row int, p string"
     )
-    out = tool_calls.link_tool_calls(table, SCHEMAS, max_rounds=8)
+    out = tool_calls.link_tool_calls(table, SCHEMAS)
     got = {(r.conv_id, r.turn): r for r in out.collect() if r.conv_id is not None}
     assert out.count() == len(rows)
     assert (got[1, 1].answers, got[1, 1].answered_turn) == ("x", 2)
@@ -443,6 +443,29 @@ def test_tool_calls(spark):
     assert tool_calls.link_tool_calls(table.limit(0), SCHEMAS).count() == 0
 
 
+def test_tool_calls_with_lone_surrogates_and_deep_nesting(spark):
+    def nested(depth):
+        return '{"a":' * depth + "1" + "}" * depth
+
+    call = '{"tool_calls":[{"id":"%s","name":"t","arguments":%s}]}'
+    rows = [
+        (1, 1, "a", call % ("\\ud800", '{"x":"\\udfff","r":{"$ref":"\\ud801"}}')),
+        (1, 2, "t", '{"tool_call_id":"\\ud800","content":"\\ud83d\\ude00 \\ude00"}'),
+        (2, 1, "a", call % ("d", nested(3000))),
+        (3, 1, "a", call % ("s", json.dumps(nested(3000)))),
+        (4, 1, "a", call % ("ok", nested(150))),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in tool_calls.link_tool_calls(table, {"t": {"type": "object"}}).collect()}
+    told = json.loads(got[1, 1].canonical)["tool_calls"][0]
+    assert told["id"] == "\\ud800" and json.loads(told["function"]["arguments"])["x"] == "\udfff"
+    assert got[1, 1].n_answered == 1 and got[1, 2].answers == "\\ud800"
+    assert "\U0001f600" in got[1, 2].canonical and "\\ude00" in got[1, 2].canonical
+    assert not got[2, 1].statuses and json.loads(got[2, 1].canonical)["content"] == rows[2][3]
+    assert got[3, 1].statuses == ["arguments are not an object"]
+    assert got[4, 1].statuses == ["valid"]
+
+
 def test_tool_call_order_respects_every_need(spark):
     """A chain told backwards: each call needs the result of the call told after it."""
     rows = []
@@ -552,6 +575,19 @@ def test_contamination(spark, documents, benchmark, odd, block):
     assert sum(r.n_hit for r in found) > 0
 
 
+@pytest.mark.parametrize("block", [200_000, 40])
+def test_contamination_by_items_with_names(documents, benchmark, block):
+    both = benchmark.agg(F.lit(-1).cast("long"), F.array_join(F.slice(F.collect_list("text"), 1, 3), " "))
+    documents = documents.select("doc_id", "text").union(both)
+    named_items = benchmark.select(F.concat(F.lit("item-"), "item_id").alias("item_id"), "text")
+    numbered = decontamination.contamination(documents, benchmark, ["doc_id"], block_phrases=block)
+    by_name = decontamination.contamination(documents, named_items, ["doc_id"], block_phrases=block)
+    want = {r.doc_id: (r.n_hit, r["items"]) for r in numbered.collect()}
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in by_name.collect()}
+    assert got == {d: (n, sorted(f"item-{i}" for i in found)) for d, (n, found) in want.items()}
+    assert any(len(found) > 1 for _, found in want.values())
+
+
 def test_contamination_of_empty_tables(odd, benchmark):
     assert decontamination.contamination(odd.limit(0), benchmark, ["doc_id"]).count() == 0
     found = decontamination.contamination(odd, benchmark.limit(0), odd.columns)

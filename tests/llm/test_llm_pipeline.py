@@ -97,3 +97,13 @@ def test_stages_on_odd_and_empty_tables(spark, odd):
     for name, stage in cp.STAGES:
         docs = cp.materialise(stage(spark, docs, SMALL), name)
     assert docs.count() == 0
+
+
+def test_one_row_of_each_group_stays_also_without_ids(spark):
+    words = " ".join(f"w{i}" for i in range(200))
+    rows = [(5, words, "x"), (5, words + " end", "x"), (5, words, "y"), (9, words + " tail", "x")]
+    rows += [(None, words.upper().replace("W", "V"), "x"), (None, words.upper().replace("W", "V") + " more", "x")]
+    rows += [(None, "something else altogether", "x"), (7, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = cp.one_of_each_group(spark, docs, "").collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["5", "7", "None", "None"]
