@@ -47,11 +47,16 @@ def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep, of documents linked by near-equal fingerprints, the one with the smallest id.
 
-    Rows that repeat the kept one's id and text are the same document and stay as
-    one row. Where no document of a group has an id, its distinct texts stay.
+    Of several texts with that id, and where no document of a group has an id, the one
+    whose hash is the smallest stays. Rows that repeat the kept one's id and text are the
+    same document and stay as one row.
     """
     found = simhash.near_duplicates(docs)
-    first = found.where("doc_id <=> component_id").select("key0", "key1")
+    first = (
+        found.groupBy("component_code")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key0", "key1")).alias("first"))
+        .select("first.key0", "first.key1")
+    )
     n = len(docs.columns)
     rows = _numbered(
         docs.select("*", *simhash.row_key(named(docs, "doc_id"), named(docs, "text")))
