@@ -34,7 +34,7 @@ FIRST_DAY, DAY_FACTORS = "1800-01-01", (189, 773)
 
 _EMAIL = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
-    r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9-]{1,63})+"
+    r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 )
 _START = r"(?<![A-Za-z0-9])"
 _END = r"(?![A-Za-z0-9])"
@@ -59,6 +59,11 @@ _LONG = r"(?<=^[\s\S])(?:" + _CARD + "|" + _PHONE + ")"
 #: Tokens that candidates can be made of, over the blanks that candidates can hold; no
 #: candidate reaches over the end of such a stretch, and none starts without a digit or at sign.
 ZONE = r"(?<!\S)\S*[0-9@]\S*(?: {1,2}(?:\S*[0-9@]\S*|[A-Z]{1,4}(?![A-Za-z0-9])\S*|[().-]{1,3}(?=\s|$)))*+"
+#: A stretch is read in blocks of so many characters, each with what the one before left
+#: undecided: as much as the longest address, or the longest other item, and its context.
+BLOCK, REACH_ADDRESS, REACH = 512, 704, 72
+#: Country codes of telephone numbers; all others have three digits. Fixed values, ITU-T E.164.
+COUNTRY = "1|7|2[07]|3[0123469]|4[013456789]|5[12345678]|6[0123456]|8[1246]|9[0123458]|[0-9]{3}"
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 
 
@@ -225,10 +230,21 @@ def _new_iban(m: str, key: str) -> str:
 
 
 def _new_phone(m: str, key: str) -> str:
-    code = f"regexp_extract({m}, '^[+][0-9]{{1,3}}', 0)"
-    rest = f"substr({m}, 1 + length({code}))"
-    digits = f"regexp_replace({rest}, '[^0-9]', '')"
-    return f"concat({code}, {_filled(rest, _digits(digits, f"concat('phone', {code})", key))})"
+    """The national digits are permuted, so that all spellings of a number stay linked.
+
+    The country code is kept, and is 1 where a number is written in 3-3-4 form alone;
+    so is a trunk prefix in brackets, as in "+44 (0)20".
+    """
+    digits = f"regexp_replace({m}, '[^0-9]', '')"
+    code = f"if({m} rlike '^[+1]' and length({digits}) <> 10 or {m} like '+%', regexp_extract({digits}, '^({COUNTRY})', 1), '')"
+    trunk = f"if({m} rlike '^[+][0-9 .-]{{1,6}}[(]0[)]' and substr(n.d, length(n.c) + 1, 1) = '0', '0', '')"
+    national = "substr(n.d, length(n.c) + length(n.t) + 1)"
+    country = "if(n.c = '', '1', n.c)"
+    new = f"concat(n.c, n.t, {_digits(national, f"concat('phone', {country})", key)})"
+    parts = _let(
+        f"named_struct('d', {digits}, 'c', {code})", "n", f"named_struct('d', n.d, 'c', n.c, 't', {trunk})"
+    )
+    return _filled(m, _let(parts, "n", new))
 
 
 def _new_ssn(m: str, key: str) -> str:
@@ -277,9 +293,12 @@ def _shorter(x: str) -> str:
 def _pieces(zone: str) -> str:
     """SQL for the array of (k, x) that make up a stretch of text; k is null for plain text.
 
-    The state `r` is what is left, behind one character of context, and null at the end.
-    A step takes the next candidate. Not valid in any prefix, only its first run of
-    letters and digits is passed over.
+    The stretch is read block by block, so a step handles text of bounded length however
+    long the stretch is. The state `r` is what is left of a block, behind one character
+    of context, `d` tells that the block is done, `o` and the plain text `g` behind it are
+    the block's pieces. A step takes the next candidate. Not valid in any prefix, only its
+    first run of letters and digits is passed over. A candidate that starts among the last
+    characters of a block may reach into the next one and waits for it.
     """
     plain = lambda text: f"named_struct('k', cast(null as string), 'x', {text})"
     follows = "substr(concat(c.x, c.a), length(p) + 1, 2)"
@@ -293,28 +312,46 @@ def _pieces(zone: str) -> str:
         q -> q.k is not null)"""
     passed = "regexp_extract(c.x, '^(?:[A-Za-z0-9]+|[^A-Za-z0-9])', 0)"
     on = lambda x: f"concat(right({x}, 1), substr(concat(c.x, c.a), length({x}) + 1))"
+    state = lambda o, g, r, d: f"named_struct('o', {o}, 'g', {g}, 'r', {r}, 'd', {d})"
+    before = "concat(s.g, substr(c.b, 2))"
     taken = _let(
         kinds,
         "found",
         f"""if(size(found) > 0,
-            {_let('found[0]', 'f', f"named_struct('o', concat(s.o, array({plain('substr(c.b, 2)')}, f)), 'r', {on('f.x')})")},
-            {_let(passed, 'd', f"named_struct('o', concat(s.o, array({plain('concat(substr(c.b, 2), d)')})), 'r', {on('d')})")})""",
+            {_let('found[0]', 'f', state(f"concat(s.o, array({plain(before)}, f))", "''", on('f.x'), 'false'))},
+            {_let(passed, 'd', state('s.o', f'concat({before}, d)', on('d'), 'false'))})""",
     )
     candidate = f"""named_struct('b', h[0], 'p', right(h[0], 1), 'a', h[1],
         'x', regexp_extract(s.r, {_quoted(_NEXT)}, 0))"""
     longer = f"regexp_extract(concat(b.p, b.x, b.a), {_quoted(_LONG)}, 0)"
+    # the end of the stretch decides all; before it, the last characters wait
+    settled = "if(t.z, length(s.r), greatest(length(s.r) - w, 0))"
+    rest = state(
+        "s.o",
+        f"concat(s.g, substr(s.r, 2, if(t.z, length(s.r), {settled})))",
+        f"if(t.z, '', substr(s.r, {settled} + 1))",
+        "true",
+    )
     step = _let(
         f"split(s.r, {_quoted(_NEXT)}, 2)",
         "h",
-        f"""if(size(h) < 2,
-            named_struct('o', concat(s.o, array({plain('substr(s.r, 2)')})), 'r', cast(null as string)),
+        f"""if(size(h) < 2 or length(h[0]) > {settled}, {rest},
             {_let(_let(candidate, 'b', f"named_struct('b', b.b, 'p', b.p, 'a', b.a, 'x', b.x, 'y', {longer})"), 'c', taken)})""",
     )
     # each step but the last passes over a run of letters and digits or one of these signs
-    steps = f"sequence(1, 1 + size(regexp_extract_all({zone}, '[A-Za-z0-9]+|[^A-Za-z0-9]', 0)))"
-    return f"""if({zone} rlike {_quoted(FOUND)}, aggregate({steps},
-        named_struct('o', cast(array() as array<struct<k:string,x:string>>), 'r', concat('\\n', {zone})),
-        (s, i) -> if(s.r is null, s, {step}), s -> s.o), array({plain(zone)}))"""
+    steps = "sequence(1, 1 + size(regexp_extract_all(s.r, '[A-Za-z0-9]+|[^A-Za-z0-9]', 0)))"
+    none = "cast(array() as array<struct<k:string,x:string>>)"
+    block = f"aggregate({steps}, s, (s, i) -> if(s.d, s, {step}))"
+    fed = _let(state(none, "''", "concat(u.r, t.x)", "false"), "s", block)
+    joined = _let(
+        fed, "s", f"named_struct('o', concat(u.o, s.o, array({plain('s.g')})), 'r', s.r)"
+    )
+    blocks = f"regexp_extract_all({zone}, '[\\\\s\\\\S]{{1,{BLOCK}}}', 0)"
+    marked = f"transform(e, (x, j) -> named_struct('x', x, 'z', j = size(e) - 1))"
+    read = f"""aggregate({_let(blocks, 'e', marked)},
+        named_struct('o', {none}, 'r', '\n'), (u, t) -> {joined}, u -> u.o)"""
+    reach = f"if({zone} like '%@%', {REACH_ADDRESS}, {REACH})"
+    return f"if({zone} rlike {_quoted(FOUND)}, {_let(reach, 'w', read)}, array({plain(zone)}))"
 
 
 def pseudonymise(
