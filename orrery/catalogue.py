@@ -524,6 +524,8 @@ _QUERIES: dict[str, Callable[[Prepared], DataFrame]] = {
     "lineage_edges": lambda p: lineage.line_edges(p.source),
     "lineage_upstream": _lineage_upstream,
     "dependency_layers": lambda p: graph.dependency_layers(lineage.line_edges(p.source)),
+    "circles": lambda p: graph.circles(lineage.rebate_edges(p.source)),
+    "layers_of_circles": lambda p: graph.layers_of_circles(lineage.rebate_edges(p.source)),
     "exclusive_callees": lambda p: graph.exclusive_callees(lineage.line_calls(p.source)),
     "utility_callees": _utility_callees,
     "unfed_columns": _unfed_columns,

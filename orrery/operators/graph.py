@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.workspace import materialise, new_folder
 
@@ -44,16 +45,14 @@ def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
         rounds += 1
 
 
-def dependency_layers(edges: DataFrame) -> DataFrame:
-    """(node, layer): length of the longest path from a node without incoming edges.
+def _settled(stored: DataFrame) -> tuple[DataFrame, int]:
+    """(node, layer) of what settles, and the number of nodes that never do.
 
     A node settles in the round in which as many of its feeders are settled as it has.
     A round writes only the nodes that a newly settled node feeds, with the number of
-    feeders settled so far; edges are stored once and only read. What never settles
-    runs in a circle or hangs on one, which is reported.
+    feeders settled so far; edges (distinct, stored) are only read.
     """
-    spark = edges.sparkSession
-    stored = materialise(edges.select("src", "dst").distinct(), "edges")
+    spark = stored.sparkSession
     feeders = materialise(
         stored.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("feeders")), "feeders"
     )
@@ -88,11 +87,140 @@ def dependency_layers(edges: DataFrame) -> DataFrame:
             .join(feeders, "node")
             .write.parquet(f"{reached}/layer={layer}")
         )
-    left = feeders.count() - done
+    every = spark.read.schema(schema).parquet(reached)
+    return every.filter(whole).select("node", "layer"), feeders.count() - done
+
+
+def dependency_layers(edges: DataFrame) -> DataFrame:
+    """(node, layer): length of the longest path from a node without incoming edges.
+
+    What never settles runs in a circle or hangs on one, which is reported;
+    `layers_of_circles` takes such edges.
+    """
+    layers, left = _settled(materialise(edges.select("src", "dst").distinct(), "edges"))
     if left:
         raise CycleError(f"{left} nodes run in a circle or hang on one")
-    every = spark.read.schema(schema).parquet(reached)
-    return every.filter(whole).select("node", "layer")
+    return layers
+
+
+def _without(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges that touch none of the nodes."""
+    for end in ("src", "dst"):
+        edges = edges.join(nodes.select(F.col("node").alias(end)), end, "left_anti")
+    return edges
+
+
+def _cyclic_core(edges: DataFrame) -> DataFrame:
+    """Edges of circles and between them: neither end is free of circles behind or ahead of it."""
+    rest = materialise(_without(edges, _settled(edges)[0]), "core")
+    turned = rest.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return materialise(_without(rest, _settled(turned)[0]).select("src", "dst"), "core")
+
+
+def _colours(edges: DataFrame) -> DataFrame:
+    """(node, colour): the smallest node from which a node can be reached, itself included.
+
+    A round offers only colours that changed in the one before; the smallest offer
+    is found before the shuffle, so a node fed by many costs one row a task.
+    """
+    ends = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
+    colours = materialise(ends.select("node", F.col("node").alias("colour")), "colours")
+    changed = colours
+    while True:
+        offers = (
+            changed.join(edges, F.col("node") == F.col("src"))
+            .groupBy(F.col("dst").alias("node"))
+            .agg(F.min("colour").alias("offered"))
+        )
+        smaller = offers.join(colours, "node").filter("offered < colour")
+        changed = materialise(smaller.select("node", F.col("offered").alias("colour")), "changed")
+        if changed.isEmpty():
+            return colours
+        newer = changed.withColumnRenamed("colour", "newer")
+        colours = materialise(
+            colours.join(newer, "node", "left").select(
+                "node", F.coalesce("newer", "colour").alias("colour")
+            ),
+            "colours",
+        )
+
+
+def circles(edges: DataFrame) -> DataFrame:
+    """(node, component): the nodes on a circle, with the smallest node of those they share one with.
+
+    Strongly connected components by forward colouring and backward search (Orzan 2004).
+    What lies before or behind all circles is taken off first. Then every node takes the
+    smallest node that reaches it as its colour. A node of its own colour is the smallest
+    of its component, which is what reaches it inside the colour; no component has two
+    colours. What is left inside the colours is searched again. A node alone is on a
+    circle only if it feeds itself. Edges with a null end are left out; repeated ones
+    count once.
+    """
+    spark = edges.sparkSession
+    stored = materialise(edges.select("src", "dst").dropna().distinct(), "edges")
+    folder = new_folder(spark, "circles")
+    own = stored.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("component"))
+    schema = own.schema
+    stepped = T.StructType([*schema.fields, T.StructField("step", T.IntegerType())])
+    own.write.parquet(f"{folder}/part=0")
+    left, part = materialise(stored.filter("src <> dst"), "edges"), 1
+    while True:
+        left = _cyclic_core(left)
+        if left.isEmpty():
+            break
+        colours = _colours(left)
+        of = lambda end: colours.select(F.col("node").alias(end), F.col("colour").alias(f"{end}_colour"))
+        inside = materialise(
+            left.join(of("src"), "src").join(of("dst"), "dst").filter("src_colour = dst_colour")
+            .select("src", "dst", F.col("src_colour").alias("component")),
+            "inside",
+        )
+        found = new_folder(spark, "members")
+        roots = inside.filter("dst = component").select(F.col("dst").alias("node"), "component")
+        roots.distinct().write.parquet(f"{found}/step=0")
+        members = spark.read.schema(stepped).parquet(found)
+        step = 0
+        while not (frontier := members.filter(F.col("step") == step)).isEmpty():
+            reached = (
+                frontier.select("node").join(inside, F.col("node") == F.col("dst"))
+                .select(F.col("src").alias("node"), "component").distinct()
+                .join(members.select("node"), "node", "left_anti")
+            )
+            step += 1
+            reached.write.parquet(f"{found}/step={step}")
+            members = spark.read.schema(stepped).parquet(found)
+        # a root that nothing of its colour reaches is alone; it has no edge inside
+        members.select("node", "component").write.parquet(f"{folder}/part={part}")
+        left = materialise(_without(inside.select("src", "dst"), members), "edges")
+        part += 1
+    # a node that feeds itself may be on a larger circle as well
+    every = spark.read.schema(schema).parquet(folder)
+    return every.groupBy("node").agg(F.min("component").alias("component"))
+
+
+def layers_of_circles(edges: DataFrame) -> DataFrame:
+    """(node, component, layer): longest path to a node where each circle counts as one node.
+
+    `component` is the smallest node of those that reach each other, a node on no circle
+    is its own. For edges without circles the layers are those of `dependency_layers`.
+    """
+    pairs = materialise(edges.select("src", "dst").dropna().distinct(), "edges")
+    nodes = pairs.select(F.col("src").alias("node")).union(pairs.select("dst")).distinct()
+    known = materialise(
+        nodes.join(materialise(circles(pairs), "circles"), "node", "left").select(
+            "node", F.coalesce("component", "node").alias("component")
+        ),
+        "components",
+    )
+    of = lambda end: known.select(F.col("node").alias(end), F.col("component").alias(f"new_{end}"))
+    between = (
+        pairs.join(of("src"), "src").join(of("dst"), "dst").filter("new_src <> new_dst")
+        .select(F.col("new_src").alias("src"), F.col("new_dst").alias("dst"))
+    )
+    layers = dependency_layers(between).withColumnRenamed("node", "component")
+    return known.join(layers, "component", "left").select(
+        "node", "component", F.coalesce("layer", F.lit(0)).alias("layer")
+    )
 
 
 def _distinct_calls(calls: DataFrame) -> DataFrame:

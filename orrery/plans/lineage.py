@@ -99,6 +99,20 @@ def line_edges(src: DataFrame) -> DataFrame:
     return headers.unionByName(lines).unionByName(products)
 
 
+def rebate_edges(src: DataFrame, large: int = 40, largest: int = 50) -> DataFrame:
+    """Row lineage with rebates, which run in circles.
+
+    A line of `large` pieces or more sets the rebate of its order, and an order with a
+    line of `largest` that of its customer.
+    """
+    customer = F.concat(F.lit("customer:"), "customer_code")
+    order = F.concat(F.lit("order:"), "order_id")
+    line = F.concat(F.lit("line:"), F.col("order_line_id").cast("string"))
+    by_line = src.filter(F.col("quantity") >= large).select(line.alias("src"), order.alias("dst"))
+    by_order = src.filter(F.col("quantity") >= largest).select(order.alias("src"), customer.alias("dst"))
+    return line_edges(src).unionByName(by_line).unionByName(by_order.distinct())
+
+
 def line_calls(src: DataFrame) -> DataFrame:
     """Who refers to what, once per line: customer to order, order to product, customer to product."""
     customer = F.concat(F.lit("customer:"), "customer_code")

@@ -309,6 +309,42 @@ def test_circles(spark):
     assert found == {"a", "b", "c"}
 
 
+@pytest.mark.parametrize("seed,nodes,edges", [(2, 20, 26), (3, 30, 60)])
+def test_layers_of_circles_against_brute_force(spark, seed, nodes, edges):
+    rng = random.Random(seed)
+    pairs = [(f"n{rng.randrange(nodes):02}", f"n{rng.randrange(nodes):02}") for _ in range(edges)]
+    every = sorted({n for pair in pairs for n in pair})
+    reach = {n: {b for a, b in pairs if a == n} for n in every}
+    for middle in every:
+        for a in every:
+            if middle in reach[a]:
+                reach[a] |= reach[middle]
+    component = {n: min([n, *(m for m in reach[n] if n in reach[m])]) for n in every}
+    between = {(component[a], component[b]) for a, b in pairs if component[a] != component[b]}
+
+    def longest(end):
+        return max((1 + longest(a) for a, b in between if b == end), default=0)
+
+    rows = [*pairs, *pairs[:3], (None, "n00"), ("n01", None)]
+    frame = spark.createDataFrame(rows, "src string, dst string")
+    on_circles = {r.node: r.component for r in graph.circles(frame).collect()}
+    assert on_circles == {n: component[n] for n in every if n in reach[n]}
+    got = sorted((r.node, r.component, r.layer) for r in graph.layers_of_circles(frame).collect())
+    assert got == [(n, component[n], longest(component[n])) for n in every]
+
+
+def test_circles_inside_one_colour(spark):
+    """The first search finds the smallest circle only; those it feeds need a search of their own."""
+    ring = lambda name, n: [(f"{name}{i}", f"{name}{(i + 1) % n}") for i in range(n)]
+    pairs = ring("a", 3) + ring("b", 4) + ring("c", 2) + [("a1", "b0"), ("b2", "c1"), ("c0", "d"), ("z", "a0")]
+    frame = spark.createDataFrame(pairs, "src string, dst string")
+    got = {r.node: (r.component, r.layer) for r in graph.layers_of_circles(frame).collect()}
+    layer = {"z": 0, "a": 1, "b": 2, "c": 3, "d": 4}
+    name = {"z": "z", "a": "a0", "b": "b0", "c": "c0", "d": "d"}
+    assert got == {n: (name[n[0]], layer[n[0]]) for pair in pairs for n in pair}
+    assert graph.layers_of_circles(frame.limit(0)).count() == 0
+
+
 def test_callees(spark):
     calls = [("f", c) for c in "pqrs"] + [("g", "t"), ("g", "u"), ("f", "u"), ("g", "t"), ("p", "z")]
     frame = spark.createDataFrame(calls, "caller string, callee string")
