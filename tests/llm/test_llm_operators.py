@@ -3,7 +3,10 @@
 import hashlib
 import json
 import math
+import random
 import re
+import string
+import time
 import zlib
 from collections import Counter
 
@@ -336,6 +339,102 @@ def test_secrets_base_and_random_spans(spark, documents, odd):
     assert secrets.find_secrets(docs.limit(0), ["doc_id"]).count() == 0
 
 
+def plain_random(text, encoding):
+    """The random strings of a text, token by token and window by window."""
+    taken = {p for s, _, e in brute_base(text) for p in range(s, e)}
+    digest = r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|sha(1|256|384|512)-[A-Za-z0-9+/]+=*"
+    digest += "".join(f"|[0-9a-fA-F]{{{n}}}" for n in (32, 40, 56, 64, 96, 128))
+    for run in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        for m in re.finditer(rf"(?<![A-Za-z0-9])({digest})(?![A-Za-z0-9])", run[0]):
+            taken |= {run.start() + p for p in range(*m.span())}
+    free = "".join(" " if i in taken or not re.match(r"[A-Za-z0-9+/_=-]", c) else c for i, c in enumerate(text))
+    out = []
+    for piece in re.finditer(r"\S{16,}", free):
+        at, tokens = piece.start(), []
+        for t in encoding.encode_ordinary(piece[0]):
+            name = encoding.decode([t])
+            if name[0].isalnum():
+                tokens.append((at, at + len(name)))
+            at += len(name)
+        marked = [False] * len(tokens)
+        for k in range(len(tokens) - 6):
+            window = tokens[k : k + 7]
+            chars, reach = sum(e - s for s, e in window), window[-1][1] - window[0][0]
+            if chars / 7 < 2 and (reach - chars) / reach <= 0.25:
+                marked[k : k + 7] = [True] * 7
+        spans, k = [], 0
+        while k < len(tokens):
+            stop = k
+            while stop < len(tokens) and marked[stop]:
+                stop += 1
+            inner = [x for x in tokens[k:stop] if x[1] - x[0] < 4]
+            if inner:
+                spans.append((inner[0][0], inner[-1][1]))
+            k = max(stop, k + 1)
+        for part in re.finditer(r"[A-Za-z0-9]{16,}", piece[0]):
+            s, e = piece.start() + part.start(), piece.start() + part.end()
+            if (e - s) / sum(s <= x[0] < e for x in tokens) < 2:
+                spans.append((s, e))
+        while True:
+            hit = next(((x, y) for x in spans for y in spans if x is not y and x[0] <= y[0] < x[1]), None)
+            if not hit:
+                break
+            spans = [x for x in spans if x is not hit[0] and x is not hit[1]]
+            spans.append((hit[0][0], max(hit[0][1], hit[1][1])))
+        out += [(s, e) for s, e in sorted(spans) if e - s >= 16 and len(set(text[s:e])) >= 6]
+    return out
+
+
+def test_random_strings_among_natural_ones(spark, documents, odd):
+    draw = random.Random(4)
+    some = lambda kinds, n: "".join(draw.choice(kinds) for _ in range(n))
+    key = string.ascii_letters + string.digits
+    lower, upper, short = some(string.ascii_lowercase, 32), some(string.ascii_uppercase, 40), some(key, 19)
+    behind, joined = some(key, 24), "/".join(some(key, 12) for _ in range(4))
+    planted = {
+        1: (f"é see {lower} here", [lower]),
+        2: (f"x production_database_connection_string={behind} y", [behind]),
+        3: (f"key {short}.", [short]),
+        4: (f"go/to/{joined}/end {upper}", [joined, upper]),
+        5: (f"password=abcdefgh.{behind} {behind}/secret=12345678/{short}", [behind, short]),
+        6: ("2024-01-02-03-04-05-06-07 a_b_c_d_e_f_g_h_i_j_k get_user_by_id_and_name_v2 " + "xX" * 30, []),
+        7: ("/usr/local/lib/python3/dist-packages/internationalization-Donaudampfschifffahrtsgesellschaft", []),
+        8: ("F" * 3 + "0123456789ABCDEF" * 2 + " blob/0123456789ABCDEF0123456789ABCDEF01234567/x", None),
+        9: ("A" * 50_000 + " " + some(string.digits, 30), []),
+        10: (None, []),
+    }
+    table = spark.createDataFrame([(i, t) for i, (t, _) in planted.items()], "doc_id long, text string")
+    docs = table.union(documents.select("doc_id", "text").limit(150)).union(
+        odd.select("doc_id", "text").where("length(text) < 200000 or text is null")
+    )
+    with open(secrets.VOCABULARY, "rb") as file:
+        encoding = secrets._encoding(file.read())
+    n = 0
+    for r in secrets.find_secrets(docs, ["doc_id", "text"]).collect():
+        spans = [(s.start, s.end) for s in r.spans if s.kind == "random"]
+        if len(r.text or "") < 4096:  # beyond, runs are split in blocks
+            n += len(spans)
+            assert spans == plain_random(r.text or "", encoding)
+        if r.doc_id in planted and planted[r.doc_id][0] == r.text and planted[r.doc_id][1] is not None:
+            assert len(spans) == len(planted[r.doc_id][1])
+            for (s, e), want in zip(spans, planted[r.doc_id][1]):
+                at = r.text.index(want)
+                common = min(e, at + len(want)) - max(s, at)
+                # words of two or three letters beside it may be in the span
+                assert common >= 0.8 * len(want) and e - s - common <= 10
+    assert n >= 6
+
+
+def test_long_random_runs_take_time_in_proportion():
+    with open(secrets.VOCABULARY, "rb") as file:
+        ranks = file.read()
+    draw = random.Random(5)
+    run = "".join(draw.choice(string.ascii_letters) for _ in range(500_000))
+    begin = time.monotonic()
+    assert secrets.random_spans(f"a {run} b", [], ranks) == [(2, 500_002)]
+    assert time.monotonic() - begin < 10
+
+
 def test_secrets_query_columns(spark):
     row = queries.op4_secrets(spark, "/root/testdata/sf0.01").where("n_hex > 0").first()
     base = ",".join(s for s in row.spans.split(",") if not s.startswith("random"))
