@@ -4,19 +4,23 @@ Published structure (Talbot and Osborne 2007): an n-gram with count c is entered
 for every level j with 2^j <= c. Its count is read back by asking level after level
 until one is missing; a false answer only ever adds a level.
 
+A filter of all n-grams of a corpus grows with it and outgrows any broadcast, so it lies
+in parts, one for each range of keys. Their number follows the bytes of the training
+texts, the size of each its entries; nothing is left out at any size.
+
 1. One pass over the training texts counts words and pairs of words. A task sends its
-   counts as sorted runs, one for each of `SHARDS` ranges of keys, which are merged
-   where the range is owned. A word is known by 64 bits of its hash, a pair by 40.
-2. Each range enters its n-grams into its own part of the filter. The filter has at
-   most `MOST_BITS` bits and is broadcast. While the levels from 2 occurrences up would
-   be more than it holds at `BITS_AN_ENTRY`, the lowest level is left out; how many
-   n-grams each level has is counted over all of them.
-3. All texts are scored. A pair's share of its first word's count is interpolated with
-   the add-one probability of its second word (Jelinek and Mercer).
-
-The exact add-one score needs exact word counts. Words are divided by how often they
-come: the most frequent, at most `FREQUENT`, are broadcast, the rest of a text's words
-is joined to the counts.
+   counts as sorted runs, one for each range. Where a range is owned its runs are merged,
+   and all its words and pairs, also those seen once, are entered in its part of the
+   filter. The exact counts of words are kept beside it.
+2. The texts are cut into slices of a megabyte, and stored as word numbers. A slice asks
+   each range for its distinct words and pairs. The parts go to the tasks that answer for
+   their ranges, and the answers, a byte each, go back to the slice.
+3. A pair's share of its first word's count is interpolated with the add-one probability
+   of its second word (Jelinek and Mercer), all read from the filter. The exact counts
+   serve the exact add-one score alone.
+
+However often a word comes, a slice asks for it once, so no range is hot. A word is known
+by 64 bits of its hash, a pair by 48.
 """
 
 from __future__ import annotations
@@ -26,28 +30,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.rows import named, slices, with_results
+from orrery.llm.rows import named, slices
 from orrery.llm.shipping import ship
 from orrery.llm.words import Words, byte_table, mix, words_of
 from orrery.workspace import materialise
 
-SHARDS = 512
-PAIR_BITS = 40
-MOST_BITS, LEAST_BITS, BITS_AN_ENTRY = 1 << 29, 1 << 18, 10
+PAIR_BITS = 48
+#: Bytes of training text for each range of keys.
+RANGE_BYTES = 32 << 20
+BITS_AN_ENTRY, LEAST_BITS = 10, 1 << 12
 PROBES = 6
 TOP_LEVEL = 40
-FREQUENT = 1 << 19
-#: From here on only the power of two below a count is told apart.
-_EXACT_COUNTS = 2048
 PAIR_WEIGHT = 0.4
 _KEYS_AT_ONCE = 1 << 20
 _TABLE = byte_table(lower=True)
 _BEGIN, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _WORD, _PAIR = 0, 1
 _RUN = "kind int, shard int, steps binary, counts binary"
+_PART = "shard int, steps binary, counts binary, bits binary, tokens bigint, words bigint, ends bigint"
 
 
 @dataclass
@@ -76,9 +80,15 @@ def pair_key(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(mix(before + np.uint64(1)) + token) >> np.uint64(64 - PAIR_BITS)
 
 
+def _cuts(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
+    """Where each range of the sorted keys begins, and their number."""
+    owner = keys >> np.uint64(bits - ranges.bit_length() + 1) if ranges > 1 else np.zeros(len(keys), np.uint64)
+    return np.searchsorted(owner, np.arange(ranges + 1, dtype=np.uint64))
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of equal weight together, which lets any block compression drop the empty ones."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
 
 
 def _from_planes(data: bytes, kind: str) -> np.ndarray:
@@ -110,8 +120,52 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[new], np.add.reduceat(counts, new) if len(new) else counts
 
 
-def count_ngrams(texts: DataFrame) -> DataFrame:
-    """Sorted runs of counts, one of each kind for each range of keys; `texts` has the column t."""
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """The highest j with 2^j <= count."""
+    return np.frexp(counts.astype(np.float64))[1] - 1
+
+
+def _place(key: np.ndarray, level: int, probe: int, n_bits: int) -> np.ndarray:
+    turn = np.uint64((level * PROBES + probe + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    return (mix(key + turn) & np.uint64(n_bits - 1)).astype(np.int64)
+
+
+def filter_of(keys: np.ndarray, counts: np.ndarray, bits_an_entry: int = BITS_AN_ENTRY) -> np.ndarray:
+    """The filter that holds these counts (at least 1), as bytes; its size is a power of two."""
+    level = _levels(counts)
+    wanted = max(int((level + 1).sum()) * bits_an_entry, LEAST_BITS)
+    on = np.zeros(1 << (wanted - 1).bit_length(), bool)
+    for j in range(int(level.max(initial=-1)) + 1):
+        here = keys[level >= j]
+        for probe in range(PROBES):
+            on[_place(here, j, probe, len(on))] = True
+    return np.packbits(on, bitorder="little")
+
+
+def levels_in(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """One more than the highest level found for each key, level after level; 0 if none is."""
+    out = np.zeros(len(key), np.uint8)
+    rows = np.arange(len(key))
+    for level in range(TOP_LEVEL):
+        for probe in range(PROBES):
+            at = _place(key[rows], level, probe, 8 * len(bits))
+            rows = rows[(bits[at >> 3] >> (at & 7)) & 1 > 0]
+            if not len(rows):
+                return out
+        out[rows] = level + 1
+    return out
+
+
+def middles(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts of a level: 0 for none, then 1, 2.5, 5.5 and so on."""
+    return np.where(levels > 0, 1.5 * 2.0 ** (levels.astype(np.int64) - 1) - 0.5, 0.0)
+
+
+def count_ngrams(texts: DataFrame, ranges: int, bits_an_entry: int = BITS_AN_ENTRY) -> DataFrame:
+    """One row for each range of keys that has any: exact words, filter, totals.
+
+    `texts` has the column t, `ranges` is a power of two.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {_WORD: [], _PAIR: []}
@@ -120,15 +174,9 @@ def count_ngrams(texts: DataFrame) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             for kind, bits in ((_WORD, 64), (_PAIR, PAIR_BITS)):
                 keys, counts = np.unique(np.concatenate(held[kind]), return_counts=True)
-                shard = (keys >> np.uint64(bits - SHARDS.bit_length() + 1)).astype(np.int64)
-                cuts = np.searchsorted(shard, np.arange(SHARDS + 1))
-                yield _batch(
-                    [
-                        _run(kind, s, keys[a:b], counts[a:b])
-                        for s, (a, b) in enumerate(zip(cuts, cuts[1:]))
-                        if b > a
-                    ]
-                )
+                cuts = _cuts(keys, bits, ranges)
+                own = np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()
+                yield _batch([_run(kind, r, keys[cuts[r] : cuts[r + 1]], counts[cuts[r] : cuts[r + 1]]) for r in own])
                 held[kind].clear()
 
         for batch in batches:
@@ -146,327 +194,290 @@ def count_ngrams(texts: DataFrame) -> DataFrame:
             yield from flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts = None, [], []
+        now, held = None, {}
+
+        def take(kind: int, least: int = 1) -> None:
+            if len(held[kind]) > least:  # keep the runs of a kind open as one
+                keys, counts = zip(*held[kind])
+                held[kind] = [_summed(np.concatenate(keys), np.concatenate(counts))]
 
         def done() -> pa.RecordBatch:
-            return _batch([_run(*now, *_summed(np.concatenate(keys), np.concatenate(counts)))])
+            take(_WORD)
+            take(_PAIR)
+            none = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+            (word, n), (pair, m) = [held[kind][0] if held[kind] else none for kind in (_WORD, _PAIR)]
+            bits = filter_of(np.concatenate((word_key(word), pair)), np.concatenate((n, m)), bits_an_entry)
+            _, _, steps, counts = _run(_WORD, now, word, n)
+            row = [now, steps, counts, bits.tobytes(), int(n.sum()), len(word), int(n[word == _END].sum())]
+            kinds = [pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 3]
+            names = ["shard", "steps", "counts", "bits", "tokens", "words", "ends"]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
             for kind, shard, steps, n in zip(*[c.to_pylist() for c in batch.columns]):
-                if now != (kind, shard):
-                    if now:
+                if now != shard:
+                    if now is not None:
                         yield done()
-                    now, keys, counts = (kind, shard), [], []
-                k, c = _open(steps, n)
-                keys.append(k)
-                counts.append(c)
-                if len(keys) >= 64:  # keep a run open as one run
-                    k, c = _summed(np.concatenate(keys), np.concatenate(counts))
-                    keys, counts = [k], [c]
-        if now:
+                    now, held = shard, {_WORD: [], _PAIR: []}
+                held[kind].append(_open(steps, n))
+                take(kind, 64)
+        if now is not None:
             yield done()
 
     ship(texts.sparkSession)
     return (
         texts.mapInArrow(count, _RUN)
-        .repartition("kind", "shard")
-        .sortWithinPartitions("kind", "shard")
-        .mapInArrow(merge, _RUN)
+        .repartition("shard")
+        .sortWithinPartitions("shard", "kind")
+        .mapInArrow(merge, _PART)
     )
 
 
-def word_counts(runs: DataFrame) -> DataFrame:
-    """(word, n) of every word of the training texts and of the end."""
+def ranges_for(texts: DataFrame, range_bytes: int = RANGE_BYTES) -> int:
+    """The number of ranges of keys for texts (one column t): a power of two, in proportion to their bytes."""
+    size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    return 1 << max(0, (size - 1) // range_bytes).bit_length()
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for steps, n in zip(*[c.to_pylist() for c in batch.columns]):
-                keys, counts = _open(steps, n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(counts.view(np.int64))], ["word", "n"]
-                )
 
-    return runs.where(F.col("kind") == _WORD).select("steps", "counts").mapInArrow(
-        unpack, "word bigint, n bigint"
-    )
+@dataclass
+class Totals:
+    tokens: int  # N, ends included
+    vocabulary: int  # V, the end included
+    texts: int
 
+    def add_one(self, counts: np.ndarray) -> np.ndarray:
+        return (counts + 1.0) / (self.tokens + self.vocabulary + 1.0)
 
-def _levels(counts: np.ndarray) -> np.ndarray:
-    """The highest j with 2^j <= count."""
-    return np.frexp(counts.astype(np.float64))[1] - 1
 
+def _ints(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, kind)
 
-class Filter:
-    """The bits, and the lowest level that is in them."""
 
-    def __init__(self, bits: np.ndarray, lowest: int):
-        self.bits, self.lowest = bits, lowest
+def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The stretches of an array between cuts, as rows of bytes."""
+    width = values.dtype.itemsize
+    offsets = pa.py_buffer((cuts * width).astype(np.int32))
+    return pa.Array.from_buffers(
+        pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))]
+    )
 
-    def counts(self, key: np.ndarray) -> np.ndarray:
-        """The middle of the highest level found for each key; 0 if none is."""
-        out = np.zeros(len(key))
-        rows = np.arange(len(key))
-        for level in range(self.lowest, TOP_LEVEL):
-            for place in _places(key, level, 8 * len(self.bits)):
-                at = place(rows)
-                rows = rows[(self.bits[at >> 3] >> (at & 7)) & 1 > 0]
-                if not len(rows):
-                    return out
-            out[rows] = 1.5 * 2.0**level
-        return out
 
+def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All rows of bytes as one array of numbers, and where each row begins."""
+    column = column.fill_null(b"")
+    width = np.dtype(kind).itemsize
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    values = np.frombuffer(whole[offsets[0] : offsets[-1]].tobytes(), kind)
+    return values, (offsets - offsets[0]) // width
 
-def _places(key: np.ndarray, level: int, n_bits: int):
-    """For each probe, the function from rows to bit numbers; all in the key's own range."""
-    part = np.uint64(n_bits // SHARDS)
-    base_shift = np.uint64(PAIR_BITS - SHARDS.bit_length() + 1)
 
-    def probe(i: int):
-        def place(rows: np.ndarray) -> np.ndarray:
-            own = key[rows]
-            h = mix(own + np.uint64((level * PROBES + i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-            return ((own >> base_shift) * part + (h & (part - np.uint64(1)))).astype(np.int64)
+_SLICE = "slice bigint, kept binary, first binary, which binary, words binary"
+_ASK = "shard int, slice bigint, words binary, pairs binary"
+_ANSWER = "slice bigint, shard int, exact binary, word_levels binary, pair_levels binary"
 
-        return place
 
-    return [probe(i) for i in range(PROBES)]
+def _sliced(read: DataFrame, kept: int) -> DataFrame:
+    """Slices of a table whose columns are the kept ones, then the text t."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for piece in slices(batch, kept):
+                found = tokens_of(words_of(piece.column(kept), _TABLE))
+                words, which = np.unique(found.token, return_inverse=True)
+                own = pa.RecordBatch.from_arrays(
+                    piece.columns[:kept] or [pa.nulls(piece.num_rows)], [f"k{i}" for i in range(max(kept, 1))]
+                )
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, own.schema) as stream:
+                    stream.write_batch(own)
+                parts = [sink.getvalue().to_pybytes(), found.first.astype(np.int64).tobytes()]
+                parts += [_planes(which.astype(np.uint32)), words.tobytes()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), *[pa.array([p], pa.binary()) for p in parts]],
+                    ["slice", "kept", "first", "which", "words"],
+                )
+                number += 1
 
-def build_filter(runs: DataFrame, most_bits: int = MOST_BITS) -> Filter:
-    """The filter of all words and pairs that come at least twice."""
+    return read.mapInArrow(cut, _SLICE)
 
-    def keys_of(kind: int, steps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-        keys, n = _open(steps, counts)
-        keys, n = keys[n > 1], n[n > 1]
-        return (word_key(keys) if kind == _WORD else keys), _levels(n)
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TOP_LEVEL + 24, np.int64)
-        for batch in batches:
-            for row in zip(*[batch.column(i).to_pylist() for i in (0, 2, 3)]):
-                total += np.bincount(keys_of(*row)[1], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["level", "n"])
-
-    sizes = np.zeros(TOP_LEVEL + 24)
-    for row in runs.mapInArrow(tally, "level bigint, n bigint").groupBy("level").sum("n").collect():
-        sizes[row.level] = row[1]
-    entries = np.cumsum(sizes[::-1])[::-1]  # n-grams that have each level
-    entries = np.cumsum(entries[::-1])[::-1]  # entries if that level is the lowest
-    lowest = 1
-    while entries[lowest] * BITS_AN_ENTRY > most_bits:
-        lowest += 1
-    wanted = max(int(entries[lowest] * BITS_AN_ENTRY), LEAST_BITS)
-    n_bits = min(1 << (wanted - 1).bit_length(), most_bits)
-    width = n_bits // SHARDS
-
-    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slice_tokens(first: bytes, which: bytes, words: bytes) -> tuple[Tokens, np.ndarray, np.ndarray]:
+    """The tokens of a slice, its distinct words, and which of them each token is."""
+    place, names = _from_planes(which, "<u4"), _ints(words, np.uint64)
+    token, start = names[place], _ints(first, np.int64)
+    before = np.concatenate(([_BEGIN], token[:-1]))
+    before[start[:-1]] = _BEGIN
+    return Tokens(token, before, start), names, place
+
+
+def _asks(sliced: DataFrame, ranges: int) -> DataFrame:
+    """What each slice asks of each range: its distinct words and pairs, ascending."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*[batch.column(i).to_pylist() for i in (0, 2, 3)]):
-                keys, level = keys_of(*row)
-                chosen = [np.zeros(0, np.int64)]
-                for j in range(lowest, TOP_LEVEL):
-                    rows = np.flatnonzero(level >= j)
-                    if not len(rows):
-                        break
-                    chosen += [place(rows) for place in _places(keys, j, n_bits)]
-                at = np.unique(np.concatenate(chosen))
-                own, first = np.unique(at // width, return_index=True)
-                parts = np.split((at % width).astype(np.uint32), first[1:]) if len(own) else []
+            for number, *parts in zip(*[c.to_pylist() for c in batch.columns]):
+                found, words, _ = _slice_tokens(*parts)
+                pairs = np.unique(pair_key(found.before, found.token))
+                word_cuts, pair_cuts = _cuts(words, 64, ranges), _cuts(pairs, PAIR_BITS, ranges)
+                asked = (word_cuts[1:] > word_cuts[:-1]) | (pair_cuts[1:] > pair_cuts[:-1])
+                own = np.flatnonzero(asked)
+                ends = [np.append(c[own], len(v)) for c, v in ((word_cuts, words), (pair_cuts, pairs))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own.astype(np.int32)), pa.array([_planes(p) for p in parts], pa.binary())],
-                    ["shard", "places"],
+                    [
+                        pa.array(own.astype(np.int32)),
+                        pa.array(np.full(len(own), number, np.int64)),
+                        _binaries(words, ends[0]),
+                        _binaries(pairs, ends[1]),
+                    ],
+                    ["shard", "slice", "words", "pairs"],
                 )
 
-    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for shard, places in zip(*[c.to_pylist() for c in batch.columns]):
-                on = parts.setdefault(shard, np.zeros(width, np.uint8))
-                on[_from_planes(places, "<u4")] = 1
-        for shard, on in parts.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard], pa.int32()),
-                    pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary()),
-                ],
-                ["shard", "bits"],
-            )
-
-    rows = (
-        runs.mapInArrow(enter, "shard int, places binary")
-        .repartition("shard")
-        .mapInArrow(united, "shard int, bits binary")
-    )
-    bits = np.zeros(n_bits // 8, np.uint8)
-    found = rows.toArrow()  # the filter, at most `most_bits`
-    for shard, part in zip(found.column("shard"), found.column("bits")):
-        at = shard.as_py() * width // 8
-        bits[at : at + width // 8] = np.frombuffer(part.as_buffer(), np.uint8)
-    return Filter(bits, lowest)
+    return sliced.select("slice", "first", "which", "words").mapInArrow(ask, _ASK)
 
 
-@dataclass
-class Model:
-    filter: Filter
-    frequent: np.ndarray  # sorted hashes of the most frequent words
-    frequent_counts: np.ndarray
-    tokens: int  # N, ends included
-    vocabulary: int  # V, the end included
-    texts: int
+def _answers(parts: DataFrame, asks: DataFrame) -> DataFrame:
+    """For each asking row the exact counts of its words, and the levels of its words and pairs."""
 
-    def add_one(self, counts: np.ndarray) -> np.ndarray:
-        return (counts + 1.0) / (self.tokens + self.vocabulary + 1.0)
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, counts, bits = -1, *[np.zeros(0, np.uint64)] * 2, np.zeros(LEAST_BITS // 8, np.uint8)
+        for batch in batches:
+            shard, number = (np.asarray(batch.column(i)) for i in (0, 1))
+            words, at_word = _joined(batch.column(2), np.uint64)
+            pairs, at_pair = _joined(batch.column(3), np.uint64)
+            # a range's own part stands before the rows that ask it
+            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                if now != shard[a]:
+                    now, keys, counts = int(shard[a]), *[np.zeros(0, np.uint64)] * 2
+                    bits = np.zeros(LEAST_BITS // 8, np.uint8)
+                if number[a] < 0:
+                    keys, counts = _open(batch.column(4)[a].as_py(), batch.column(5)[a].as_py())
+                    bits = _ints(batch.column(6)[a].as_py(), np.uint8)
+                    a += 1
+                if a == b:
+                    continue
+                word, pair = words[at_word[a] : at_word[b]], pairs[at_pair[a] : at_pair[b]]
+                exact = np.zeros(len(word), np.int64)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
+                    exact = np.where(keys[at] == word, counts[at], 0).astype(np.int64)
+                word_cuts, pair_cuts = at_word[a : b + 1] - at_word[a], at_pair[a : b + 1] - at_pair[a]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(number[a:b]),
+                        pa.array(shard[a:b]),
+                        _binaries(exact, word_cuts),
+                        _binaries(levels_in(bits, word_key(word)), word_cuts),
+                        _binaries(levels_in(bits, pair), pair_cuts),
+                    ],
+                    ["slice", "shard", "exact", "word_levels", "pair_levels"],
+                )
 
-    def exact(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The exact counts of frequent words, and which words those are."""
-        if not len(self.frequent):
-            return np.zeros(len(token)), np.zeros(len(token), bool)
-        at = np.minimum(np.searchsorted(self.frequent, token), len(self.frequent) - 1)
-        known = self.frequent[at] == token
-        return np.where(known, self.frequent_counts[at], 0), known
-
-    def score(self, found: Tokens) -> tuple[np.ndarray, ...]:
-        """Per token: log10 probability, exact count, and whether that is known here."""
-        word, which = np.unique(found.token, return_inverse=True)
-        counts, known = self.exact(word)
-        rough = np.where(known, counts, 0)
-        rough[~known] = self.filter.counts(word_key(word[~known]))
-        single = self.add_one(rough)[which]
-        # the history's count: that of the token before, or of the texts at a beginning
-        history = np.empty(len(found.token))
-        history[1:] = rough[which[:-1]]
-        history[found.first[:-1]] = self.texts
-        pair = np.minimum(self.filter.counts(pair_key(found.before, found.token)), history)
-        chance = PAIR_WEIGHT * pair / np.maximum(history, 1) + (1 - PAIR_WEIGHT) * single
-        return np.log10(chance), counts[which], known[which]
-
-
-def fit(texts: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
-    """The model of the training texts (one column t), and the counts of all their words."""
-    runs = materialise(count_ngrams(texts), "ngram-runs")
-    counts = word_counts(runs)
-    total = counts.agg(F.sum("n"), F.count("*")).first()
-    ends = counts.where(F.col("word") == int(_END.astype(np.int64))).first()
-    n = F.col("n")
-    rounded = F.when(n < _EXACT_COUNTS, n).otherwise(F.pow(2.0, F.floor(F.log2(n))).cast("long"))
-    sizes = (
-        counts.groupBy(rounded.alias("n"))
-        .agg(F.count("*").alias("words"))
-        .orderBy(F.col("n").desc())
-        .collect()
-    )
-    least, words = None, 0
-    for row in sizes:  # as many whole counts as `frequent` words allow
-        words += row.words
-        if words > frequent:
-            break
-        least = row.n
-    names, often = np.zeros(0, np.uint64), np.zeros(0)
-    if least is not None:
-        top = counts.where(n >= least).toArrow()
-        names = top.column("word").to_numpy().view(np.uint64)
-        often = top.column("n").to_numpy().astype(np.float64)
-        del top
-        order = np.argsort(names)
-        names, often = names[order], often[order]
-    model = Model(
-        build_filter(runs),
-        names,
-        often,
-        int(total[0] or 0),
-        int(total[1]),
-        int(ends.n) if ends else 0,
+    own = parts.select("shard", F.lit(-1).cast("long").alias("slice"), "steps", "counts", "bits")
+    return (
+        asks.unionByName(own, allowMissingColumns=True)
+        .repartition("shard")
+        .sortWithinPartitions("shard", "slice")
+        .select("shard", "slice", "words", "pairs", "steps", "counts", "bits")
+        .mapInArrow(answer, _ANSWER)
     )
-    return model, counts
 
 
-RESULTS = {
-    "n_tokens": "bigint",
-    "known": "bigint",
-    "base": "double",
-    "score": "double",
-    "rest": "array<bigint>",
-    "times": "array<int>",
-}
+def _scores(first, which, words, exact, word_levels, pair_levels, totals: Totals) -> list[np.ndarray]:
+    """Of each text of a slice: tokens, known ones, base score and score."""
+    found, _, place = _slice_tokens(first, which, words)
+    begin = found.first[:-1]
+    _, pair = np.unique(pair_key(found.before, found.token), return_inverse=True)
+    rough = middles(word_levels)[place]
+    # the history's count: that of the token before, or of the texts at a beginning
+    history = np.concatenate(([0.0], rough[:-1]))
+    history[begin] = totals.texts
+    both = np.minimum(middles(pair_levels)[pair], history)
+    chance = PAIR_WEIGHT * both / np.maximum(history, 1) + (1 - PAIR_WEIGHT) * totals.add_one(rough)
+    count = exact[place]
+    return [
+        np.diff(found.first),
+        np.add.reduceat((count > 0).astype(np.int64), begin),
+        np.add.reduceat(np.log10(totals.add_one(count)), begin),
+        np.add.reduceat(np.log10(chance), begin),
+    ]
 
 
 def score_texts(
-    docs: DataFrame, learn: Column, keep: list[str], *, text: str = "text"
+    docs: DataFrame,
+    learn: Column,
+    keep: list[str],
+    *,
+    text: str = "text",
+    range_bytes: int = RANGE_BYTES,
+    bits_an_entry: int = BITS_AN_ENTRY,
 ) -> DataFrame:
     """The columns `keep`, then n_tokens, n_known, train_tokens, base_score and score.
 
     The model and the counts are of the rows for which `learn` holds. Words are runs
     without ASCII white space, A-Z lower-cased, and every text, also a null or empty
     one, has one end as its last token. `base_score` is the exact add-one score of
-    its words alone, `score` the log10 probability by the filter's pairs. Without
-    any training row all counts are 0. Repeated rows are counted and scored each.
+    its words alone, `score` the log10 probability by the filter's words and pairs.
+    Without any training row all counts are 0. Repeated rows are counted and scored each;
+    the input's other columns play no part.
     """
-    spark = docs.sparkSession
+    ship(docs.sparkSession)
     body = named(docs, text)
-    model, counts = fit(docs.where(learn).select(body.alias("t")))
-    sent = spark.sparkContext.broadcast(model)
-
-    def prepare():
-        model = sent.value
-
-        def compute(columns: list[pa.Array]) -> list[pa.Array]:
-            found = tokens_of(words_of(columns[0], _TABLE))
-            log, exact, known = model.score(found)
-            first, n = found.first[:-1], len(columns[0])
-            owner = np.repeat(np.arange(n), np.diff(found.first))
-            left = np.flatnonzero(~known)  # words whose count must be looked up
-            order = np.lexsort((found.token[left], owner[left]))
-            o, w = owner[left][order], found.token[left][order]
-            new = np.flatnonzero(
-                np.concatenate(([True], (o[1:] != o[:-1]) | (w[1:] != w[:-1])))[: len(o)]
-            )
-            offsets = pa.array(np.searchsorted(o[new], np.arange(n + 1)).astype(np.int32))
-            times = np.diff(np.append(new, len(o))).astype(np.int32)
-            base = np.where(known, np.log10(model.add_one(exact)), 0.0)
-            return [
-                pa.array(np.diff(found.first)),
-                pa.array(np.add.reduceat((known & (exact > 0)).astype(np.int64), first)),
-                pa.array(np.add.reduceat(base, first)),
-                pa.array(np.add.reduceat(log, first)),
-                pa.ListArray.from_arrays(offsets, pa.array(w[new].view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(times)),
+    training = docs.where(learn).select(body.alias("t"))
+    ranges = ranges_for(training, range_bytes)
+    parts = materialise(count_ngrams(training, ranges, bits_an_entry), "ngram-parts")
+    sums = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "words", "ends")]).first()
+    totals = Totals(*[int(x) for x in sums])
+
+    kept = [f"k{i}" for i in range(len(keep))]
+    read = docs.select(*[named(docs, c).alias(k) for c, k in zip(keep, kept)], body.alias("t"))
+    # stored, as the numbers of slices must not change
+    sliced = materialise(_sliced(read, len(keep)), "word-slices")
+    answers = _answers(parts, _asks(sliced, ranges))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked = None, []
+
+        def done() -> pa.RecordBatch:
+            own, *numbers = now
+            exact, word, pair = [
+                _ints(b"".join(parts), kind) for parts, kind in zip(zip(*asked), (np.int64, np.uint8, np.uint8))
             ]
+            rows = pa.ipc.open_stream(own).read_next_batch()
+            found = _scores(*numbers, exact, word, pair, totals)
+            columns = [*rows.columns[: len(kept)], *[pa.array(x) for x in found]]
+            return pa.RecordBatch.from_arrays(columns, [*kept, "r0", "r1", "r2", "r3"])
 
-        return compute
+        for batch in batches:
+            for _, shard, *values in zip(*[c.to_pylist() for c in batch.columns]):
+                if shard < 0:  # the slice itself stands before its answers
+                    if now:
+                        yield done()
+                    now, asked = values[:4], []
+                else:
+                    asked.append(values[4:])
+        if now:
+            yield done()
 
-    kept = [f"k{i}" for i in range(len(keep))]
-    read = docs.select(
-        *[named(docs, c).alias(k) for c, k in zip(keep, kept)], body.alias("t")
-    )
-    scored = materialise(
-        with_results(read, kept, [F.col("t")], RESULTS, prepare).withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "scored-texts",
-    )
-    sent.destroy()  # the scores are stored, so no task needs the model again
-    unit = float(model.tokens + model.vocabulary + 1)
-    rare = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
-        "row", F.col("x.rest").alias("word"), F.col("x.times").alias("times")
-    )
-    found = (
-        rare.join(counts, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
-            F.sum(
-                F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1.0) / F.lit(unit))
-            ).alias("add"),
-        )
+    own = ["kept", "first", "which", "words"]
+    kinds = [f"{k} {read.schema[k].dataType.simpleString()}" for k in kept]
+    scored = (
+        answers.unionByName(sliced.withColumn("shard", F.lit(-1)), allowMissingColumns=True)
+        .repartition("slice")
+        .sortWithinPartitions("slice", "shard")
+        .select("slice", "shard", *own, "exact", "word_levels", "pair_levels")
+        .mapInArrow(finish, ", ".join([*kinds, "r0 bigint, r1 bigint, r2 double, r3 double"]))
     )
-    return scored.join(found, "row", "left").select(
+    return scored.select(
         *[F.col(k).alias(c) for c, k in zip(keep, kept)],
-        "n_tokens",
-        (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("add", F.lit(0.0))).alias("base_score"),
-        "score",
+        F.col("r0").alias("n_tokens"),
+        F.col("r1").alias("n_known"),
+        F.lit(totals.tokens).cast("long").alias("train_tokens"),
+        F.col("r2").alias("base_score"),
+        F.col("r3").alias("score"),
     )
 
 

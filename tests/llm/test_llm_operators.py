@@ -767,24 +767,46 @@ def test_tokenise_and_decode_round_trip(documents, odd):
 # 9 language model
 
 
-@pytest.mark.parametrize("frequent", [1 << 20, 50])
-def test_base_scores_are_exact(spark, documents, odd, monkeypatch, frequent):
-    monkeypatch.setattr(language_model.fit, "__defaults__", (frequent,))
+@pytest.mark.parametrize("range_bytes", [language_model.RANGE_BYTES, 1 << 14])
+def test_scores_are_those_of_plain_counts(documents, odd, range_bytes):
     docs = documents.select("doc_id", "text").limit(120).union(odd.select("doc_id", "text"))
     learn = F.col("doc_id").isNotNull() & ~language_model.seventh_is_held_out(F.col("doc_id"))
-    found = language_model.score_texts(docs, learn, ["doc_id", "text"]).collect()
+    found = language_model.score_texts(  # a filter so thin that it has no false answers
+        docs, learn, ["doc_id", "text"], range_bytes=range_bytes, bits_an_entry=1000
+    ).collect()
     tokens = lambda t: (t or "").translate(UPPER).encode().split() + [None]
     rows = [tuple(r) for r in docs.collect()]
-    count = Counter(
-        w for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for w in tokens(t)
-    )
+    learnt = [tokens(t) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for own in learnt for w in own)
+    pairs = Counter(p for own in learnt for p in zip(["begin", *own], own))
     n, v = sum(count.values()), len(count)
-    assert len(found) == len(rows)
+
+    def rough(c):
+        level = math.floor(math.log2(c)) if c else None
+        return 0 if level is None else (2**level + 2 ** (level + 1) - 1) / 2
+
+    def chance(before, word):
+        history = len(learnt) if before == "begin" else rough(count[before])
+        share = min(rough(pairs[before, word]), history) / history if history else 0
+        return 0.4 * share + 0.6 * (rough(count[word]) + 1) / (n + v + 1)
+
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(rows)
     for r in found:
         own = tokens(r.text)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(count[w] > 0 for w in own), n)
         assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own), rel=1e-9)
-        assert r.score < 0 and math.isfinite(r.score)
+        want = sum(math.log10(chance(b, w)) for b, w in zip(["begin", *own], own))
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
+def test_the_number_of_parts_changes_scores_by_false_answers_only(documents):
+    docs = documents.select("doc_id", "text").limit(150)
+    exact, one, many = [
+        {r.doc_id: r.score for r in language_model.score_texts(docs, F.col("doc_id") % 5 > 0, ["doc_id"], **kw).collect()}
+        for kw in ({"bits_an_entry": 1000}, {}, {"range_bytes": 1 << 13})
+    ]
+    total = sum(exact.values())
+    assert sum(one.values()) == pytest.approx(total, rel=0.01) and sum(many.values()) == pytest.approx(total, rel=0.01)
 
 
 def test_model_beats_single_words_on_held_out_text(spark):
@@ -797,20 +819,30 @@ def test_model_beats_single_words_on_held_out_text(spark):
     assert row.pairs > row.single
 
 
-def test_filter_returns_levels_and_shrinks_to_its_bound(spark):
+def test_filter_returns_levels_of_all_counts():
     draw = np.random.default_rng(9)
-    text = " ".join(f"v{i}" for i in np.minimum(draw.zipf(1.3, 40_000), 5000).tolist())
-    runs = language_model.count_ngrams(spark.createDataFrame([(text,)], "t string"))
-    counts = {r.word: r.n for r in language_model.word_counts(runs).collect()}
-    filter_ = language_model.build_filter(runs)
-    words = np.array(list(counts), np.int64).view(np.uint64)
-    got = filter_.counts(language_model.word_key(words))
-    want = np.array([1.5 * 2 ** math.floor(math.log2(n)) if n > 1 else 0 for n in counts.values()])
+    keys = np.unique(draw.integers(0, 1 << 48, 60_000, dtype=np.uint64))
+    counts = draw.zipf(1.5, len(keys)).clip(1, 1 << 30)
+    held, others = keys[::2], keys[1::2]
+    bits = language_model.filter_of(held, counts[::2])
+    got = language_model.levels_in(bits, held)
+    want = np.floor(np.log2(counts[::2])) + 1
     assert (got >= want).all() and (got == want).mean() > 0.98
-    small = language_model.build_filter(runs, most_bits=1 << 16)
-    assert len(small.bits) * 8 == 1 << 16 and small.lowest > 1
-    often = words[np.array(list(counts.values())) >= 2 ** (small.lowest + 1)]
-    assert (small.counts(language_model.word_key(often)) > 0).all()
+    assert (language_model.levels_in(bits, others) > 0).mean() < 0.02
+    # every level of every count is in it, so its size follows the entries
+    assert 10 * want.sum() <= len(bits) * 8 < 20 * want.sum()
+    assert language_model.middles(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
+
+
+def test_ranges_of_keys_follow_the_training_texts(spark):
+    texts = spark.createDataFrame([("ab cd " * 100,)] * 64 + [(None,)], "t string")
+    assert [language_model.ranges_for(texts.limit(n), 1200) for n in (0, 1, 2, 4, 64)] == [1, 1, 1, 2, 32]
+    wide = spark.createDataFrame([(" ".join(f"v{i}" for i in range(5000)),)], "t string")
+    parts = language_model.count_ngrams(wide, 64).collect()
+    assert len(parts) == 64 and sum(p.words for p in parts) == 5001 and sum(p.ends for p in parts) == 1
+    assert max(p.words for p in parts) < 2 * 5001 / 64
+    hot = spark.createDataFrame([("a " * 50_000,)], "t string")
+    assert sum(p.tokens for p in language_model.count_ngrams(hot, 64).collect()) == 50_001
 
 
 def test_scores_without_training_rows(odd):
