@@ -12,7 +12,7 @@ texts, the size of each its entries; nothing is left out at any size.
    counts as sorted runs, one for each range. Where a range is owned its runs are merged,
    and all its words and pairs, also those seen once, are entered in its part of the
    filter. The exact counts of words are kept beside it.
-2. The texts are cut into slices of a megabyte, and stored as word numbers. A slice asks
+2. The texts are cut into slices of some megabytes, and stored as word numbers. A slice asks
    each range for its distinct words and pairs. The parts go to the tasks that answer for
    their ranges, and the answers, a byte each, go back to the slice.
 3. A pair's share of its first word's count is interpolated with the add-one probability
@@ -46,7 +46,10 @@ BITS_AN_ENTRY, LEAST_BITS = 10, 1 << 12
 PROBES = 6
 TOP_LEVEL = 40
 PAIR_WEIGHT = 0.4
-_KEYS_AT_ONCE = 1 << 20
+_KEYS_AT_ONCE = 1 << 21
+_LOOKED_UP_AT_ONCE = 1 << 18
+#: Bytes of text in a slice; a longer document is one alone.
+SLICE_BYTES = 4 << 20
 _TABLE = byte_table(lower=True)
 _BEGIN, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _WORD, _PAIR = 0, 1
@@ -135,24 +138,28 @@ def filter_of(keys: np.ndarray, counts: np.ndarray, bits_an_entry: int = BITS_AN
     level = _levels(counts)
     wanted = max(int((level + 1).sum()) * bits_an_entry, LEAST_BITS)
     on = np.zeros(1 << (wanted - 1).bit_length(), bool)
-    for j in range(int(level.max(initial=-1)) + 1):
-        here = keys[level >= j]
-        for probe in range(PROBES):
-            on[_place(here, j, probe, len(on))] = True
+    for i in range(0, len(keys), _LOOKED_UP_AT_ONCE):
+        some, own = keys[i : i + _LOOKED_UP_AT_ONCE], level[i : i + _LOOKED_UP_AT_ONCE]
+        for j in range(int(own.max()) + 1):
+            here = some[own >= j]
+            for probe in range(PROBES):
+                on[_place(here, j, probe, len(on))] = True
     return np.packbits(on, bitorder="little")
 
 
 def levels_in(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     """One more than the highest level found for each key, level after level; 0 if none is."""
     out = np.zeros(len(key), np.uint8)
-    rows = np.arange(len(key))
-    for level in range(TOP_LEVEL):
-        for probe in range(PROBES):
-            at = _place(key[rows], level, probe, 8 * len(bits))
-            rows = rows[(bits[at >> 3] >> (at & 7)) & 1 > 0]
+    for i in range(0, len(key), _LOOKED_UP_AT_ONCE):
+        some = key[i : i + _LOOKED_UP_AT_ONCE]
+        rows = np.arange(len(some))
+        for level in range(TOP_LEVEL):
+            for probe in range(PROBES):
+                at = _place(some[rows], level, probe, 8 * len(bits))
+                rows = rows[(bits[at >> 3] >> (at & 7)) & 1 > 0]
             if not len(rows):
-                return out
-        out[rows] = level + 1
+                break
+            out[i + rows] = level + 1
     return out
 
 
@@ -253,6 +260,15 @@ def _ints(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(data, kind)
 
 
+def _ascending(keys: np.ndarray) -> bytes:
+    """Ascending keys as the steps between them."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _from_ascending(data: bytes | None) -> np.ndarray:
+    return np.cumsum(_from_planes(data or b"", "<u8"), dtype=np.uint64)
+
+
 def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """The stretches of an array between cuts, as rows of bytes."""
     width = values.dtype.itemsize
@@ -262,17 +278,6 @@ def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     )
 
 
-def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """All rows of bytes as one array of numbers, and where each row begins."""
-    column = column.fill_null(b"")
-    width = np.dtype(kind).itemsize
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    values = np.frombuffer(whole[offsets[0] : offsets[-1]].tobytes(), kind)
-    return values, (offsets - offsets[0]) // width
-
-
 _SLICE = "slice bigint, kept binary, first binary, which binary, words binary"
 _ASK = "shard int, slice bigint, words binary, pairs binary"
 _ANSWER = "slice bigint, shard int, exact binary, word_levels binary, pair_levels binary"
@@ -284,7 +289,7 @@ def _sliced(read: DataFrame, kept: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for piece in slices(batch, kept):
+            for piece in slices(batch, kept, SLICE_BYTES):
                 found = tokens_of(words_of(piece.column(kept), _TABLE))
                 words, which = np.unique(found.token, return_inverse=True)
                 own = pa.RecordBatch.from_arrays(
@@ -294,7 +299,8 @@ def _sliced(read: DataFrame, kept: int) -> DataFrame:
                 with pa.ipc.new_stream(sink, own.schema) as stream:
                     stream.write_batch(own)
                 parts = [sink.getvalue().to_pybytes(), found.first.astype(np.int64).tobytes()]
-                parts += [_planes(which.astype(np.uint32)), words.tobytes()]
+                numbers = _planes(which.astype(np.uint32))
+                parts += [pa.compress(numbers, "zstd", asbytes=True), _ascending(words)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), *[pa.array([p], pa.binary()) for p in parts]],
                     ["slice", "kept", "first", "which", "words"],
@@ -306,8 +312,9 @@ def _sliced(read: DataFrame, kept: int) -> DataFrame:
 
 def _slice_tokens(first: bytes, which: bytes, words: bytes) -> tuple[Tokens, np.ndarray, np.ndarray]:
     """The tokens of a slice, its distinct words, and which of them each token is."""
-    place, names = _from_planes(which, "<u4"), _ints(words, np.uint64)
-    token, start = names[place], _ints(first, np.int64)
+    start, names = _ints(first, np.int64), _from_ascending(words)
+    place = _from_planes(pa.decompress(which, 4 * int(start[-1]), "zstd", asbytes=True), "<u4")
+    token = names[place]
     before = np.concatenate(([_BEGIN], token[:-1]))
     before[start[:-1]] = _BEGIN
     return Tokens(token, before, start), names, place
@@ -324,13 +331,15 @@ def _asks(sliced: DataFrame, ranges: int) -> DataFrame:
                 word_cuts, pair_cuts = _cuts(words, 64, ranges), _cuts(pairs, PAIR_BITS, ranges)
                 asked = (word_cuts[1:] > word_cuts[:-1]) | (pair_cuts[1:] > pair_cuts[:-1])
                 own = np.flatnonzero(asked)
-                ends = [np.append(c[own], len(v)) for c, v in ((word_cuts, words), (pair_cuts, pairs))]
+                parts = [
+                    pa.array([_ascending(v[c[r] : c[r + 1]]) for r in own.tolist()], pa.binary())
+                    for v, c in ((words, word_cuts), (pairs, pair_cuts))
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(own.astype(np.int32)),
                         pa.array(np.full(len(own), number, np.int64)),
-                        _binaries(words, ends[0]),
-                        _binaries(pairs, ends[1]),
+                        *parts,
                     ],
                     ["shard", "slice", "words", "pairs"],
                 )
@@ -343,38 +352,46 @@ def _answers(parts: DataFrame, asks: DataFrame) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, counts, bits = -1, *[np.zeros(0, np.uint64)] * 2, np.zeros(LEAST_BITS // 8, np.uint8)
+        held: list[tuple] = []
+
+        def done() -> pa.RecordBatch:
+            number, words, pairs = zip(*held)
+            word, pair = np.concatenate(words), np.concatenate(pairs)
+            exact = np.zeros(len(word), np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
+                exact = np.where(keys[at] == word, counts[at], 0).astype(np.int64)
+            word_cuts, pair_cuts = (np.cumsum([0, *map(len, v)]) for v in (words, pairs))
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(number, pa.int64()),
+                    pa.array([now] * len(number), pa.int32()),
+                    _binaries(exact, word_cuts),
+                    _binaries(levels_in(bits, word_key(word)), word_cuts),
+                    _binaries(levels_in(bits, pair), pair_cuts),
+                ],
+                ["slice", "shard", "exact", "word_levels", "pair_levels"],
+            )
+
+        size = 0
         for batch in batches:
-            shard, number = (np.asarray(batch.column(i)) for i in (0, 1))
-            words, at_word = _joined(batch.column(2), np.uint64)
-            pairs, at_pair = _joined(batch.column(3), np.uint64)
-            # a range's own part stands before the rows that ask it
-            edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-            for a, b in zip(edges.tolist(), edges[1:].tolist()):
-                if now != shard[a]:
-                    now, keys, counts = int(shard[a]), *[np.zeros(0, np.uint64)] * 2
+            for i in range(batch.num_rows):
+                shard, number, words, pairs, *own = [c[i].as_py() for c in batch.columns]
+                if held and (shard != now or size >= _LOOKED_UP_AT_ONCE):
+                    yield done()
+                    size = 0
+                if shard != now:
+                    now, keys, counts = shard, *[np.zeros(0, np.uint64)] * 2
                     bits = np.zeros(LEAST_BITS // 8, np.uint8)
-                if number[a] < 0:
-                    keys, counts = _open(batch.column(4)[a].as_py(), batch.column(5)[a].as_py())
-                    bits = _ints(batch.column(6)[a].as_py(), np.uint8)
-                    a += 1
-                if a == b:
-                    continue
-                word, pair = words[at_word[a] : at_word[b]], pairs[at_pair[a] : at_pair[b]]
-                exact = np.zeros(len(word), np.int64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
-                    exact = np.where(keys[at] == word, counts[at], 0).astype(np.int64)
-                word_cuts, pair_cuts = at_word[a : b + 1] - at_word[a], at_pair[a : b + 1] - at_pair[a]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(number[a:b]),
-                        pa.array(shard[a:b]),
-                        _binaries(exact, word_cuts),
-                        _binaries(levels_in(bits, word_key(word)), word_cuts),
-                        _binaries(levels_in(bits, pair), pair_cuts),
-                    ],
-                    ["slice", "shard", "exact", "word_levels", "pair_levels"],
-                )
+                if number < 0:  # a range's own part stands before the rows that ask it
+                    keys, counts = _open(*own[:2])
+                    bits = _ints(own[2], np.uint8)
+                else:
+                    held.append((number, _from_ascending(words), _from_ascending(pairs)))
+                    size += len(held[-1][1]) + len(held[-1][2])
+        if held:
+            yield done()
 
     own = parts.select("shard", F.lit(-1).cast("long").alias("slice"), "steps", "counts", "bits")
     return (
@@ -452,7 +469,8 @@ def score_texts(
             return pa.RecordBatch.from_arrays(columns, [*kept, "r0", "r1", "r2", "r3"])
 
         for batch in batches:
-            for _, shard, *values in zip(*[c.to_pylist() for c in batch.columns]):
+            for i in range(batch.num_rows):
+                _, shard, *values = [c[i].as_py() for c in batch.columns]
                 if shard < 0:  # the slice itself stands before its answers
                     if now:
                         yield done()
