@@ -367,7 +367,7 @@ def _answers(parts: DataFrame, asks: DataFrame) -> DataFrame:
                 [
                     pa.array(number, pa.int64()),
                     pa.array([now] * len(number), pa.int32()),
-                    _binaries(exact, word_cuts),
+                    pa.array([_planes(exact[a:b]) for a, b in zip(word_cuts, word_cuts[1:])], pa.binary()),
                     _binaries(levels_in(bits, word_key(word)), word_cuts),
                     _binaries(levels_in(bits, pair), pair_cuts),
                 ],
@@ -460,9 +460,9 @@ def score_texts(
 
         def done() -> pa.RecordBatch:
             own, *numbers = now
-            exact, word, pair = [
-                _ints(b"".join(parts), kind) for parts, kind in zip(zip(*asked), (np.int64, np.uint8, np.uint8))
-            ]
+            counts, *levels = zip(*asked)
+            exact = np.concatenate([_from_planes(c, "<i8") for c in counts])
+            word, pair = [_ints(b"".join(parts), np.uint8) for parts in levels]
             rows = pa.ipc.open_stream(own).read_next_batch()
             found = _scores(*numbers, exact, word, pair, totals)
             columns = [*rows.columns[: len(kept)], *[pa.array(x) for x in found]]
