@@ -203,16 +203,24 @@ def count_ngrams(texts: DataFrame, ranges: int, bits_an_entry: int = BITS_AN_ENT
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
 
-        def take(kind: int, least: int = 1) -> None:
-            if len(held[kind]) > least:  # keep the runs of a kind open as one
+        def take(kind: int) -> None:
+            if len(held[kind]) > 1:
                 keys, counts = zip(*held[kind])
                 held[kind] = [_summed(np.concatenate(keys), np.concatenate(counts))]
 
+        def add(kind: int, run: tuple[np.ndarray, np.ndarray]) -> None:
+            """Runs join the merged one when they are as long as it, so little more than it is held."""
+            held[kind].append(run)
+            waiting = sum(len(keys) for keys, _ in held[kind][1:])
+            if waiting >= max(len(held[kind][0][0]), _LOOKED_UP_AT_ONCE):
+                take(kind)
+
         def done() -> pa.RecordBatch:
             take(_WORD)
             take(_PAIR)
             none = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
             (word, n), (pair, m) = [held[kind][0] if held[kind] else none for kind in (_WORD, _PAIR)]
+            held.clear()
             bits = filter_of(np.concatenate((word_key(word), pair)), np.concatenate((n, m)), bits_an_entry)
             _, _, steps, counts = _run(_WORD, now, word, n)
             row = [now, steps, counts, bits.tobytes(), int(n.sum()), len(word), int(n[word == _END].sum())]
@@ -221,20 +229,21 @@ def count_ngrams(texts: DataFrame, ranges: int, bits_an_entry: int = BITS_AN_ENT
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for kind, shard, steps, n in zip(*[c.to_pylist() for c in batch.columns]):
+            for i in range(batch.num_rows):
+                kind, shard = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if now != shard:
                     if now is not None:
                         yield done()
                     now, held = shard, {_WORD: [], _PAIR: []}
-                held[kind].append(_open(steps, n))
-                take(kind, 64)
+                add(kind, _open(*[c[i].as_buffer() for c in batch.columns[2:]]))
         if now is not None:
             yield done()
 
     ship(texts.sparkSession)
     return (
         texts.mapInArrow(count, _RUN)
-        .repartition("shard")
+        # a task for every range: Spark hands a task's runs over at once
+        .repartitionById(ranges, "shard")
         .sortWithinPartitions("shard", "kind")
         .mapInArrow(merge, _PART)
     )
@@ -347,7 +356,7 @@ def _asks(sliced: DataFrame, ranges: int) -> DataFrame:
     return sliced.select("slice", "first", "which", "words").mapInArrow(ask, _ASK)
 
 
-def _answers(parts: DataFrame, asks: DataFrame) -> DataFrame:
+def _answers(parts: DataFrame, asks: DataFrame, ranges: int) -> DataFrame:
     """For each asking row the exact counts of its words, and the levels of its words and pairs."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +405,7 @@ def _answers(parts: DataFrame, asks: DataFrame) -> DataFrame:
     own = parts.select("shard", F.lit(-1).cast("long").alias("slice"), "steps", "counts", "bits")
     return (
         asks.unionByName(own, allowMissingColumns=True)
-        .repartition("shard")
+        .repartitionById(ranges, "shard")
         .sortWithinPartitions("shard", "slice")
         .select("shard", "slice", "words", "pairs", "steps", "counts", "bits")
         .mapInArrow(answer, _ANSWER)
@@ -453,7 +462,7 @@ def score_texts(
     read = docs.select(*[named(docs, c).alias(k) for c, k in zip(keep, kept)], body.alias("t"))
     # stored, as the numbers of slices must not change
     sliced = materialise(_sliced(read, len(keep)), "word-slices")
-    answers = _answers(parts, _asks(sliced, ranges))
+    answers = _answers(parts, _asks(sliced, ranges), ranges)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, asked = None, []

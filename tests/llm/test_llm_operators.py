@@ -845,6 +845,15 @@ def test_ranges_of_keys_follow_the_training_texts(spark):
     assert sum(p.tokens for p in language_model.count_ngrams(hot, 64).collect()) == 50_001
 
 
+def test_every_range_of_keys_is_merged_and_asked_in_a_task_of_its_own(spark):
+    wide = spark.createDataFrame([(" ".join(f"v{i}" for i in range(5000)),)], "t string")
+    parts = language_model.count_ngrams(wide, 16)
+    assert parts.select(F.spark_partition_id()).distinct().count() == parts.count() == 16
+    asks = language_model._asks(language_model._sliced(wide, 0), 16)
+    answers = language_model._answers(parts, asks, 16).select("shard", F.spark_partition_id().alias("task"))
+    assert {(r.shard, r.task) for r in answers.collect()} == {(i, i) for i in range(16)}
+
+
 def test_scores_without_training_rows(odd):
     found = language_model.score_texts(odd, F.lit(False), ["doc_id"]).collect()
     assert len(found) == odd.count()
