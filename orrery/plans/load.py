@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
@@ -40,6 +40,8 @@ from orrery.plans.warehouse import APPEND, BASE, BLOCK, REPLAY, BatchPlan, Wareh
 from orrery.schemas import DIM_DATE, FACT_SALES, Table
 from orrery.workspace import BROADCAST_LIMIT_BYTES, discard, observed
 
+#: Jobs of a load that is written block by block; with more blocks than that, a job writes several.
+JOBS_A_LOAD = 16
 RUNNING, DONE, STOPPED, FAILED = "RUNNING", "DONE", "STOPPED", "FAILED"
 STEP_OF_TABLE = {
     "dim_date": "DIM_DATE",
@@ -159,6 +161,37 @@ def write_block(
     facts.write.mode("overwrite").parquet(warehouse.block_path(run_id, block, BASE))
 
 
+def write_stretch(
+    warehouse: Warehouse,
+    run_id: str,
+    src: DataFrame,
+    plan: BatchPlan,
+    interval: tuple[int, int],
+    dim_rows: dict[str, int] | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    metrics: Observation | None = None,
+) -> None:
+    """Load the blocks of an interval of ids in one job; running it again replaces these only.
+
+    Blocks appear when all of them are written. Such jobs may run side by side: each has
+    a staging folder of its own.
+    """
+    facts = _facts(warehouse, run_id, src, plan, *interval, dim_rows, broadcast_limit)
+    numbered = facts.withColumns(
+        {
+            "block": block_number(F.col("chunk_no"), plan.batches_a_block),
+            "attempt": F.lit(BASE),
+        }
+    )
+    if metrics is not None:
+        numbered = watched(numbered, metrics)
+    if dim_rows is None or not dimensions_bounded(dim_rows, broadcast_limit):
+        numbered = numbered.hint("rebalance", "block")
+    path = warehouse.table_path(run_id, FACT_SALES.name)
+    out = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("block", "attempt").parquet(path)
+
+
 def watched(facts: DataFrame, metrics: Observation) -> DataFrame:
     """Facts whose write tells their rows and amount, each task's result counted once."""
     return facts.observe(metrics, F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount"))
@@ -339,70 +372,77 @@ class _Run:
     def facts_by_block(self, watch: StopWatch) -> None:
         """Blocks as separate jobs. They start in order, and none after a stop or failure.
 
-        A stop ends the blocks that are being written; those that are whole stay. Only as
-        many are held as run at a time, so the plan may be of any length.
+        Every job reads the dimensions anew. So that their cost does not grow with the lines
+        times the dimensions, there are `JOBS_A_LOAD` jobs at most; with more blocks a job
+        writes a stretch of several. A stop ends the blocks that are being written; those
+        that are whole stay. Only as many are held as run at a time.
         """
         plan, threads = self.plan, self.params.threads
+        blocks_a_job = max(-(-plan.blocks // JOBS_A_LOAD), 1)
+        jobs = replace(plan, batches_a_block=plan.batches_a_block * blocks_a_job)
         empty = _facts(self.warehouse, self.run_id, self.src.limit(0), plan).withColumns(
             {"block": F.lit(0).cast("long"), "attempt": F.lit(BASE)}
         )
         path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
         empty.write.partitionBy("block", "attempt").parquet(path)
 
-        def one(block: int) -> None:
+        def one(job: int) -> None:
             started, since = _now(), time.monotonic_ns()
-            first = (block - 1) * plan.batches_a_block + 1
-            last = min(block * plan.batches_a_block, plan.batches)
+            first = (job - 1) * jobs.batches_a_block + 1
+            last = min(job * jobs.batches_a_block, plan.batches)
+            blocks = range(plan.block_of(first), plan.block_of(last) + 1)
             name = f"FACT_CHUNK_{first}" if first == last else f"FACT_CHUNK_{first}-{last}"
             metrics = Observation()
 
             def write() -> None:
-                write_block(
-                    self.warehouse, self.run_id, self.src, plan, block,
+                write, what = write_block, blocks[0]
+                if blocks_a_job > 1:
+                    write, what = write_stretch, jobs.block_interval(job)
+                write(
+                    self.warehouse, self.run_id, self.src, plan, what,
                     self.dim_rows, self.params.broadcast_limit, metrics,
                 )
 
             with _step(name):
                 ended = watch.ends(write)
                 if ended:
-                    discard(self.warehouse.spark, self.warehouse.block_path(self.run_id, block, BASE))
+                    left = [self.warehouse.block_path(self.run_id, block, BASE) for block in blocks]
+                    discard(self.warehouse.spark, *left)
             if ended:
-                cut.append(block)
+                cut.append(job)
                 return
             self.written.append(metrics)
-            self.log_batches(first, last, started, since, block)
+            self.log_batches(first, last, started, since, blocks)
 
         cut: list[int] = []
         running: set[Future] = set()
-        block = 1
+        job = 1
         with ThreadPoolExecutor(threads) as pool:
-            while block <= plan.blocks and not cut and not self.warehouse.control.stop_requested():
-                running.add(pool.submit(one, block))
-                block += 1
+            while job <= jobs.blocks and not cut and not self.warehouse.control.stop_requested():
+                running.add(pool.submit(one, job))
+                job += 1
                 if len(running) == threads:
                     done, running = wait(running, return_when=FIRST_COMPLETED)
-                    for job in done:
-                        job.result()
-            for job in running:
-                job.result()
-        if cut or block <= plan.blocks:
-            # all blocks that were started but those cut: one interval between any two of them
-            ends = [0, *sorted(cut), block]
+                    for future in done:
+                        future.result()
+            for future in running:
+                future.result()
+        if cut or job <= jobs.blocks:
+            # all jobs that were started but those cut: one interval between any two of them
+            ends = [0, *sorted(cut), job]
             spans = [(a + 1, b - 1) for a, b in zip(ends, ends[1:]) if a + 1 < b]
-            self.loaded = [(plan.block_interval(a)[0], plan.block_interval(b)[1]) for a, b in spans]
+            self.loaded = [(jobs.block_interval(a)[0], jobs.block_interval(b)[1]) for a, b in spans]
 
     def log_batches(
-        self, first: int, last: int, started: datetime, since_ns: int, block: int | None = None
+        self, first: int, last: int, started: datetime, since_ns: int, blocks: range | None = None
     ) -> None:
         """One event for each of these batches; their rows are counted in one narrow column."""
         plan, (ended, spent) = self.plan, (_now(), _elapsed_ms(since_ns))
         stored = self.warehouse.table_path(self.run_id, FACT_SALES.name)
-        if block is not None:
-            stored = self.warehouse.block_path(self.run_id, block, BASE)
-        counted = (
-            self.warehouse.spark.read.schema("chunk_no long").parquet(stored)
-            .groupBy("chunk_no").agg(F.count("*").alias("row_count"))
-        )
+        facts = self.warehouse.spark.read.schema("chunk_no long, block long").parquet(stored)
+        if blocks is not None:
+            facts = facts.filter(F.col("block").between(blocks[0], blocks[-1]))
+        counted = facts.groupBy("chunk_no").agg(F.count("*").alias("row_count"))
         numbers = self.warehouse.spark.range(first, last + 1).withColumnRenamed("id", "chunk_no")
         span = F.concat_ws(
             "-", (F.col("chunk_no") - 1) * plan.chunk_size, F.col("chunk_no") * plan.chunk_size

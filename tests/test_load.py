@@ -66,6 +66,19 @@ def test_batches_give_the_same_star(spark, orders, loaded, folder, size, threads
     assert facts(spark, root) == facts(spark, loaded[0])
 
 
+def test_many_blocks_take_a_bounded_number_of_jobs(spark, orders, loaded, folder, monkeypatch):
+    written, original = [], L.StopWatch.ends
+    monkeypatch.setattr(L.StopWatch, "ends", lambda self, write: written.append(1) or original(self, write))
+    root = folder("star")
+    load_star(orders, root, LoadParams(chunk_size=10, batches_a_block=2, threads=2)).require_done()
+    warehouse = Warehouse(spark, root)
+    assert 1 < len(written) <= L.JOBS_A_LOAD < warehouse.plan(warehouse.published_run()).blocks
+    assert facts(spark, root) == facts(spark, loaded[0])
+    rows, order = steps(warehouse)
+    assert sum(name.startswith("FACT_CHUNK_") for name in order) == -(-orders.count() // 10)
+    assert all(row.row_count in (10, orders.count() % 10) for name, row in rows.items() if "CHUNK" in name)
+
+
 def test_replay_changes_nothing(spark, orders, loaded):
     root = loaded[0]
     before = facts(spark, root)
