@@ -7,11 +7,11 @@ lost executor costs one round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.workspace import materialise, new_folder
+from orrery.workspace import materialise, new_folder, observed
 
 
 class CycleError(ValueError):
@@ -45,62 +45,42 @@ def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
         rounds += 1
 
 
-def _settled(stored: DataFrame) -> tuple[DataFrame, int]:
-    """(node, layer) of what settles, and the number of nodes that never do.
+def _peeled(edges: DataFrame, end: str = "src", other: str = "dst") -> tuple[DataFrame, int, int]:
+    """Edges round by round, the number of rounds, and how many edges never go.
 
-    A node settles in the round in which as many of its feeders are settled as it has.
-    A round writes only the nodes that a newly settled node feeds, with the number of
-    feeders settled so far; edges (distinct, stored) are only read.
+    A round keeps the edges whose `end` is the `other` end of an edge that the round before
+    kept. What is kept is stored, so a round costs as much as there is left, and the rounds
+    end when nothing goes any more. Repeated edges play no part.
     """
-    spark = stored.sparkSession
-    feeders = materialise(
-        stored.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("feeders")), "feeders"
-    )
-    nothing = F.lit(0).cast("long")
-    roots = (
-        stored.select(F.col("src").alias("node"))
-        .distinct()
-        .join(feeders, "node", "left_anti")
-        .select("node", nothing.alias("settled"), nothing.alias("feeders"))
-    )
-    reached = new_folder(spark, "layers")
-    roots.write.parquet(f"{reached}/layer=0")
-    schema = roots.schema.add("layer", "integer")
-    whole, done, layer = F.col("settled") == F.col("feeders"), 0, 0
+    spark, schema = edges.sparkSession, edges.select("src", "dst").schema
+    folder, before, kept, rounds = new_folder(spark, "peeled"), None, None, 0
+    left = edges.select("src", "dst")
     while True:
-        last = spark.read.schema(schema).parquet(reached).filter(F.col("layer") == layer)
-        ready = last.filter(whole).select("node")
-        settled = ready.count()
-        if not settled:
-            break
-        done, layer = done + settled * (layer > 0), layer + 1
-        fed = (
-            ready.join(stored, F.col("node") == F.col("src"))
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.count("*").alias("settled"))
-        )
-        waiting = last.filter(~whole).select("node", "settled")
-        (
-            fed.unionByName(waiting)
-            .groupBy("node")
-            .agg(F.sum("settled").alias("settled"))
-            .join(feeders, "node")
-            .write.parquet(f"{reached}/layer={layer}")
-        )
-    every = spark.read.schema(schema).parquet(reached)
-    return every.filter(whole).select("node", "layer"), feeders.count() - done
+        counted = Observation()
+        left.observe(counted, F.count(F.lit(1)).alias("edges")).write.parquet(f"{folder}/round={rounds}")
+        before, kept = kept, observed(counted, "edges")
+        if not kept or kept == before:
+            stored = spark.read.schema(schema.add("round", "integer")).parquet(folder)
+            return stored, rounds, kept
+        stored = spark.read.schema(schema).parquet(f"{folder}/round={rounds}")
+        left = stored.join(stored.select(F.col(other).alias(end)).distinct(), end, "left_semi").select("src", "dst")
+        rounds += 1
 
 
 def dependency_layers(edges: DataFrame) -> DataFrame:
     """(node, layer): length of the longest path from a node without incoming edges.
 
-    What never settles runs in a circle or hangs on one, which is reported;
-    `layers_of_circles` takes such edges.
+    A round takes off the edges of nodes that nothing feeds any more; a node lies one layer
+    behind the last round in which something fed it. What never goes runs in a circle or
+    hangs on one, which is reported; `layers_of_circles` takes such edges.
     """
-    layers, left = _settled(materialise(edges.select("src", "dst").distinct(), "edges"))
-    if left:
+    stored, rounds, kept = _peeled(edges)
+    if kept:
+        left = stored.filter(F.col("round") == rounds).select("dst").distinct().count()
         raise CycleError(f"{left} nodes run in a circle or hang on one")
-    return layers
+    fed = stored.select(F.col("dst").alias("node"), (F.col("round") + 1).alias("layer"))
+    roots = stored.filter("round = 0").select(F.col("src").alias("node"), F.lit(0).alias("layer"))
+    return fed.unionByName(roots).groupBy("node").agg(F.max("layer").alias("layer"))
 
 
 def _without(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -111,10 +91,14 @@ def _without(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _cyclic_core(edges: DataFrame) -> DataFrame:
-    """Edges of circles and between them: neither end is free of circles behind or ahead of it."""
-    rest = materialise(_without(edges, _settled(edges)[0]), "core")
-    turned = rest.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return materialise(_without(rest, _settled(turned)[0]).select("src", "dst"), "core")
+    """Edges of circles and between them: neither end is free of circles behind or ahead of it.
+
+    What leads nowhere goes first, then what nothing feeds; that makes no new dead ends.
+    """
+    for end, other in (("dst", "src"), ("src", "dst")):
+        stored, rounds, _ = _peeled(edges, end, other)
+        edges = stored.filter(F.col("round") == rounds).select("src", "dst")
+    return edges
 
 
 def _colours(edges: DataFrame) -> DataFrame:
@@ -149,7 +133,7 @@ def circles(edges: DataFrame) -> DataFrame:
     """(node, component): the nodes on a circle, with the smallest node of those they share one with.
 
     Strongly connected components by forward colouring and backward search (Orzan 2004).
-    What lies before or behind all circles is taken off first. Then every node takes the
+    What lies before or behind all circles is taken off first, by rounds that shrink. Then every node takes the
     smallest node that reaches it as its colour. A node of its own colour is the smallest
     of its component, which is what reaches it inside the colour; no component has two
     colours. What is left inside the colours is searched again. A node alone is on a
@@ -157,15 +141,15 @@ def circles(edges: DataFrame) -> DataFrame:
     count once.
     """
     spark = edges.sparkSession
-    stored = materialise(edges.select("src", "dst").dropna().distinct(), "edges")
+    stored = materialise(edges.select("src", "dst").dropna(), "edges")
     folder = new_folder(spark, "circles")
-    own = stored.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("component"))
+    own = stored.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("component")).distinct()
     schema = own.schema
     stepped = T.StructType([*schema.fields, T.StructField("step", T.IntegerType())])
     own.write.parquet(f"{folder}/part=0")
-    left, part = materialise(stored.filter("src <> dst"), "edges"), 1
+    left, part = stored.filter("src <> dst"), 1
     while True:
-        left = _cyclic_core(left)
+        left = materialise(_cyclic_core(left).distinct(), "core")
         if left.isEmpty():
             break
         colours = _colours(left)
@@ -191,7 +175,7 @@ def circles(edges: DataFrame) -> DataFrame:
             members = spark.read.schema(stepped).parquet(found)
         # a root that nothing of its colour reaches is alone; it has no edge inside
         members.select("node", "component").write.parquet(f"{folder}/part={part}")
-        left = materialise(_without(inside.select("src", "dst"), members), "edges")
+        left = _without(inside.select("src", "dst"), members)
         part += 1
     # a node that feeds itself may be on a larger circle as well
     every = spark.read.schema(schema).parquet(folder)
@@ -204,23 +188,21 @@ def layers_of_circles(edges: DataFrame) -> DataFrame:
     `component` is the smallest node of those that reach each other, a node on no circle
     is its own. For edges without circles the layers are those of `dependency_layers`.
     """
-    pairs = materialise(edges.select("src", "dst").dropna().distinct(), "edges")
-    nodes = pairs.select(F.col("src").alias("node")).union(pairs.select("dst")).distinct()
-    known = materialise(
-        nodes.join(materialise(circles(pairs), "circles"), "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component")
-        ),
-        "components",
-    )
-    of = lambda end: known.select(F.col("node").alias(end), F.col("component").alias(f"new_{end}"))
+    pairs = materialise(edges.select("src", "dst").dropna(), "edges")
+    found = materialise(circles(pairs), "circles")
+    of = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_circle"))
     between = (
-        pairs.join(of("src"), "src").join(of("dst"), "dst").filter("new_src <> new_dst")
-        .select(F.col("new_src").alias("src"), F.col("new_dst").alias("dst"))
+        pairs.join(of("src"), "src", "left").join(of("dst"), "dst", "left")
+        .select(F.coalesce("src_circle", "src").alias("src"), F.coalesce("dst_circle", "dst").alias("dst"))
+        .filter("src <> dst")
     )
     layers = dependency_layers(between).withColumnRenamed("node", "component")
-    return known.join(layers, "component", "left").select(
+    # a circle that nothing leads to or from has no edge between, all other nodes have one
+    on = found.join(layers, "component", "left").select(
         "node", "component", F.coalesce("layer", F.lit(0)).alias("layer")
     )
+    off = layers.join(found.select(F.col("node").alias("component")), "component", "left_anti")
+    return on.unionByName(off.select(F.col("component").alias("node"), "component", "layer"))
 
 
 def _distinct_calls(calls: DataFrame) -> DataFrame:

@@ -345,6 +345,18 @@ def test_circles_inside_one_colour(spark):
     assert graph.layers_of_circles(frame.limit(0)).count() == 0
 
 
+def test_rounds_read_only_what_the_last_one_left(spark):
+    """Leaves of a hub go in the first round and are not read again on the way along a chain."""
+    pairs = [("hub", f"leaf{i}") for i in range(500)] + [("hub", "c0")] + [(f"c{i}", f"c{i + 1}") for i in range(6)]
+    frame = spark.createDataFrame(pairs, "src string, dst string")
+    stored, rounds, kept = graph._peeled(frame)
+    assert [r["count"] for r in stored.groupBy("round").count().orderBy("round").collect()] == [507, 6, 5, 4, 3, 2, 1]
+    assert (rounds, kept) == (7, 0)
+    stored, rounds, kept = graph._peeled(frame.union(frame.limit(1).selectExpr("'c6' as src", "'c4' as dst")), "dst", "src")
+    assert kept == 10 and rounds == 2  # all edges of the chain, and the one that closes its circle
+    assert {r.node for r in graph.circles(frame.unionByName(frame.limit(1).selectExpr("'c6' as src", "'c4' as dst"))).collect()} == {"c4", "c5", "c6"}
+
+
 def test_callees(spark):
     calls = [("f", c) for c in "pqrs"] + [("g", "t"), ("g", "u"), ("f", "u"), ("g", "t"), ("p", "z")]
     frame = spark.createDataFrame(calls, "caller string, callee string")
