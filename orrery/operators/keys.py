@@ -13,7 +13,12 @@ _ROW_BITS = 33
 
 
 def dense_key(
-    df: DataFrame, order_by: Sequence[str | Column], name: str, first: int = 1
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    name: str,
+    first: int = 1,
+    keep: Sequence[str] | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Add `name` = rank of the row under `order_by`, without gaps.
 
@@ -23,13 +28,18 @@ def dense_key(
     Only the row count of each range is summed up across the table: one row per
     written range, which is what makes the broadcast below bounded.
 
+    Only the columns `keep` (all by default) are written. Without `spread` the rows lie in
+    ranges of a leading part of the sort columns already, equal values together.
+
     The ranges are written before they are counted, so both readers see the same
     split even if an executor is lost in between.
     """
+    kept = list(df.columns if keep is None else keep)
+    ranges = df.repartitionByRange(*order_by) if spread else df
     placed = materialise(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id()),
+        ranges.sortWithinPartitions(*order_by).select(
+            *kept, F.monotonically_increasing_id().alias("_place")
+        ),
         f"key-{name}",
     )
     in_range = F.shiftright("_place", _ROW_BITS)
@@ -42,5 +52,5 @@ def dense_key(
     return (
         placed.withColumn("_range", in_range)
         .join(F.broadcast(starts), "_range")
-        .select(*df.columns, (F.col("_start") + position + first).alias(name))
+        .select(*kept, (F.col("_start") + position + first).alias(name))
     )

@@ -1,9 +1,10 @@
 """Synthetic order lines of any size, the same for a seed on any cluster.
 
 All attributes of a customer, sales rep or product are functions of its number, so the
-tables are generated side by side without reading one another. Lines are numbered while
-they are narrow and then joined to customers and products by number; numbers are drawn
-evenly, so these joins have no hot key.
+tables are generated side by side without reading one another. Orders are shuffled while
+they are narrow, and lines numbered in the ranges their orders lie in. Lines are joined to
+customers by number, drawn evenly, so the join has no hot key, and get their product's
+attributes where they lie.
 """
 
 from __future__ import annotations
@@ -213,18 +214,20 @@ def generate_lines(
 ) -> DataFrame:
     """Order lines in the flat source layout, numbered 1..n by order and line.
 
-    The optimizer knows how many customers and products there are and broadcasts them
-    while they are small.
+    The optimizer knows how many customers there are and broadcasts them while they are
+    small. A product's attributes take one digest, less than a join; they are made in place,
+    so no wide row is shuffled.
     """
     spark = headers.sparkSession
-    slots = expand_lines(headers, "n_lines").withColumn(
+    slots = expand_lines(headers.repartitionByRange("order_no"), "n_lines").withColumn(
         "slot", F.col("order_no") * LINE_SLOTS + F.col("line_no")
     )
     percent = F.element_at(
         F.array(*[F.lit(p) for p in V.DISCOUNT_PERCENTS]),
         (pick("_discount", len(V.DISCOUNT_PERCENTS)) + 1).cast("int"),
     )
-    slots = dense_key(slots, ["order_no", "line_no"], "order_line_id")
+    kept = ["order_no", "order_date", "customer_no", "slot"]
+    slots = dense_key(slots, ["order_no", "line_no"], "order_line_id", keep=kept, spread=False)
     lines = with_draws(slots, "slot", "line", DRAWS["line"], seed).select(
         "order_line_id",
         "order_no",
@@ -242,13 +245,10 @@ def generate_lines(
     buyers = with_salesrep(buyers, "region_no", "rep_no", seed).withColumnsRenamed(
         {"id": "customer_no", "region": "salesrep_region"}
     )
-    goods = with_product(spark.range(1, products + 1), "id", seed, lang).withColumnRenamed(
-        "id", "product_no"
-    )
+    bought = lines.filter(F.col("product_no") <= products).join(buyers, "customer_no")
     unit_price = F.round(F.col("list_price") * F.col("kept") / 100, 2)
     rows = (
-        lines.join(buyers, "customer_no")
-        .join(goods, "product_no")
+        with_product(bought, "product_no", seed, lang)
         .withColumn("order_id", numbered_code("CMD", F.col("order_no"), 8))
         .withColumn("unit_price", unit_price.cast("decimal(12,2)"))
     )

@@ -71,3 +71,16 @@ def test_expand_lines_drops_rows_without_lines(spark):
     rows = spark.createDataFrame([(1, 2), (2, 0), (3, 1)], "id int, n int")
     got = [(r.id, r.line_no) for r in G.expand_lines(rows, "n").collect()]
     assert sorted(got) == [(1, 1), (1, 2), (3, 1)]
+
+
+def test_lines_are_numbered_where_their_orders_lie(spark):
+    """Repeated orders and unknown customers are treated as by joins on sorted lines."""
+    headers = G.generate_headers(spark.range(1, 200).union(spark.range(1, 20)), 30, seed=3)
+    rows = G.generate_lines(headers, 20, 25, seed=3)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2  # starts of ranges and customers, no products
+    found = rows.collect()
+    total = sum(r.n_lines * (r.customer_no <= 20) for r in headers.collect())
+    assert len(found) == total and len({r.order_line_id for r in found}) == total
+    in_order = [r.order_id for r in sorted(found, key=lambda r: r.order_line_id)]
+    assert in_order == sorted(in_order) and all(int(r.customer_code[1:]) <= 20 for r in found)
