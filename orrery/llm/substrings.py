@@ -13,6 +13,10 @@ windows always do: an anchor occurs at least as often as any of its windows.
    into segments, consecutive windows under one anchor, each known by a digest of its
    words. Equal segments are looked up once, window by window, each meeting at most one
    row; what was found goes back to the places of the segment, one row to one row.
+4. Bits of the marked texts tell which texts are surely whole; only the others travel to
+   their marks.
+
+Shuffle files of the steps before the last go as each step ends.
 
 The sketch is sized from the bytes of the whole corpus, up to `MOST_CELLS` cells (128 MB
 of bits), and is broadcast. A corpus beyond that size fills the sketch: then more
@@ -33,7 +37,7 @@ from orrery.llm.periodic_runs import Stretches
 from orrery.llm.rows import named, slices, with_results
 from orrery.llm.shipping import ship
 from orrery.llm.words import mix, words_of
-from orrery.workspace import materialise
+from orrery.workspace import materialise, shuffles_dropped
 
 WINDOW, ANCHOR = 35, 8
 BLOCK_CELLS = 1 << 18
@@ -169,30 +173,20 @@ def _maybe_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1).astype(bool)
 
 
-def repeated_passages(
-    docs: DataFrame,
-    *,
-    id: str = "doc_id",
-    text: str = "text",
-    window: int = WINDOW,
-    anchor: int = ANCHOR,
-    cells: int | None = None,
-) -> DataFrame:
-    """One row per document: doc_id, n_words, spans, n_removed, kept text.
+def _bits_of(keys: DataFrame) -> np.ndarray:
+    """Bits that tell which numbers are surely not in the only column of `keys`."""
 
-    Words are runs without ASCII white space, unchanged. `spans` are the merged word
-    ranges covered by windows whose words also start anywhere else, in the same
-    document or another, judged on the input; `kept` is the rest, joined by one
-    space. A null text has no words and an empty `kept`; a text below `window` words
-    keeps all. Repeated rows are two documents that repeat each other.
-    """
-    if anchor > window:
-        raise ValueError("an anchor must fit into a window")
+    def numbers(batch: pa.RecordBatch) -> np.ndarray:
+        return np.asarray(batch.column(0)).view(np.uint64)
+
+    cells = min(max(1 << (16 * keys.count()).bit_length(), LEAST_CELLS), MOST_CELLS)
+    return sketch(keys, numbers, cells, 1)
+
+
+def _marks(docs: DataFrame, window: int, anchor: int, cells: int | None) -> DataFrame:
+    """Covered ranges of the texts `t` that have any, by the keys `h` and `g` of a text."""
     spark = docs.sparkSession
-    body = named(docs, text)
-    # equal for rows of equal id and text only, whose passages are the same
-    keys = [F.xxhash64(named(docs, id), body).alias("h"), F.hash(named(docs, id), body).alias("g")]
-    texts = docs.select(body.alias("t"))
+    texts = docs.select("t")
     if cells is None:
         size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
         cells = 1 << (size // BYTES_A_CELL).bit_length()
@@ -228,13 +222,7 @@ def repeated_passages(
         .select("a", "d"),
         "repeated-windows",
     )
-    n_pairs = pairs.count()
-    cells = min(max(1 << (16 * n_pairs).bit_length(), LEAST_CELLS), MOST_CELLS)
-
-    def digests(batch: pa.RecordBatch) -> np.ndarray:
-        return np.asarray(batch.column(0)).view(np.uint64)
-
-    known = spark.sparkContext.broadcast(sketch(pairs.select("d"), digests, cells, 1))
+    known = spark.sparkContext.broadcast(_bits_of(pairs.select("d")))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor_bits, window_bits = bits.value, known.value
@@ -280,23 +268,26 @@ def repeated_passages(
 
     segment = ["a", "s", "n"]
     cut = materialise(
-        docs.select(*keys, body.alias("t")).mapInArrow(
+        docs.select("h", "g", "t").mapInArrow(
             segments, "h bigint, g int, start int, a bigint, s bigint, n int, windows array<bigint>"
         ),
         "segments",
     )
+    for asked in (bits, known):  # each executor holds a copy on disk
+        asked.destroy()
     found = (
         cut.where("windows is not null")
         .groupBy(*segment)
         .agg(F.first("windows").alias("windows"))
         .select(*segment, F.posexplode("windows").alias("at", "d"))
         .join(pairs, ["a", "d"], "left_semi")
-        .groupBy(*segment)  # SEGMENT windows at most
-        .agg(F.sort_array(F.collect_list("at")).alias("hits"))
+        .groupBy(*segment)
+        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("hits"))  # a bit for each of SEGMENT windows
     )
+    hits = F.filter(F.sequence(F.lit(0), F.lit(SEGMENT - 1)), lambda i: F.bit_get("hits", i) == 1)
     # the words that a segment's repeated windows cover, as ranges from its first word on
     covered = F.aggregate(
-        "hits",
+        hits,
         F.lit(None).cast("array<struct<begin:int,end:int>>"),
         lambda done, at: F.when(
             F.element_at(done, -1)["end"] >= at,
@@ -311,57 +302,101 @@ def repeated_passages(
             )
         ),
     )
-    marks = materialise(
+    return materialise(
         cut.select("h", "g", "start", *segment)
         .join(materialise(found.select(*segment, covered.alias("ranges")), "covered-segments"), segment)
         .groupBy("h", "g")  # ranges of one text, fewer than its words
         .agg(F.collect_set(F.struct("start", "ranges")).alias("marks")),
         "marks",
     )
-    joined = docs.select(named(docs, id).alias("doc_id"), body.alias("t"), *keys).join(
-        marks, ["h", "g"], "left"
-    )
 
-    def prepare():
+
+def repeated_passages(
+    docs: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    anchor: int = ANCHOR,
+    cells: int | None = None,
+) -> DataFrame:
+    """One row per document: doc_id, n_words, spans, n_removed, kept text.
+
+    Words are runs without ASCII white space, unchanged. `spans` are the merged word
+    ranges covered by windows whose words also start anywhere else, in the same
+    document or another, judged on the input; `kept` is the rest, joined by one
+    space. A null text has no words and an empty `kept`; a text below `window` words
+    keeps all. Repeated rows are two documents that repeat each other.
+    """
+    if anchor > window:
+        raise ValueError("an anchor must fit into a window")
+    spark = docs.sparkSession
+    body = named(docs, text)
+    # equal for rows of equal id and text only, whose passages are the same
+    keys = [F.xxhash64(named(docs, id), body).alias("h"), F.hash(named(docs, id), body).alias("g")]
+    docs = docs.select(named(docs, id).alias("doc_id"), body.alias("t"), *keys)
+    with shuffles_dropped(spark):
+        marks = _marks(docs, window, anchor, cells)
+        marked = spark.sparkContext.broadcast(_bits_of(marks.select("h")))
+
+    def tell(texts: pa.Array, marks: list, known: list) -> list[pa.Array]:
+        out: list[list] = [[], [], [], []]
+        for t, ranges, told in zip(texts.cast(pa.binary()).to_pylist(), marks, known):
+            if not told:
+                for values in out:
+                    values.append(None)
+                continue
+            words = (t or b"").split()
+            merged: list[dict] = []
+            places = ((m["start"] + r["begin"], m["start"] + r["end"]) for m in ranges or [] for r in m["ranges"])
+            for begin, end in sorted(places):
+                if merged and begin <= merged[-1]["end"]:
+                    merged[-1]["end"] = max(merged[-1]["end"], end)
+                else:
+                    merged.append({"begin": begin, "end": end})
+            kept, at = [], 0
+            for r in merged:
+                kept += words[at : r["begin"]]
+                at = r["end"]
+            kept += words[at:]
+            for values, x in zip(out, (len(words), len(words) - len(kept), merged, b" ".join(kept))):
+                values.append(x)
+        return [
+            pa.array(out[0], pa.int64()),
+            pa.array(out[1], pa.int64()),
+            pa.array(out[2], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
+            pa.array(out[3], pa.binary()).cast(pa.string()),
+        ]
+
+    def may_be_marked(h: pa.Array) -> np.ndarray:
+        return _maybe_in(marked.value, np.asarray(h).view(np.uint64))
+
+    def unmarked():
         def compute(columns: list[pa.Array]) -> list[pa.Array]:
-            texts, marks = columns
-            out: list[list] = [[], [], [], []]
-            for t, ranges in zip(texts.cast(pa.binary()).to_pylist(), marks.to_pylist()):
-                words = (t or b"").split()
-                merged: list[dict] = []
-                told = ((m["start"] + r["begin"], m["start"] + r["end"]) for m in ranges or [] for r in m["ranges"])
-                for begin, end in sorted(told):
-                    if merged and begin <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], end)
-                    else:
-                        merged.append({"begin": begin, "end": end})
-                kept, at = [], 0
-                for r in merged:
-                    kept += words[at : r["begin"]]
-                    at = r["end"]
-                kept += words[at:]
-                for values, x in zip(out, (len(words), len(words) - len(kept), merged, b" ".join(kept))):
-                    values.append(x)
-            return [
-                pa.array(out[0], pa.int64()),
-                pa.array(out[1], pa.int64()),
-                pa.array(out[2], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
-                pa.array(out[3], pa.binary()).cast(pa.string()),
-            ]
+            sure = ~may_be_marked(columns[1])
+            return [*tell(columns[0], [None] * len(sure), sure.tolist()), pa.array(sure)]
 
         return compute
 
-    return with_results(
-        joined,
-        ["doc_id"],
-        [F.col("t"), F.col("marks")],
-        {
-            "n_words": "bigint",
-            "n_removed": "bigint",
-            "spans": "array<struct<begin:int,end:int>>",
-            "kept": "string",
-        },
-        prepare,
-    )
-
+    def joined():
+        return lambda columns: tell(columns[0], columns[1].to_pylist(), [True] * len(columns[0]))
 
+    def only_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, 1):
+                yield piece.filter(pa.array(may_be_marked(piece.column(2))))
+
+    results = {
+        "n_words": "bigint",
+        "n_removed": "bigint",
+        "spans": "array<struct<begin:int,end:int>>",
+        "kept": "string",
+    }
+    # only texts that may be marked travel to their marks; the others stay in their tasks
+    whole = with_results(docs, ["doc_id"], [F.col("t"), F.col("h")], results | {"sure": "boolean"}, unmarked)
+    met = docs.mapInArrow(only_marked, docs.schema).join(marks, ["h", "g"], "left")
+    return (
+        whole.where("sure")
+        .drop("sure")
+        .unionByName(with_results(met, ["doc_id"], [F.col("t"), F.col("marks")], results, joined))
+    )

@@ -9,6 +9,7 @@ import string
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -228,6 +229,29 @@ def test_repeats_of_one_word_are_cut_into_equal_segments(spark):
     assert sorted(repr(tuple(r)) for r in got) == brute_passages(rows, 35)
 
 
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    paths = (Path(p) for p in files.mkString("\n").split("\n"))
+    return {p.name: p.stat().st_size for p in paths if p.name.startswith("shuffle_") and p.exists()}
+
+
+def test_shuffles_of_passages_are_dropped_and_texts_without_repeats_stay(spark):
+    words = [[f"{hash((i, j)) & 0xFFFFFFFFFF:x}" for j in range(300)] for i in range(200)]
+    words[7][20:70] = words[9][100:150]
+    rows = [(i, " ".join(w)) for i, w in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = set(shuffled_bytes(spark))
+    found = substrings.repeated_passages(docs).select("doc_id", "n_words", "n_removed", "kept")
+    until = time.monotonic() + 20  # Spark deletes them in a thread of its own
+    while set(shuffled_bytes(spark)) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not set(shuffled_bytes(spark)) - before
+    got = found.collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute_passages(rows, 35)
+    new = {k: v for k, v in shuffled_bytes(spark).items() if k not in before}
+    assert sum(new.values()) < sum(len(t) for _, t in rows) / 10
+
+
 # 3 SimHash
 
 
