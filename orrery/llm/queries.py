@@ -200,23 +200,26 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
-_PLANTED = """
-transform(sequence(0, size(w) - 1),
-          i -> if(i < at, w[cast(i as int)],
-                  w[cast(at + (i - at) % (1 + floor((size(w) - at) / (3 + g % 8))) as int)]))"""
+_PERIOD = "substring_index(substring_index(spelt, ' ', at + p), ' ', -p)"
+_PLANTED = f"""
+concat(substring_index(spelt, ' ', at), if(at > 0, ' ', ''),
+       substring_index(repeat(concat({_PERIOD}, ' '), cast(ceil((n - at) / p) as int)), ' ', n - at))"""
 
 
 def with_planted_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): words of every tenth document by its number's checksum repeat from some word on."""
+    """(doc_id, text): words of every tenth document by its number's checksum repeat from some word on.
+
+    Words are cut out of the text as it is spelt with single blanks, without a string for each.
+    """
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    chosen = h % 10 == 0
-    told = docs.select("doc_id", "text", chosen.alias("chosen"), F.floor(h / 10).alias("g")).withColumn(
-        "w", F.when(F.col("chosen"), words)
+    spelt = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
+    told = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, spelt).alias("spelt"))
+    told = told.withColumn(
+        "n", F.expr("if(spelt > '', octet_length(spelt) - octet_length(replace(spelt, ' ')) + 1, null)")
     )
-    told = told.withColumn("at", F.when(F.size("w") > 0, F.col("g") % F.size("w")))
-    planted = F.array_join(F.expr(_PLANTED), " ")
-    return told.select("doc_id", F.when(F.col("chosen") & (F.size("w") > 0), planted).otherwise(F.col("text")).alias("text"))
+    told = told.withColumn("at", F.expr("cast(g % n as int)"))
+    told = told.withColumn("p", F.expr("cast(1 + floor((n - at) / (3 + g % 8)) as int)"))
+    return told.select("doc_id", F.when(F.col("n") > 0, F.expr(_PLANTED)).otherwise(F.col("text")).alias("text"))
 
 
 _GREATEST = """

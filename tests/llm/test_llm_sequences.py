@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from fractions import Fraction
 
@@ -270,6 +271,28 @@ def test_planted_runs_are_found_in_whole_documents(spark):
     assert planted.where("exponent_milli >= 4000").count() >= 0.5 * planted.count() > 0
 
 
+def test_runs_are_planted_without_a_list_of_words(spark):
+    """Texts of 20,000 words were lists of strings in the executors, twice over."""
+    chosen = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0]
+    texts = ["a", " a\t\x0b b ", "\u00a0 é\x0c\x0d\x1c z ", "x y z", " ".join(f"w{j}" for j in range(20_000))]
+    rows = [(i, " " * (k % 3) + " \n".join([texts[k % 5], *"bcdefghi"[: k % 9]])) for k, i in enumerate(chosen)]
+    rows += [(chosen[0], None), (chosen[1], ""), (chosen[2], " \t"), (1, " not  chosen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = queries.with_planted_runs(docs)
+
+    def planted(i, text):
+        words, h = (text or "").encode().split(), zlib.crc32(str(i).encode())
+        if h % 10 or not words:
+            return text
+        a = h // 10 % len(words)
+        p = 1 + (len(words) - a) // (3 + h // 10 % 8)
+        return b" ".join(words[j if j < a else a + (j - a) % p] for j in range(len(words))).decode()
+
+    assert sorted(repr(tuple(r)) for r in found.collect()) == sorted(repr((i, planted(i, t))) for i, t in rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("regexp_extract_all|transform|split|lambda", plan)
+
+
 def test_runs_survive_misleading_hashes():
     x = np.array([2, 4, 6, 2, 4, 6, 2, 4, 6, 2, 4, 6, 8], np.uint64)
     assert periodic_runs._exact(x, 0, 12, 3, 1) == (0, 12, 3)
