@@ -37,7 +37,7 @@ from orrery.sources.orders import orders_from_normalised, write_orders
 from orrery.functions.display import pretty_size
 from orrery.sources.storage import relation_size
 from orrery.streaming.facts import stream_fact_load, stream_sales_by_month
-from orrery.workspace import new_folder
+from orrery.workspace import new_folder, shuffles_dropped, tables_dropped
 
 CHUNK_SIZE = 20_000
 _COMPARED_FACT = [name for name in FACT_SALES.names if name != "loaded_at"]
@@ -58,8 +58,8 @@ class Prepared:
     @cached_property
     def source_path(self) -> str:
         path = new_folder(self.spark, "staging-orders")
-        lines = self.table("lineitem").count()
-        write_orders(orders_from_normalised(self.spark, self.folder), path, highest_id=lines)
+        with shuffles_dropped(self.spark), tables_dropped(self.spark):
+            write_orders(orders_from_normalised(self.spark, self.folder), path, spread=False)
         return path
 
     @cached_property

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +18,12 @@ BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 _ROW_OVERHEAD = 32
 _BYTES_PER_CHARACTER = 4
 
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_root: dict[str, str] = {}
+_stored: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+_dropping: dict[str, tuple[int, str]] = {}  # by session: steps that run inside, the setting before the first
+_lock = threading.Lock()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -49,23 +56,47 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     data columnar, so later readers still prune columns.
     """
     path = new_folder(df.sparkSession, label)
+    if (stored := _stored.get()) is not None:
+        stored.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tables_dropped(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread stores inside by `materialise` go at the end, also of a step that fails.
+
+    For steps whose results are stored elsewhere or collected.
+    """
+    token = _stored.set(paths := [])
+    try:
+        yield
+    finally:
+        _stored.reset(token)
+        discard(spark, *paths)
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the jobs run inside go as each ends, not when the driver next collects garbage.
 
-    For steps whose results are stored or collected, and one thread: a setting of the session.
+    For steps whose results are stored or collected. It is a setting of the session, whatever the
+    thread; the last of the steps that run side by side sets it back.
     """
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        steps, before = _dropping.get(session) or (0, spark.conf.get(_SHUFFLES_GO))
+        _dropping[session] = steps + 1, before
+        spark.conf.set(_SHUFFLES_GO, "true")
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        with _lock:
+            steps, before = _dropping.pop(session)
+            if steps > 1:
+                _dropping[session] = steps - 1, before
+            else:
+                spark.conf.set(_SHUFFLES_GO, before)
 
 
 def observed(metrics: Observation, name: str) -> int:
