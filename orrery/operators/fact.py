@@ -69,22 +69,17 @@ def _code_length(spec: DimSpec) -> dict[str, int]:
     return {spec.code: spec.table.column(spec.code).max_length}
 
 
+def _bounded(spec: DimSpec, dim_rows: int, limit: int) -> bool:
+    """Whether the lookup of a dimension is small enough to be broadcast."""
+    pairs = T.StructType(
+        [T.StructField(spec.code, T.StringType()), T.StructField(spec.key, T.IntegerType())]
+    )
+    return fits(pairs, dim_rows, _code_length(spec), limit)
+
+
 def dimensions_bounded(dim_rows: Mapping[str, int], limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Whether every lookup of the sales fact is small enough to be broadcast."""
-    return all(
-        fits(
-            T.StructType(
-                [
-                    T.StructField(spec.code, T.StringType()),
-                    T.StructField(spec.key, T.IntegerType()),
-                ]
-            ),
-            dim_rows[spec.table.name],
-            _code_length(spec),
-            limit,
-        )
-        for spec in sales_fact().lookups
-    )
+    return all(_bounded(spec, dim_rows[spec.table.name], limit) for spec in sales_fact().lookups)
 
 
 def build_fact(
@@ -95,12 +90,19 @@ def build_fact(
     dim_rows: Mapping[str, int] | None = None,
     spec: FactSpec | None = None,
     limit: int = BROADCAST_LIMIT_BYTES,
+    spread: Column | None = None,
 ) -> DataFrame:
-    """Fact rows of the lines in ]from_id, to_id] (of all lines by default)."""
+    """Fact rows of the lines in ]from_id, to_id] (of all lines by default).
+
+    Lookups that are broadcast come first: the others then shuffle their short keys. Rows are
+    rebalanced by `spread`, if given, before the rules add their columns.
+    """
     spec = spec or sales_fact()
     rows = in_interval(src, from_id, to_id)
-    for dim in spec.lookups:
-        known = None if dim_rows is None else dim_rows.get(dim.table.name)
-        rows = lookup_key(rows, dims[dim.table.name], dim, known, limit)
+    known = {dim: (dim_rows or {}).get(dim.table.name) for dim in spec.lookups}
+    for dim in sorted(known, key=lambda d: known[d] is None or not _bounded(d, known[d], limit)):
+        rows = lookup_key(rows, dims[dim.table.name], dim, known[dim], limit)
+    if spread is not None:
+        rows = rows.withColumn("_spread", spread).hint("rebalance", "_spread")
     rules = {**spec.rules, **{dim.key: dim.key for dim in spec.lookups}}
     return enforce(project(rows, rules), spec.table)

@@ -31,14 +31,20 @@ from orrery.operators.batches import (
 from orrery.operators.checks import IntegrityError, check_foreign_key, check_unique
 from orrery.operators.dims import DIM_SPECS, build_dim_date, build_dimension, require_unique
 from orrery.operators.fact import build_fact, dimensions_bounded
-from orrery.operators.idsets import repeated_ids
+from orrery.operators.idsets import crowded, id_bitmaps, repeated_ids
 from orrery.operators.totals import reconcile, reconcile_source
 from orrery.plans.control import STOP_REQUESTED
 from orrery.plans.runlog import last_run_log
 from orrery.plans.commits import ConcurrentChange
 from orrery.plans.warehouse import APPEND, BASE, BLOCK, REPLAY, BatchPlan, Warehouse
 from orrery.schemas import DIM_DATE, FACT_SALES, Table
-from orrery.workspace import BROADCAST_LIMIT_BYTES, discard, observed
+from orrery.workspace import (
+    BROADCAST_LIMIT_BYTES,
+    discard,
+    observed,
+    shuffles_dropped,
+    tables_dropped,
+)
 
 #: Jobs of a load that is written block by block; with more blocks than that, a job writes several.
 JOBS_A_LOAD = 16
@@ -133,11 +139,14 @@ def _facts(
     to_id: int | None = None,
     dim_rows: dict[str, int] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    by_block: bool = False,
 ) -> DataFrame:
-    """Fact rows with their batch number."""
+    """Fact rows with their batch number, rebalanced by their block if asked."""
     dims = lookup_tables(warehouse, run_id)
-    facts = build_fact(src, dims, from_id, to_id, dim_rows, limit=broadcast_limit)
-    return facts.withColumn("chunk_no", chunk_number(F.col("order_line_id"), plan.chunk_size))
+    batch = chunk_number(F.col("order_line_id"), plan.chunk_size)
+    spread = block_number(batch, plan.batches_a_block) if by_block else None
+    facts = build_fact(src, dims, from_id, to_id, dim_rows, limit=broadcast_limit, spread=spread)
+    return facts.withColumn("chunk_no", batch)
 
 
 def write_block(
@@ -291,10 +300,11 @@ class _Run:
         """A run starts in a folder of its own, where every table is still empty."""
         return 0
 
-    def store_dimension(self, table: Table, rows: DataFrame, unique: str) -> int:
+    def store_dimension(self, table: Table, build: Callable[[], DataFrame], unique: str) -> int:
         """Write a dimension; its generated keys are unique by construction, its codes are checked."""
         path = self.warehouse.table_path(self.run_id, table.name)
-        rows.write.mode("overwrite").parquet(path)
+        with tables_dropped(self.warehouse.spark):
+            build().write.mode("overwrite").parquet(path)
         stored = self.warehouse.dimension(self.run_id, table.name)
         self.dim_rows[table.name] = require_unique(stored, unique, table.name)
         return self.dim_rows[table.name]
@@ -313,7 +323,7 @@ class _Run:
                     self.timed,
                     STEP_OF_TABLE[table.name],
                     lambda table=table, unique=unique, build=build: self.store_dimension(
-                        table, build(), unique
+                        table, build, unique
                     ),
                 )
                 for table, unique, build in work
@@ -352,17 +362,16 @@ class _Run:
 
     def _write_all(self, src: DataFrame) -> None:
         limit, plan = self.params.broadcast_limit, self.plan
+        stays_in_place = self.params.source_clustered and dimensions_bounded(self.dim_rows, limit)
         facts = _facts(
-            self.warehouse, self.run_id, src, plan, dim_rows=self.dim_rows, broadcast_limit=limit
+            self.warehouse, self.run_id, src, plan,
+            dim_rows=self.dim_rows, broadcast_limit=limit, by_block=not stays_in_place,
         ).withColumns(
             {
                 "block": block_number(F.col("chunk_no"), plan.batches_a_block),
                 "attempt": F.lit(BASE),
             }
-        )
-        stays_in_place = self.params.source_clustered and dimensions_bounded(self.dim_rows, limit)
-        if not stays_in_place:
-            facts = facts.hint("rebalance", "block")
+        )
         metrics = Observation()
         path = self.warehouse.table_path(self.run_id, FACT_SALES.name)
         facts = watched(facts, metrics)
@@ -463,7 +472,8 @@ class _Run:
     # -- checks --------------------------------------------------------------
 
     def check_source(self) -> None:
-        if self.params.verify_ids:
+        # ids move only if some bucket shows that one repeats
+        if self.params.verify_ids and not crowded(id_bitmaps(self.src, "order_line_id")).isEmpty():
             repeated = repeated_ids(self.src, "order_line_id").limit(1).collect()
             if repeated:
                 raise IntegrityError(
@@ -509,14 +519,15 @@ class _Run:
         try:
             step, begun, mark, rows, _ = self.timed("TRUNCATE_STAR", self.truncate)
             self.log(step, begun, mark, rows)
-            self.prepare()
-            with StopWatch(self.warehouse, f"{self.run_id}-{uuid.uuid4().hex}") as watch:
-                if params.threads:
-                    self.facts_by_block(watch)
-                else:
-                    self.facts_in_one_write(watch)
-            with _step("CHECKS"):
-                total = self.check_facts()
+            with shuffles_dropped(self.warehouse.spark):
+                self.prepare()
+                with StopWatch(self.warehouse, f"{self.run_id}-{uuid.uuid4().hex}") as watch:
+                    if params.threads:
+                        self.facts_by_block(watch)
+                    else:
+                        self.facts_in_one_write(watch)
+                with _step("CHECKS"):
+                    total = self.check_facts()
             status = DONE if self.loaded is None else STOPPED
             self.warehouse.publish(self.run_id, status, total)
         except Exception as error:

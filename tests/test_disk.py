@@ -1,4 +1,4 @@
-"""What building the source leaves on disk, and how wide the rows are that it shuffles."""
+"""What building the source and loading the star leave on disk, and how wide the rows are that they shuffle."""
 
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from orrery.catalogue import Prepared
+from orrery.operators.dims import DIM_SPECS
+from orrery.operators.fact import build_fact
+from orrery.plans import load as L
+from orrery.plans.load import LoadParams, load_star
+from orrery.plans.warehouse import Warehouse, open_star
 from orrery.sources import orders as O
 from orrery.workspace import materialise, shared_root, shuffles_dropped, stored_names, tables_dropped
 
@@ -67,6 +72,18 @@ def test_building_the_source_leaves_nothing_but_the_source(spark):
     assert len({name.split("_")[1] for name in new_shuffle_files(spark, shuffled)}) <= 1
 
 
+def test_a_load_leaves_nothing_but_the_star(spark, orders, folder, monkeypatch):
+    keys, left, before = key_tables(spark), [], []
+    original, prepare = Warehouse.publish, L._Run.prepare
+    monkeypatch.setattr(L._Run, "prepare", lambda self: before.append(shuffle_files(spark)) or prepare(self))
+    monkeypatch.setattr(
+        Warehouse, "publish", lambda self, *a: left.append(new_shuffle_files(spark, before[0])) or original(self, *a)
+    )
+    load_star(orders, folder("star"), LoadParams(chunk_size=400, broadcast_limit=0)).require_done()
+    assert left == [set()]
+    assert key_tables(spark) == keys
+
+
 def test_steps_side_by_side_set_the_setting_back(spark):
     before = spark.conf.get(SETTING)
 
@@ -162,3 +179,33 @@ def test_an_order_over_many_intervals(spark, tmp_path, folder, monkeypatch, thre
     assert sorted(map(tuple, got.collect())) == want
     files = _interval_of_files(stored)
     assert _apart(files) and max(rows for *_, rows in files) <= 200
+
+
+# -- the load ------------------------------------------------------------------------------
+
+
+def test_ids_do_not_move_when_none_repeats(orders, folder, monkeypatch):
+    def moved(*_):
+        raise AssertionError("ids were shuffled")
+
+    monkeypatch.setattr(L, "repeated_ids", moved)
+    assert load_star(orders, folder("star"), LoadParams(chunk_size=400)).status == "DONE"
+
+
+def test_rows_are_rebalanced_before_their_rules(spark, orders, folder):
+    root = folder("star")
+    load_star(orders, root, LoadParams(chunk_size=400)).require_done()
+    star = open_star(spark, root)
+    sizes = {spec.table.name: star[spec.table.name].count() for spec in DIM_SPECS}
+    sizes |= {"dim_customer": 10**8, "dim_product": 10**8}
+    with unhinted(spark):
+        facts = build_fact(orders, star, dim_rows=sizes, spread=F.col("order_line_id") % 3)
+        plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    over, under = plan.split("RebalancePartitions")
+    assert "raise_error" in over and "raise_error" not in under and "amount" not in under
+    joins = [line for line in under.splitlines() if "Join Inner" in line]
+    assert ["salesrep_code" in line for line in joins] == [False, False, True]  # the innermost one is broadcast
+    assert "order_line_id" in facts.columns and "_spread" not in facts.columns
+    plain = build_fact(orders, star, dim_rows=sizes)
+    assert facts.drop("loaded_at").exceptAll(plain.drop("loaded_at")).isEmpty()
+    assert facts.count() == orders.count()
