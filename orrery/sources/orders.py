@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orrery.functions.rules import numbered_code
 from orrery.operators.keys import dense_key
 from orrery.schemas import STAGING_ORDERS, assert_schema
+from orrery.workspace import broadcast_if_bounded
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
@@ -90,11 +91,12 @@ _LINE_ORDER = (
 def orders_from_normalised(spark: SparkSession, folder: str) -> DataFrame:
     """Flat order lines joined from the normalised order tables in `folder`, in intervals of ids.
 
-    The line id is the rank of the line over all its columns. No join is hinted:
+    The line id is the rank of the line over all its columns. Sellers are broadcast while
+    they are bounded, so that lines are not shuffled for them. No other join is hinted:
     the small tables fall under the optimizer's own size check, the large ones are
     shuffled and split by adaptive execution where a key is hot.
 
-    A line meets its seller and product while it is narrow, then goes to the interval of its
+    A line meets its product and seller while it is narrow, then goes to the interval of its
     id once, where the headers of the interval's orders come to it. A header is sent to the
     intervals from the first line of its order to the last; as ids follow the orders, that is
     one for nearly all. Codes are spelled out after that: numbers are shuffled.
@@ -144,10 +146,12 @@ def orders_from_normalised(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_brand").alias("product_brand"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("_price"),
     )
+    lengths = {name: STAGING_ORDERS.column(name).max_length for name in ("salesrep_name", "salesrep_region")}
+    sellers = broadcast_if_bounded(sellers, sellers.count(), lengths)
     kept = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
     return (
-        lines.join(sellers, "l_suppkey")
-        .join(products, "l_partkey")
+        lines.join(products, "l_partkey")
+        .join(sellers, "l_suppkey")
         .withColumn("_part", part)
         .repartitionById(parts, "_part")
         .join(headers, ["_part", "l_orderkey"])

@@ -134,6 +134,7 @@ def test_wide_lines_are_not_shuffled(spark, folder, monkeypatch):
         assert "Exchange" not in over
         exchanged = plan.split("Exchange ")[1:]
         assert sum(text.startswith("shufflepartitionidpassthrough") for text in exchanged) == 2
+        assert "BroadcastHashJoin [l_suppkey" in plan and "hashpartitioning(l_suppkey" not in plan
         stored = O.write_orders(lines, folder("orders"), spread=False)
     files = _interval_of_files(stored)
     assert files == [(i * 500 + 1, (i + 1) * 500, 500) for i in range(12)]
